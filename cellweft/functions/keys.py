@@ -23,5 +23,5 @@ def cell_key(columns: tuple[str, ...] | list[str] = CELL_KEY) -> Column:
 
 def seeded(seed: object, key: Column | str = "row_key", *more: Column | str) -> Column:
     """md5 of the seed and the row key: the order every random choice is made in."""
-    parts = [F.lit(str(seed))] + [m if isinstance(m, Column) else F.lit(m) for m in more]
-    return F.md5(F.concat(*parts, F.lit("-"), col(key) if isinstance(key, str) else key))
+    extra = [m if isinstance(m, Column) else F.lit(m) for m in more]
+    return F.md5(F.concat(F.lit(f"{seed}-"), *extra, col(key) if isinstance(key, str) else key))

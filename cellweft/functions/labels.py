@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 def tokens(label: Column, delimiter: str = "|") -> Column:
     """Trimmed tokens in order; NULL for a NULL label; empty tokens are kept."""
-    return F.transform(F.split(label, re.escape(delimiter)), F.trim)
+    return F.transform(F.split(label, re.escape(delimiter)), lambda t: F.trim(t))
 
 
 def filled_tokens(label: Column, delimiter: str = "|") -> Column:
