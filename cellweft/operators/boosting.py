@@ -22,8 +22,8 @@ def thresholds(df: DataFrame, columns: list[str], percentile: float) -> DataFram
 
 
 def negative_targets(df: DataFrame, options: Options, columns: list[str],
-                     marker_names: dict[str, str] | None = None) -> DataFrame:
-    """(source_file, label, feature, threshold, position): negatives to add per file.
+                     marker_names: dict[str, str] | None = None, files: DataFrame | None = None) -> DataFrame:
+    """(source_file, label, feature, threshold): negatives to add per file.
 
     Candidates are the negative labels seen in any file (all catalog markers with
     ``all_markers``). With ``add_only_missing`` a file that has the label more than once is left
@@ -31,7 +31,7 @@ def negative_targets(df: DataFrame, options: Options, columns: list[str],
     """
     spark = df.sparkSession
     counts = settle(C.label_counts(df, options.label_column, options.delimiter), "counts")
-    files = counts.select("file").distinct()
+    files = (df if files is None else files).select(col(C.SOURCE).alias("file")).distinct()
     shown = spark.createDataFrame(
         [(f"f_{i:04d}", c, (marker_names or {}).get(c, c.split(":")[0].strip())) for i, c in enumerate(columns)],
         "feature_id string, original_name string, marker string")
@@ -75,12 +75,12 @@ def pick_cells(df: DataFrame, targets: DataFrame, columns: list[str], options: O
 
 
 def boost(df: DataFrame, options: Options = Options(), columns: list[str] | None = None,
-          marker_names: dict[str, str] | None = None) -> DataFrame:
+          marker_names: dict[str, str] | None = None, files: DataFrame | None = None) -> DataFrame:
     """Rows with the picked negative labels appended, in label order; other rows unchanged."""
     columns = columns or catalog.median_columns(df.columns)
     if not columns:
         return df
-    targets = negative_targets(df, options, columns, marker_names)
+    targets = negative_targets(df, options, columns, marker_names, files)
     picks = settle(pick_cells(df, targets, columns, options)
                    .groupBy("row_key").agg(F.array_sort(F.collect_set("label")).alias("__add")), "picks")
     label = col(options.label_column)

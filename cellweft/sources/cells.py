@@ -38,6 +38,7 @@ QUOTED = {
     "CD31: Cell: Max": "cd31_cell_median + cd3_cell_median",
     "NA2: Cell: Median": "na2_cell_median",
     "NA2: Cell: Variance": "na2_cell_median * na2_cell_median",
+    "HLA-DR: Cell: Median": "cd8_cell_median * 0.125e0",
     "Blank: Cell: Max": "1e0",
 }
 FEATURES = list(QUOTED)

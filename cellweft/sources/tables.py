@@ -155,7 +155,8 @@ def _text(name: str, kind: str) -> Column:
 
 def write_tsv(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     writer = (df.select(*[_text(n, k) for n, k in df.dtypes]).write.mode("overwrite")
-              .option("sep", "\t").option("header", True).option("emptyValue", ""))
+              .option("sep", "\t").option("header", True).option("emptyValue", "")
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.csv(path)
