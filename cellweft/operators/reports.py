@@ -10,11 +10,11 @@ from cellweft.functions.labels import sign_label
 from cellweft.functions.numeric import fill_zero
 from cellweft.operators import power, stats
 from cellweft.operators.merging import inverted, probability_intensity
-from cellweft.operators.metrics import crosstab
+from cellweft.operators.counts import crosstab
 from cellweft.operators.sampling import sample_exact
 from cellweft.operators.scaling import project
 from cellweft.session import attach, col, settle
-from cellweft.settings import CELL_KEY, IMAGE, Y
+from cellweft.settings import CELL_KEY, IMAGE
 from cellweft.sources import catalog
 
 
@@ -175,10 +175,9 @@ def logistic_curves(df: DataFrame, groups: list[str], x: str, y: str, rounds: in
     return state.select(*keys, "n", (F.col("a") - slope * F.col("mx")).alias("intercept"), slope.alias("slope"))
 
 
-def probability_report(predictions: DataFrame, intensities: DataFrame, marker_columns: dict[str, str],
-                       key: tuple[str, ...] = CELL_KEY) -> tuple[DataFrame, DataFrame]:
-    """Rows (image, marker, intensity, probability, label) and their logistic curves. Markers without
-    a ``X: Cell: Median`` column are left out."""
+def probability_rows(predictions: DataFrame, intensities: DataFrame, marker_columns: dict[str, str],
+                     key: tuple[str, ...] = CELL_KEY) -> DataFrame:
+    """Rows (image, marker, intensity, probability, label). Markers without their column are left out."""
     rows = None
     for marker, column in marker_columns.items():
         if column not in intensities.columns:
@@ -187,7 +186,14 @@ def probability_report(predictions: DataFrame, intensities: DataFrame, marker_co
         part = part.select(col(key[0]), F.lit(marker).alias("marker"), "intensity", "probability",
                            sign_label(marker, F.col("prediction")).alias("label"))
         rows = part if rows is None else rows.unionByName(part)
-    return rows, logistic_curves(rows, [key[0], "marker"], "intensity", "probability")
+    if rows is None:
+        raise ValueError("no marker has an intensity column")
+    return rows
+
+
+def probability_curves(rows: DataFrame, image: str = IMAGE) -> DataFrame:
+    """One logistic curve per image and marker."""
+    return logistic_curves(settle(rows, "probabilities"), [image, "marker"], "intensity", "probability")
 
 
 def outlier_plane(df: DataFrame, features: list[str], label: str) -> DataFrame:

@@ -16,9 +16,9 @@ def training_rows(df: DataFrame, label: str = "Classification", delimiter: str =
 
     ``conflict`` marks rows carrying both signs of the marker; their key ends in the later sign.
     """
-    keep = keep if keep is not None else [c for c in df.columns if c != label]
+    keep = keep if keep is not None else df.columns
     signed = df.filter(col(label).isNotNull()).select(
-        *[col(k) for k in keep], col(label),
+        *[col(k) for k in dict.fromkeys([*keep, label])],
         F.explode(L.signed_tokens(col(label), delimiter)).alias("label"))
     marked = signed.withColumn("marker", L.marker_of(F.col("label")))
     own = L.key_label(col(label), F.col("marker"), delimiter)

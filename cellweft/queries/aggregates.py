@@ -18,7 +18,7 @@ def thresholds(spark, d):
 
 
 @query("agg_06_describe", """select source_file, feature, count(v) as n, round(avg(v), 6) as mean,
-    round(stddev_samp(v), 6) as std, min(v) as min, round(quantile_cont(v, 0.25), 6) as q25,
+    round(stddev_samp(v), 6) as std, round(min(v), 6) as min, round(quantile_cont(v, 0.25), 6) as q25,
     round(quantile_cont(v, 0.5), 6) as q50, round(quantile_cont(v, 0.75), 6) as q75, round(max(v), 6) as max
     from melted group by 1, 2""", "melted")
 def describe(spark, d):
