@@ -59,16 +59,15 @@ def pick_cells(df: DataFrame, targets: DataFrame, columns: list[str], options: O
     Each row meets only the targets of its own file; the rank filter keeps n rows per (file, label)
     in every map task before the shuffle.
     """
-    index = {c: i for i, c in enumerate(columns)}
-    place = F.create_map(*[x for c, i in index.items() for x in (F.lit(c), F.lit(i))])
-    per_file = settle(targets.groupBy(C.SOURCE).agg(F.collect_list(F.struct(
-        "label", place[F.col("feature")].alias("i"), "threshold")).alias("__t")), "targets")
-    vals = F.array(*[col(c).cast("double") for c in columns])
-    near = attach(df.select(C.SOURCE, "row_key", vals.alias("__v")), per_file, [C.SOURCE], "inner",
-                  max_values=200_000)
-    low = near.select(C.SOURCE, "row_key", F.explode(F.filter(
-        "__t", lambda t: F.col("__v")[t["i"]] <= t["threshold"])).alias("t")).select(
-        C.SOURCE, "row_key", F.col("t.label").alias("label"))
+    limits = settle(targets.groupBy(C.SOURCE).agg(*[
+        F.max(F.when(F.col("feature") == c, F.col("threshold"))).alias(f"__t{i}") for i, c in enumerate(columns)]), "limits")
+    near = attach(df.select(C.SOURCE, "row_key", *[col(c).cast("double").alias(f"__v{i}") for i, c in enumerate(columns)]),
+                  limits, [C.SOURCE], "inner")
+    low = near.select(C.SOURCE, "row_key", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("feature"), (F.col(f"__v{i}") <= F.col(f"__t{i}")).alias("low"))
+        for i, c in enumerate(columns)]))).filter("low").drop("low")
+    wanted = settle(targets.groupBy(C.SOURCE, "feature").agg(F.collect_set("label").alias("__labels")), "wanted")
+    low = attach(low, wanted, [C.SOURCE, "feature"], "inner").select(C.SOURCE, "row_key", F.explode("__labels").alias("label"))
     low = low.withColumn("__h", seeded(options.seed, "row_key", F.col("label")))
     return top_per_key(low, [F.col(C.SOURCE), F.col("label")], [F.col("__h"), F.col("row_key")],
                        options.negative_cells).drop("__h")
@@ -80,7 +79,7 @@ def boost(df: DataFrame, options: Options = Options(), columns: list[str] | None
     columns = columns or catalog.median_columns(df.columns)
     if not columns:
         return df
-    targets = negative_targets(df, options, columns, marker_names, files)
+    targets = settle(negative_targets(df, options, columns, marker_names, files), "targets")
     picks = settle(pick_cells(df, targets, columns, options)
                    .groupBy("row_key").agg(F.array_sort(F.collect_set("label")).alias("__add")), "picks")
     label = col(options.label_column)

@@ -23,56 +23,56 @@ def exact_percentiles(df: DataFrame, groups: list[str], values: list[str], proba
     NULL and NaN values do not count; a feature without values gets NULL.
     """
     keys = groups or [ALL]
+    slots = [(i, p) for i in range(len(values)) for p in probabilities]
     base = df.select(*([col(g) for g in groups] or [F.lit(0).alias(ALL)]),
-                     F.array(*[F.when(~F.isnan(col(v).cast("double")), col(v).cast("double")) for v in values])
-                     .alias("__v"))
+                     *[F.when(~F.isnan(col(v).cast("double")), col(v).cast("double")).alias(f"__v{i}")
+                       for i, v in enumerate(values)])
     margin = 2.0 / accuracy
     edges = [e for p in probabilities for e in (max(p - margin, 0.0), min(p + margin, 1.0))]
     aggs = []
     for i in range(len(values)):
-        v = F.col("__v")[i]
+        v = F.col(f"__v{i}")
         aggs.append(F.struct(
             F.count(v).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"),
             F.percentile_approx(v, F.array(*[F.lit(e) for e in edges]), F.lit(accuracy)).alias("q")).alias(f"s{i}"))
     sketch = base.groupBy(*[col(k) for k in keys]).agg(*aggs)
     bounds = []
-    for i in range(len(values)):
-        s = F.col(f"s{i}")
-        for j, p in enumerate(probabilities):
-            lo = s["lo"] if p - margin <= 0 else F.least(s["q"][2 * j], s["hi"])
-            hi = s["hi"] if p + margin >= 1 else s["q"][2 * j + 1]
-            bounds.append(F.struct(F.lit(i).alias("f"), F.lit(float(p)).alias("p"), s["n"].alias("n"),
-                                   lo.alias("lo"), hi.alias("hi")))
-    table = settle(sketch.select(*[col(k) for k in keys], F.array(*bounds).alias("__b")), "bounds")
+    for b, (i, p) in enumerate(slots):
+        s, j = F.col(f"s{i}"), probabilities.index(p)
+        lo = s["lo"] if p - margin <= 0 else s["q"][2 * j]
+        hi = s["hi"] if p + margin >= 1 else s["q"][2 * j + 1]
+        bounds.append(F.struct(s["n"].alias("n"), lo.alias("lo"), hi.alias("hi")).alias(f"__b{b}"))
+    table = settle(sketch.select(*[col(k) for k in keys], *bounds), "bounds")
 
-    near = attach(base, table, keys, "inner", max_values=200_000)
-    hit = near.select(*[col(k) for k in keys], F.explode(F.filter(
-        F.transform("__b", lambda b: F.struct(
-            b["f"].alias("f"), b["p"].alias("p"), b["n"].alias("n"), b["hi"].alias("hi"),
-            (F.col("__v")[b["f"]] < b["lo"]).alias("below"), F.col("__v")[b["f"]].alias("v"))),
-        lambda x: x["v"] <= x["hi"])).alias("x"))
+    # An array literal of structs keeps the second pass inside generated code.
+    near = attach(base, table, keys, "inner")
+    each = F.array(*[F.struct(F.lit(b).alias("slot"), F.col(f"__b{b}")["n"].alias("n"), F.col(f"__b{b}")["hi"].alias("hi"),
+                              (F.col(f"__v{i}") < F.col(f"__b{b}")["lo"]).alias("below"), F.col(f"__v{i}").alias("v"))
+                     for b, (i, _) in enumerate(slots)])
+    hit = near.select(*[col(k) for k in keys], F.inline(each)).filter(F.col("v") <= F.col("hi"))
     # Everything below the interval folds into one NULL-valued row per map task.
-    counted = hit.groupBy(*[col(k) for k in keys], F.col("x.f").alias("f"), F.col("x.p").alias("p"),
-                          F.col("x.n").alias("n"),
-                          F.when(~F.col("x.below"), F.col("x.v")).alias("v")).agg(F.count("*").alias("c"))
-    part = Window.partitionBy(*[col(k) for k in keys], F.col("f"), F.col("p"), F.col("n"))
+    counted = hit.groupBy(*[col(k) for k in keys], "slot", "n",
+                          F.when(~F.col("below"), F.col("v")).alias("v")).agg(F.count("*").alias("c"))
+    part = Window.partitionBy(*[col(k) for k in keys], F.col("slot"), F.col("n"))
     upto = counted.withColumn("cum", F.sum("c").over(
         part.orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)))
-    rank = F.col("p") * (F.col("n") - 1)
+    p_of = F.array(*[F.lit(float(p)) for _, p in slots])[F.col("slot")]
+    f_of = F.array(*[F.lit(values[i]) for i, _ in slots])[F.col("slot")]
+    rank = p_of * (F.col("n") - 1)
     low, high = F.floor(rank), F.ceil(rank)
-    picked = upto.groupBy(*[col(k) for k in keys], "f", "p", "n").agg(
+    picked = upto.groupBy(*[col(k) for k in keys], "slot", "n").agg(
         F.min(F.when(F.col("cum") > low, F.col("v"))).alias("a"),
         F.min(F.when(F.col("cum") > high, F.col("v"))).alias("b"),
         F.coalesce(F.max(F.when(F.col("v").isNull(), F.col("cum"))), F.lit(0)).alias("under"))
     fraction = rank - low
     value = F.when((F.col("under") > low) | F.col("b").isNull(), F.raise_error(F.lit("quantile sketch missed a rank"))
                    ).otherwise(F.col("a") + (F.col("b") - F.col("a")) * fraction)
-    found = picked.select(*[col(k) for k in keys], "f", "p", "n", value.cast("double").alias("value"))
-    empty = table.select(*[col(k) for k in keys], F.explode("__b").alias("x")).filter("x.n = 0").select(
-        *[col(k) for k in keys], "x.f", "x.p", "x.n", F.lit(None).cast("double").alias("value"))
-    names = F.array(*[F.lit(v) for v in values])
+    found = picked.select(*[col(k) for k in keys], "slot", "n", value.cast("double").alias("value"))
+    empty = table.select(*[col(k) for k in keys], F.inline(F.array(*[
+        F.struct(F.lit(b).alias("slot"), F.col(f"__b{b}")["n"].alias("n")) for b in range(len(slots))]))).filter(
+        "n = 0").withColumn("value", F.lit(None).cast("double"))
     out = found.unionByName(empty).select(
-        *[col(k) for k in keys], names[F.col("f")].alias("feature"), "p", "n", "value")
+        *[col(k) for k in keys], f_of.alias("feature"), p_of.alias("p"), "n", "value")
     return out if groups else out.drop(ALL)
 
 

@@ -124,7 +124,7 @@ def gated_histogram(summary: DataFrame) -> DataFrame:
 def spatial_table(merged: DataFrame, markers: list[str], key: tuple[str, ...] = CELL_KEY,
                   group: list[str] | None = None) -> DataFrame:
     """(image, x, inverted y, marker, label) per cell and marker."""
-    placed = merged.dropna(subset=[key[1], key[2]])
+    placed = settle(merged.dropna(subset=[key[1], key[2]]), "placed")
     placed = inverted(placed, key[2], group or [key[0]], "Inverted " + key[2])
     rows = F.array(*[F.struct(F.lit(m).alias("marker"), sign_label(m, col(f"Prediction_{m}")).alias("label"))
                      for m in markers])
@@ -149,12 +149,13 @@ def logistic_curves(df: DataFrame, groups: list[str], x: str, y: str, rounds: in
     base = settle(data.groupBy(*keys).agg(
         F.count("*").cast("long").alias("n"), F.avg("__x").alias("mx"), F.coalesce(F.stddev_pop("__x"), F.lit(0.0)).alias("sx"),
         F.avg("__y").alias("my")), "curve-base")
+    groups_n = base.count()
     scale = F.when(F.col("sx") > 0, F.col("sx")).otherwise(F.lit(1.0))
     start = F.least(F.greatest(F.col("my"), F.lit(1e-6)), F.lit(1 - 1e-6))
     state = base.select(*keys, "n", "mx", scale.alias("sx"), F.ln(start / (1 - start)).alias("a"), F.lit(0.0).alias("b"),
                         F.lit(False).alias("done"))
     for _ in range(rounds):
-        near = attach(data, state, groups, "inner").filter("not done")
+        near = attach(data, state, groups, "inner", known_rows=groups_n).filter("not done")
         z = (F.col("__x") - F.col("mx")) / F.col("sx")
         p = 1 / (1 + F.exp(-(F.col("a") + F.col("b") * z)))
         w = p * (1 - p)
@@ -166,7 +167,7 @@ def logistic_curves(df: DataFrame, groups: list[str], x: str, y: str, rounds: in
         da = (h11 * F.col("g0") - F.col("h01") * F.col("g1")) / det
         db = (h00 * F.col("g1") - F.col("h01") * F.col("g0")) / det
         limit = lambda d: F.greatest(F.least(F.coalesce(d, F.lit(0.0)), F.lit(5.0)), F.lit(-5.0))
-        state = settle(attach(state, sums, groups).select(
+        state = settle(attach(state, sums, groups, known_rows=groups_n).select(
             *keys, "n", "mx", "sx", (F.col("a") + limit(da)).alias("a"), (F.col("b") + limit(db)).alias("b"),
             (F.greatest(F.abs(limit(da)), F.abs(limit(db))) < tolerance).alias("done")), "curve-state")
         if not state.filter("not done").limit(1).count():

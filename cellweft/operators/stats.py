@@ -73,12 +73,13 @@ def histogram(df: DataFrame, groups: list[str], values: list[str], bins: int = 2
     ranges = base.groupBy(*[col(k) for k in keys]).agg(*[
         F.struct(F.min(finite_or_null(number(v))).alias("lo"), F.max(finite_or_null(number(v))).alias("hi")).alias(f"r{i}")
         for i, v in enumerate(values)])
-    table = settle(ranges.select(*[col(k) for k in keys],
-                                 F.array(*[F.col(f"r{i}") for i in range(len(values))]).alias("__r")), "ranges")
-    vals = F.array(*[finite_or_null(number(v)) for v in values])
-    near = attach(base.select(*[col(k) for k in keys], vals.alias("__v")), table, keys, "inner", max_values=200_000)
-    hit = near.select(*[col(k) for k in keys], F.posexplode("__v").alias("i", "v"), "__r").filter("v is not null")
-    lo0, hi0 = F.col("__r")[F.col("i")]["lo"], F.col("__r")[F.col("i")]["hi"]
+    table = settle(ranges, "ranges")
+    near = attach(base.select(*[col(k) for k in keys], *[
+        finite_or_null(number(v)).alias(f"__v{i}") for i, v in enumerate(values)]), table, keys, "inner")
+    hit = near.select(*[col(k) for k in keys], F.inline(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.col(f"__v{i}").alias("v"), F.col(f"r{i}")["lo"].alias("lo"),
+                 F.col(f"r{i}")["hi"].alias("hi")) for i in range(len(values))]))).filter("v is not null")
+    lo0, hi0 = F.col("lo"), F.col("hi")
     flat = lo0 == hi0
     lo, hi = F.when(flat, lo0 - 0.5).otherwise(lo0), F.when(flat, hi0 + 0.5).otherwise(hi0)
     width = (hi - lo) / bins

@@ -116,7 +116,7 @@ _match("delimited", "regexp_matches(k.name, '(^|[_.: -])' || m.marker || '([_.:
 @query("win_01_boost_picks", "select source_file, label, row_key, r as rank from picks", "picks")
 def boost_picks(spark, d):
     c = cells(spark, d)
-    targets = boosting.negative_targets(c, CELL_OPTIONS, BASIC, MARKERS)
+    targets = settle(boosting.negative_targets(c, CELL_OPTIONS, BASIC, MARKERS), "targets")
     return boosting.pick_cells(c, targets, BASIC, CELL_OPTIONS).withColumn("rank", F.col("rank").cast("long"))
 
 

@@ -80,10 +80,11 @@ def fits_broadcast(table: DataFrame, max_values: int = BROADCAST_VALUES) -> bool
 
 
 def attach(rows: DataFrame, table: DataFrame, on: list[str], how: str = "left",
-           max_values: int = BROADCAST_VALUES, salt_by: list[str] | None = None) -> DataFrame:
+           max_values: int = BROADCAST_VALUES, salt_by: list[str] | None = None,
+           known_rows: int | None = None) -> DataFrame:
     """Join a (usually small) lookup ``table`` to ``rows`` on NULL-safe keys.
 
-    Keys must be unique in ``table``. Its size is counted first: below the bound it is broadcast
+    Keys must be unique in ``table``. Its size is counted first (unless ``known_rows`` tells): below the bound it is broadcast
     and ``rows`` is not shuffled; above it both sides are shuffled, ``rows`` spread over ``SALTS``
     salts a key so that one hot key cannot land in one task.
     """
@@ -95,7 +96,9 @@ def attach(rows: DataFrame, table: DataFrame, on: list[str], how: str = "left",
     for k, n in zip(on, keys):
         part = col(k).eqNullSafe(F.col(n))
         condition = part if condition is None else condition & part
-    if fits_broadcast(table, max_values):
+    small = (fits_broadcast(table, max_values) if known_rows is None
+             else known_rows * len(table.columns) <= max_values)
+    if small:
         joined = left.join(F.broadcast(right), condition, how)
     else:
         spread = salt_by or (["row_key"] if "row_key" in rows.columns else rows.columns)
