@@ -39,8 +39,10 @@ def exact_percentiles(df: DataFrame, groups: list[str], values: list[str], proba
     bounds = []
     for b, (i, p) in enumerate(slots):
         s, j = F.col(f"s{i}"), probabilities.index(p)
-        lo = s["lo"] if p - margin <= 0 else s["q"][2 * j]
-        hi = s["hi"] if p + margin >= 1 else s["q"][2 * j + 1]
+        # Ranks next to each other must both fit in the interval, so small groups are taken whole.
+        small = s["n"] <= 2 * accuracy
+        lo = s["lo"] if p - margin <= 0 else F.when(small, s["lo"]).otherwise(s["q"][2 * j])
+        hi = s["hi"] if p + margin >= 1 else F.when(small, s["hi"]).otherwise(s["q"][2 * j + 1])
         bounds.append(F.struct(s["n"].alias("n"), lo.alias("lo"), hi.alias("hi")).alias(f"__b{b}"))
     table = settle(sketch.select(*[col(k) for k in keys], *bounds), "bounds")
 

@@ -102,7 +102,9 @@ def attach(rows: DataFrame, table: DataFrame, on: list[str], how: str = "left",
         joined = left.join(F.broadcast(right), condition, how)
     else:
         spread = salt_by or (["row_key"] if "row_key" in rows.columns else rows.columns)
-        left = left.withColumn("__salt", F.pmod(F.xxhash64(*[col(c) for c in spread]), F.lit(SALTS)))
+        # The task's number keeps copies of one row apart; a task that is run again keeps its number.
+        mixed = F.xxhash64(*[col(c) for c in spread], F.spark_partition_id())
+        left = left.withColumn("__salt", F.pmod(mixed, F.lit(SALTS)))
         right = right.withColumn("__salt_r", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         condition = condition & (F.col("__salt") == F.col("__salt_r"))
         joined = left.join(right, condition, how).drop("__salt", "__salt_r")
