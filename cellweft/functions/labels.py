@@ -57,10 +57,10 @@ def parse_map(label: Column, delimiter: str = "|") -> Column:
 
 
 def key_label(label: Column, marker: Column, delimiter: str = "|") -> Column:
-    """Tokens equal to the marker with an optional sign, in any case, joined by ``|``."""
+    """Tokens equal to the marker with an optional sign, in any case, joined by ``|``; '' if none."""
     wanted = F.lower(marker)
     keep = lambda t: F.lower(t).isin(wanted, F.concat(wanted, F.lit("+")), F.concat(wanted, F.lit("-")))
-    return F.array_join(F.filter(tokens(label, delimiter), keep), "|")
+    return F.coalesce(F.array_join(F.filter(tokens(label, delimiter), keep), "|"), F.lit(""))
 
 
 def append_tokens(label: Column, extra: Column, delimiter: str = "|") -> Column:

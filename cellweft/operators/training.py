@@ -19,12 +19,12 @@ def training_rows(df: DataFrame, label: str = "Classification", delimiter: str =
     keep = keep if keep is not None else df.columns
     signed = df.filter(col(label).isNotNull()).select(
         *[col(k) for k in dict.fromkeys([*keep, label])],
-        F.explode(L.signed_tokens(col(label), delimiter)).alias("label"))
-    marked = signed.withColumn("marker", L.marker_of(F.col("label")))
-    own = L.key_label(col(label), F.col("marker"), delimiter)
+        F.explode(L.signed_tokens(col(label), delimiter)).alias("__token"))
+    marked = signed.withColumn("__marker", L.marker_of(F.col("__token")))
+    own = L.key_label(col(label), F.col("__marker"), delimiter)
     pair = F.split(own, r"\|")
     return marked.select(
-        *[col(k) for k in keep], "marker", "label", own.alias("key_label"),
+        *[col(k) for k in keep], F.col("__marker").alias("marker"), F.col("__token").alias("label"), own.alias("key_label"),
         (F.exists(pair, lambda t: t.endswith("+")) & F.exists(pair, lambda t: t.endswith("-"))).alias("conflict"))
 
 
