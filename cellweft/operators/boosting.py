@@ -83,7 +83,7 @@ def boost(df: DataFrame, options: Options = Options(), columns: list[str] | None
     picks = settle(pick_cells(df, targets, columns, options)
                    .groupBy("row_key").agg(F.array_sort(F.collect_set("label")).alias("__add")), "picks")
     label = col(options.label_column)
-    return attach(df, picks, ["row_key"]).withColumn(
+    return attach(df, picks, ["row_key"], salted=False).withColumn(
         options.label_column, F.when(F.col("__add").isNotNull(),
                                      L.append_tokens(label, F.col("__add"), options.delimiter)).otherwise(label)
     ).drop("__add")

@@ -13,6 +13,7 @@ from cellweft.functions import labels as L
 from cellweft.session import attach, col
 
 SOURCE = "source_file"
+MAX_LABELS = 10_000  # columns of an export table
 
 
 def exploded(df: DataFrame, label: str = "Classification", delimiter: str = "|",
@@ -51,7 +52,9 @@ def label_table(df: DataFrame, label: str = "Classification", delimiter: str = "
     """
     counts = label_counts(df, label, delimiter)
     if labels is None:
-        labels = sorted(r[0] for r in counts.select("label").distinct().collect())
+        labels = sorted(r[0] for r in counts.select("label").distinct().limit(MAX_LABELS + 1).collect())
+        if len(labels) > MAX_LABELS:
+            raise ValueError(f"more than {MAX_LABELS} labels; use label_counts, the long form")
     every = (files if files is not None else df).select(col(SOURCE).alias("file")).distinct()
     wide = counts.groupBy("file").agg(
         *[F.coalesce(F.sum(F.when(F.col("label") == v, F.col("n"))), F.lit(0)).alias(v) for v in labels])

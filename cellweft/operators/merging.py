@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cellweft.functions.keys import cell_key
 from cellweft.operators.ranks import first_per_key
-from cellweft.session import col
+from cellweft.session import attach, col, settle
 from cellweft.settings import CELL_KEY
 
 
@@ -80,7 +80,9 @@ def probability_intensity(predictions: DataFrame, intensities: DataFrame, value:
     The first prediction of a key is used, so copies of a cell never multiply into pairs.
     """
     left = first_per_key(predictions.withColumn("__key", cell_key(key)), [F.col("__key")], [col(ordinal)])
-    left = left.select("__key", "prediction", "probability")
+    # Stored first: keys are unique on this side, and a join of two plain shuffles is one whose
+    # skewed partitions (a position shared by very many cells) adaptive execution can split.
+    left = settle(left.select("__key", "prediction", "probability"), "first-predictions")
     right = intensities.select(cell_key(key).alias("__key"), col(ordinal), *[col(k) for k in key],
                                col(value).alias("intensity"))
     return right.join(left, "__key", "inner").drop("__key")
@@ -99,6 +101,5 @@ def prediction_name(marker: str, index: int) -> str:
 def inverted(df: DataFrame, value: str, group: list[str], name: str) -> DataFrame:
     """Group maximum minus the value: the maximum is an aggregate joined back, not a window, so a
     hot image is never sorted."""
-    from cellweft.session import attach, settle
     top = settle(df.groupBy(*[col(g) for g in group]).agg(F.max(col(value)).alias("__top")), "top")
     return attach(df, top, group).withColumn(name, F.col("__top") - col(value)).drop("__top")

@@ -60,7 +60,8 @@ def score_counts(df: DataFrame, label: str, score: str, groups: list[str] = ())
         F.sum((col(label) == 1).cast("long")).alias("pos"), F.sum((col(label) != 1).cast("long")).alias("neg"))
 
 
-def ranking_scores(df: DataFrame, label: str, score: str, groups: list[str] = (), buckets: int = 64) -> DataFrame:
+def ranking_scores(df: DataFrame, label: str, score: str, groups: list[str] = (),
+                   buckets: int | None = None) -> DataFrame:
     """roc_auc and pr_auc (step sum) per group; ties share a rank. NULL with only one class."""
     groups = list(groups)
     cum = running_totals(score_counts(df, label, score, groups), groups, "score", ["pos", "neg"], True, buckets)

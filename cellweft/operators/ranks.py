@@ -85,13 +85,16 @@ def bucket_of(value: Column, bounds: list[float], offset: int = 0) -> Column:
 
 
 def running_totals(df: DataFrame, groups: list[str], order: str, sums: list[str],
-                   descending: bool = True, buckets: int = 64) -> DataFrame:
+                   descending: bool = True, buckets: int | None = None) -> DataFrame:
     """Adds ``cum_<c>`` for each summed column: totals of rows before and at each row.
 
     ``order`` must be unique within a group (aggregate by it first). Buckets are ranges of the
-    order column; the totals of earlier buckets come from a table of groups x buckets rows.
+    order column, more of them the more rows there are; the totals of earlier buckets come from a
+    table of groups x buckets rows.
     """
     data = settle(df, "ranked")
+    if buckets is None:
+        buckets = int(min(max(data.count() // 500_000, 8), 256))
     bounds = bucket_bounds(data, order, buckets)
     data = data.withColumn("__bucket", bucket_of(F.col(order), bounds))
     direction = F.col("__bucket").desc() if descending else F.col("__bucket").asc()

@@ -81,12 +81,13 @@ def fits_broadcast(table: DataFrame, max_values: int = BROADCAST_VALUES) -> bool
 
 def attach(rows: DataFrame, table: DataFrame, on: list[str], how: str = "left",
            max_values: int = BROADCAST_VALUES, salt_by: list[str] | None = None,
-           known_rows: int | None = None) -> DataFrame:
+           known_rows: int | None = None, salted: bool = True) -> DataFrame:
     """Join a (usually small) lookup ``table`` to ``rows`` on NULL-safe keys.
 
     Keys must be unique in ``table``. Its size is counted first (unless ``known_rows`` tells): below the bound it is broadcast
     and ``rows`` is not shuffled; above it both sides are shuffled, ``rows`` spread over ``SALTS``
-    salts a key so that one hot key cannot land in one task.
+    salts a key so that one hot key cannot land in one task. ``salted=False`` is for tables as
+    large as ``rows``: a plain shuffle join, whose skewed partitions adaptive execution splits.
     """
     keys = [f"__key_{i}" for i in range(len(on))]
     right = table.select(*[col(k).alias(n) for k, n in zip(on, keys)],
@@ -100,6 +101,8 @@ def attach(rows: DataFrame, table: DataFrame, on: list[str], how: str = "left",
              else known_rows * len(table.columns) <= max_values)
     if small:
         joined = left.join(F.broadcast(right), condition, how)
+    elif not salted:
+        joined = left.join(right, condition, how)
     else:
         spread = salt_by or (["row_key"] if "row_key" in rows.columns else rows.columns)
         # The task's number keeps copies of one row apart; a task that is run again keeps its number.

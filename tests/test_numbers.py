@@ -1,5 +1,7 @@
 """Numeric operators against numpy."""
 
+import copy
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -164,11 +166,11 @@ def lof_by_hand(x, k):
     return lrd[near].mean(1) / lrd
 
 
-@pytest.mark.parametrize("leaf_rows", [10_000, 40])
-def test_lof_against_all_pairs(spark, leaf_rows):
+@pytest.mark.parametrize("leaf_rows,top_leaves", [(10_000, 2048), (40, 2048), (20, 3)])
+def test_lof_against_all_pairs(spark, leaf_rows, top_leaves):
     x = np.r_[RNG.normal(0, 1, (250, 3)), RNG.normal(9, .2, (150, 3)), [[30, 30, 30]]]
     df = frame(spark, a=x[:, 0], b=x[:, 1], c=x[:, 2], i=np.arange(len(x)))
-    got = outliers.local_outlier_factor(df, ["a", "b", "c"], 12, leaf_rows=leaf_rows).orderBy("i").toPandas()
+    got = outliers.local_outlier_factor(df, ["a", "b", "c"], 12, leaf_rows=leaf_rows, top_leaves=top_leaves).orderBy("i").toPandas()
     assert got["lof"].to_numpy() == pytest.approx(lof_by_hand(x, 12), rel=1e-6)
     assert got["lof"].idxmax() == len(x) - 1
 
@@ -192,6 +194,17 @@ def test_kd_tree_visits_every_reachable_box():
     assert len(seen) < 500 * tree.leaves
 
 
+def test_grafted_tree_equals_its_parts():
+    x = RNG.normal(0, 1, (400, 2))
+    top = outliers.KdTree(x, 4)
+    home = np.asarray(copy.deepcopy(top).freeze().locate(x))
+    below = {leaf: outliers.KdTree(x[home == leaf], 4) for leaf in range(3)}
+    want = [(h, int(copy.deepcopy(below[h]).freeze().locate(p[None])[0]) if h in below else -1) for h, p in zip(home, x)]
+    top.graft(below)
+    got = top.freeze().locate(x)
+    assert top.leaves == 13 and len({(a, b) for a, b in zip(want, got)}) == len(set(want)) == 13
+
+
 def test_isolation_forest_finds_the_far_point(spark):
     x = np.r_[RNG.normal(0, 1, 800), 40.0]
     df = frame(spark, a=x, b=np.r_[RNG.normal(0, 1, 800), 40.0])
