@@ -27,11 +27,16 @@ def decode_name(name: Column) -> Column:
     return F.url_decode(F.regexp_replace(name, r"\+", "%2B"))
 
 
+# Image and table suffixes, and the subset number of a file name.
+SUFFIX = r"(?i)(\.ome)?(\.tiff|\.tif|\.[^.]+)$"
+SUBSET = r"_subset(\d+)"
+
+
 def file_id(path: Column) -> Column:
     """File name without image or table suffix, with its subset number repeated if it has one."""
     name = basename(path)
-    short = F.regexp_replace(name, r"(?i)(\.ome)?(\.tiff|\.tif|\.[^.]+)$", "")
-    subset = F.regexp_extract(name, r"_subset(\d+)", 1)
+    short = F.regexp_replace(name, SUFFIX, "")
+    subset = F.regexp_extract(name, SUBSET, 1)
     return F.when(subset != "", F.concat(short, F.lit("_subset"), subset)).otherwise(short)
 
 

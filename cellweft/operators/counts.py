@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellweft.functions import labels as L
-from cellweft.session import attach, col
+from cellweft.session import col
 
 SOURCE = "source_file"
 MAX_LABELS = 10_000  # columns of an export table
@@ -30,7 +30,7 @@ def token_counts(df: DataFrame, label: str = "Classification", delimiter: str =
         sized = F.when(col(label).isNull(), F.lit(0)).otherwise(F.size(L.tokens(col(label), delimiter)))
         return df.groupBy(col(SOURCE).alias("file")).agg(F.sum(sized).cast("long").alias("label_count"))
     counted = exploded(df, label, delimiter).groupBy(SOURCE).agg(F.count("*").alias("label_count"))
-    full = attach(files.select(SOURCE), counted, [SOURCE])
+    full = files.select(SOURCE).join(counted, SOURCE, "left")
     return full.select(col(SOURCE).alias("file"), F.coalesce("label_count", F.lit(0)).cast("long").alias("label_count"))
 
 

@@ -128,7 +128,7 @@ def bin_counts(low: float, high: float, n: int, sd: float) -> int:
 def fit(df: DataFrame, features: list[str]) -> list[Gate]:
     """Thresholds of every feature: a range pass, a binning pass, then work on bins only."""
     cells = []
-    for part_no, part in enumerate(chunks(features)):
+    for part in chunks(features):
         row = df.agg(*[a for i, f in enumerate(part) for a in (
             F.min(value_of(f)).alias(f"a{i}"), F.max(value_of(f)).alias(f"b{i}"),
             F.stddev_samp(value_of(f)).alias(f"s{i}"))], F.count("*").alias("n")).first()
@@ -138,12 +138,13 @@ def fit(df: DataFrame, features: list[str]) -> list[Gate]:
             low, high = row[f"a{i}"], row[f"b{i}"]
             bins = bin_counts(low, high, row["n"], row[f"s{i}"] or 0.0)
             step = (high - low) / bins or 1.0
-            value = value_of(f)
+            value = F.col(f"__v{len(cells)}")
             slot = F.least(F.floor((value - F.lit(low)) / F.lit(step)), F.lit(bins - 1)).cast("int")
             # Exact zeros are many in dim channels: they keep a bin of their own.
             cells.append(F.struct(F.lit(len(cells)).alias("i"), F.when(value == 0, F.lit(-1)).otherwise(slot).alias("bin"),
                                   value.alias("v")))
-    sketch = df.select(F.inline(F.array(*cells))).groupBy("i", "bin").agg(
+    values = df.select(*[value_of(f).alias(f"__v{i}") for i, f in enumerate(features)])
+    sketch = values.select(F.inline(F.array(*cells))).groupBy("i", "bin").agg(
         F.count("*").alias("n"), F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("ss"),
         F.min("v").alias("lo"), F.max("v").alias("hi"))
     rows = sketch.groupBy("i").applyInPandas(gate_bins, FITTED).collect()

@@ -125,9 +125,10 @@ def fit(df: DataFrame, features: list[str], family: str = "boxcox") -> list[Fit]
         for i, f in enumerate(alive):
             low, high = to_log(ranges[f][0]), to_log(ranges[f][1])
             width = (high - low) / BINS or 1.0
-            slot = F.least(F.floor((log(f) - low) / width), F.lit(BINS - 1)).cast("int")
-            cells.append(F.struct(F.lit(i).alias("i"), F.greatest(slot, F.lit(0)).alias("bin"), log(f).alias("t")))
-        sketch = df.select(F.inline(F.array(*cells))).groupBy("i", "bin").agg(
+            slot = F.least(F.floor((F.col(f"__t{i}") - low) / width), F.lit(BINS - 1)).cast("int")
+            cells.append(F.struct(F.lit(i).alias("i"), F.greatest(slot, F.lit(0)).alias("bin"), F.col(f"__t{i}").alias("t")))
+        logs = df.select(*[log(f).alias(f"__t{i}") for i, f in enumerate(alive)])
+        sketch = logs.select(F.inline(F.array(*cells))).groupBy("i", "bin").agg(
             F.count("*").alias("n"), F.sum("t").alias("s"))
         peaks = sketch.groupBy("i").applyInPandas(
             lambda pdf: pd.DataFrame({"i": [int(pdf["i"].iloc[0])], "lam": [_peak(pdf, family)]}),

@@ -137,7 +137,7 @@ def label_order(label: str = "label"):
 
 
 def logistic_curves(df: DataFrame, groups: list[str], x: str, y: str, rounds: int = 25,
-                    tolerance: float = 1e-9) -> DataFrame:
+                    tolerance: float = 1e-6) -> DataFrame:
     """(groups..., n, intercept, slope): logistic curve of a fraction on a value.
 
     All groups are fitted together: each Newton round is one grouped aggregation of five sums with

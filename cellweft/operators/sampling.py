@@ -67,11 +67,11 @@ def group_split(df: DataFrame, group: str = "source_file", test: float = 0.3, va
     """test / validation / train by whole groups: no file lies in two parts."""
     groups = df.select(col(group)).distinct()
     names = groups.withColumn("__h", seeded(seed, group)).withColumn("__all", F.lit(0))
-    first = settle(attach(names, hash_cut(names, ["__all"], "__h", F.ceil(F.col("n") * test)).select("__all", "cut"),
-                          ["__all"]).withColumn("__test", F.col("__h") <= F.col("cut")).drop("cut"), "groups")
+    cut = settle(hash_cut(names, ["__all"], "__h", F.ceil(F.col("n") * test)).select("__all", "cut"), "cut")
+    first = settle(attach(names, cut, ["__all"]).withColumn("__test", F.col("__h") <= F.col("cut")).drop("cut"), "groups")
     rest = first.filter("not __test").withColumn("__h", seeded(seed + 1, group))
-    second = attach(rest, hash_cut(rest, ["__all"], "__h", F.ceil(F.col("n") * validation)).select("__all", "cut"),
-                    ["__all"])
+    cut = settle(hash_cut(rest, ["__all"], "__h", F.ceil(F.col("n") * validation)).select("__all", "cut"), "cut")
+    second = attach(rest, cut, ["__all"])
     named = first.filter("__test").select(col(group), F.lit("test").alias(part)).unionByName(
         second.select(col(group), F.when(F.col("__h") <= F.col("cut"), "validation").otherwise("train").alias(part)))
     return attach(df, settle(named, "parts"), [group])

@@ -102,7 +102,9 @@ def threshold(spark, d):
     return cells(spark, d).select("row_key", L.sign_label("CD3", (p >= 0.5).cast("int")).alias("predicted_label"))
 
 
-@query("snk_05_model_registry")
+@query("snk_05_model_registry", """select 'CD8' as marker, 'LogisticRegression' as family, 1e0 as f1,
+    'cd3_cell_median,cd8_cell_median,cd31_cell_median' as features, count(distinct row_key) as n_scored from tok
+    where label in ('CD8+', 'CD8-')""", "tok")
 def model_registry(spark, d):
     rows, model = fit_one(spark, d, "LogisticRegression", {"regParam": 1e-4, "maxIter": 20})
     fitted = search.Fitted("LogisticRegression", {}, 0.0, model, scores={"f1": 1.0})
@@ -111,7 +113,7 @@ def model_registry(spark, d):
     loaded = search.load_model(path, "LogisticRegression")
     same = search.transform(loaded, rows).agg(F.count("probability").alias("n")).first()["n"]
     return search.registry(spark, [("CD8", fitted, path, ["cd3_cell_median", "cd8_cell_median", "cd31_cell_median"])]).select(
-        "marker", "family", "f1", "features").withColumn("n_scored", F.lit(same))
+        "marker", "family", "f1", F.array_join("features", ",").alias("features")).withColumn("n_scored", F.lit(same).cast("long"))
 
 
 @query("agg_11_boxcox_record", "select feature as \"Feature\", round(avg(v), 6) as \"Pre_Mean\", '0.500' as \"Lambda\", " +

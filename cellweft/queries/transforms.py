@@ -41,6 +41,28 @@ def boxcox_fit(spark, d):
     return rounded(power.record(c, fits))
 
 
+def _peak_sql(source: str, value: str, llf: str) -> str:
+    """Best exponent on a grid of hundredths, by the exact likelihood."""
+    return f"""select feature, round(l, 2) as lambda from (select feature, l, row_number() over (partition by feature
+        order by llf desc) as r from (select feature, l, {llf} as llf from {source}
+        join (select range / 100e0 as l from range(30, 171)) g on true group by 1, 2) p) q where r = 1"""
+
+
+@query("tr_01_boxcox_lambda", _peak_sql("(select feature, ln(v + 1) as t from melted) m", "t",
+       "(l - 1) * sum(t) - count(*) / 2.0 * ln(var_pop((exp(l * t) - 1) / l))"), "melted")
+def boxcox_lambda(spark, d):
+    fits = power.fit(cells(spark, d), BASIC)
+    return spark.createDataFrame([(f.feature, round(f.lam, 2)) for f in fits], "feature string, lambda double")
+
+
+@query("tr_02_yeojohnson_lambda", _peak_sql("(select feature, v - 5 as w from melted) m", "w", f"""(l - 1) * sum(sign(w) *
+       ln(abs(w) + 1)) - count(*) / 2.0 * ln(var_pop({YJ}))"""), "melted")
+def yeojohnson_lambda(spark, d):
+    shifted = cells(spark, d).select(*[(F.col(b) - 5).alias(b) for b in BASIC])
+    fits = power.fit(shifted, BASIC, "yeo")
+    return spark.createDataFrame([(f.feature, round(f.lam, 2)) for f in fits], "feature string, lambda double")
+
+
 @query("tr_02_yeojohnson_fit")
 def yeojohnson_fit(spark, d):
     c = cells(spark, d)
@@ -79,6 +101,11 @@ def clip(spark, d):
     return gating.apply(cells(spark, d).select("row_key", "cd3_cell_median", "cd8_cell_median"), FIXED)
 
 
+@query("fn_12_clip", "select row_key, greatest(cd31_cell_median, 3.5) as value from cells")
+def clip_value(spark, d):
+    return cells(spark, d).select("row_key", numeric.raise_to(F.col("cd31_cell_median"), 3.5).alias("value"))
+
+
 @query("agg_10_gating_summary", """select feature, t as threshold, k as n_components, round(avg(v), 6) as pre_mean,
     round(avg(greatest(v, t)), 6) as post_mean, round(avg(greatest(v, t) - v), 6) as delta_mean,
     count(*) filter (where v < t) as cells_gated, round(count(*) filter (where v < t) * 100.0 / count(*), 6) as percent_gated

@@ -47,8 +47,18 @@ def scratch_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def scratch_root(spark: SparkSession) -> str:
+    return f"{scratch_dir(spark)}/cellweft-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str = "table") -> str:
-    return f"{scratch_dir(spark)}/cellweft/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the tables this application stored; call it when no result depends on them any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame, name: str = "table", partition_by: tuple[str, ...] = ()) -> DataFrame:

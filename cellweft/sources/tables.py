@@ -90,7 +90,7 @@ def read_quant(spark: SparkSession, directory: str, columns: list[str] | None =
             raise ValueError(f"label column {label!r} is missing in {len(paths)} file(s), first {paths[0]}")
         schema = ", ".join(f"c{i} string" for i in range(len(raw)))
         part = (spark.read.schema(schema).option("sep", "\t").option("header", True)
-                .option("enforceSchema", True).option("mode", "PERMISSIVE").csv(paths))
+                .option("enforceSchema", True).option("mode", "PERMISSIVE").option("escape", '"').csv(paths))
         wanted = [(i, n) for i, n in enumerate(names)
                   if n and (columns is None or n in columns) and n not in names[:i]]
         parts.append(part.select(
@@ -156,7 +156,7 @@ def _text(name: str, kind: str) -> Column:
 def write_tsv(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     writer = (df.select(*[_text(n, k) for n, k in df.dtypes]).write.mode("overwrite")
               .option("sep", "\t").option("header", True).option("emptyValue", "")
-              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+              .option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.csv(path)
