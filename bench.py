@@ -1,6 +1,6 @@
 """Times the headline queries and prints one JSON line.
 
-BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS (default 3).
+BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS (default 1).
 Each query runs once to warm up, then BENCH_RUNS times; the median counts. Every row is produced
 (noop sink), nothing is collected.
 """
@@ -31,7 +31,7 @@ HEADLINES = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     names = sys.argv[1:] or HEADLINES
     spark = build_session("bench", cpus, partitions=int(cpus) if cpus.isdigit() else 8)
     seconds: dict[str, float] = {}

@@ -39,20 +39,31 @@ def _transform(value: Column, lam: float, family: str) -> Column:
     return boxcox(value, lam) if family == "boxcox" else yeo_johnson(value, lam)
 
 
+def _log(name: str, family: str) -> Column:
+    value = _value(name, family)
+    return F.when(value > 0, F.ln(value)) if family == "boxcox" else signed_log(value)
+
+
+def _from_log(t: Column, lam: float, family: str) -> Column:
+    """The transform of a value given as its (signed) logarithm."""
+    def side(x: Column, power: float) -> Column:
+        return x if abs(power) < 1e-12 else F.expm1(F.lit(float(power)) * x) / F.lit(float(power))
+    return side(t, lam) if family == "boxcox" else F.when(t >= 0, side(t, lam)).otherwise(-side(-t, 2.0 - lam))
+
+
 def profile(df: DataFrame, features: list[str], lambdas: dict[str, list[float]] | list[float],
             family: str = "boxcox") -> DataFrame:
     """(feature, lambda, n, llf): exact log-likelihood at given exponents, one scan per chunk."""
     grid = lambdas if isinstance(lambdas, dict) else {f: lambdas for f in features}
     out = None
     for part in chunks(features, EXACT_CHUNK):
+        logs = df.select(*[_log(f, family).alias(f"t{i}") for i, f in enumerate(part)])
         aggs = []
         for i, f in enumerate(part):
-            v = _value(f, family)
-            log = F.sum(F.when(v > 0, F.ln(v))) if family == "boxcox" else F.sum(signed_log(v))
-            aggs += [F.count(v).alias(f"n{i}"), log.alias(f"s{i}")]
-            aggs += [F.var_pop(_transform(F.when(v > 0, v) if family == "boxcox" else v, lam, family)).alias(f"v{i}_{j}")
-                     for j, lam in enumerate(grid[f])]
-        wide = df.agg(*aggs)
+            t = F.col(f"t{i}")
+            aggs += [F.count(t).alias(f"n{i}"), F.sum(t).alias(f"s{i}")]
+            aggs += [F.var_pop(_from_log(t, lam, family)).alias(f"v{i}_{j}") for j, lam in enumerate(grid[f])]
+        wide = logs.agg(*aggs)
         rows = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(float(lam)).alias("lambda"),
                                   F.col(f"n{i}").cast("long").alias("n"),
                                   ((F.lit(float(lam)) - 1) * F.col(f"s{i}")
@@ -102,7 +113,6 @@ def fit(df: DataFrame, features: list[str], family: str = "boxcox") -> list[Fit]
     """The exponent of every feature. What comes back to the driver is one number per column."""
     if not features:
         return []
-    log = (lambda f: F.ln(_value(f, family))) if family == "boxcox" else (lambda f: signed_log(_value(f, family)))
     ranges: dict[str, tuple[float, float]] = {}
     for part in chunks(features):
         row = df.agg(*[a for i, f in enumerate(part) for a in (
@@ -127,7 +137,7 @@ def fit(df: DataFrame, features: list[str], family: str = "boxcox") -> list[Fit]
             width = (high - low) / BINS or 1.0
             slot = F.least(F.floor((F.col(f"__t{i}") - low) / width), F.lit(BINS - 1)).cast("int")
             cells.append(F.struct(F.lit(i).alias("i"), F.greatest(slot, F.lit(0)).alias("bin"), F.col(f"__t{i}").alias("t")))
-        logs = df.select(*[log(f).alias(f"__t{i}") for i, f in enumerate(alive)])
+        logs = df.select(*[_log(f, family).alias(f"__t{i}") for i, f in enumerate(alive)])
         sketch = logs.select(F.inline(F.array(*cells))).groupBy("i", "bin").agg(
             F.count("*").alias("n"), F.sum("t").alias("s"))
         peaks = sketch.groupBy("i").applyInPandas(
@@ -165,14 +175,16 @@ def record(before: DataFrame, fits: list[Fit], family: str = "boxcox") -> DataFr
     out = None
     by_name = {f.feature: f for f in fits}
     for part in chunks([f.feature for f in fits], EXACT_CHUNK):
-        aggs = []
+        aggs, columns = [], []
         for i, name in enumerate(part):
-            pre, lam = fill_zero(col(name).cast("double")), by_name[name].lam
-            post = _transform(_value(name, family), lam, family) if lam is not None else F.lit(0.0)
+            lam = by_name[name].lam
+            columns += [fill_zero(col(name).cast("double")).alias(f"a{i}"),
+                        (_transform(_value(name, family), lam, family) if lam is not None else F.lit(0.0)).alias(f"b{i}")]
+            pre, post = F.col(f"a{i}"), F.col(f"b{i}")
             text = F.lit(f"{lam:.3f}" if lam is not None else "Failed")
             aggs.append(F.struct(F.lit(name).alias("Feature"), F.avg(pre).alias("Pre_Mean"), text.alias("Lambda"),
                                  F.avg(post).alias("Post_Mean"), F.min(post).alias("Post_Min"),
                                  F.max(post).alias("Post_Max")).alias(f"r{i}"))
-        rows = before.agg(*aggs).select(F.inline(F.array(*[F.col(f"r{i}") for i in range(len(part))])))
+        rows = before.select(*columns).agg(*aggs).select(F.inline(F.array(*[F.col(f"r{i}") for i in range(len(part))])))
         out = rows if out is None else out.unionByName(rows)
     return out
