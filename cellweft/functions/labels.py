@@ -56,11 +56,15 @@ def parse_map(label: Column, delimiter: str = "|") -> Column:
     return F.when(label.isNotNull(), F.map_from_arrays(names, F.transform(names, last)))
 
 
-def key_label(label: Column, marker: Column, delimiter: str = "|") -> Column:
-    """Tokens equal to the marker with an optional sign, in any case, joined by ``|``; '' if none."""
+def own_tokens(parts: Column, marker: Column) -> Column:
+    """Those of an array of tokens that equal the marker with an optional sign, in any case."""
     wanted = F.lower(marker)
-    keep = lambda t: F.lower(t).isin(wanted, F.concat(wanted, F.lit("+")), F.concat(wanted, F.lit("-")))
-    return F.coalesce(F.array_join(F.filter(tokens(label, delimiter), keep), "|"), F.lit(""))
+    return F.filter(parts, lambda t: F.lower(t).isin(wanted, F.concat(wanted, F.lit("+")), F.concat(wanted, F.lit("-"))))
+
+
+def key_label(label: Column, marker: Column, delimiter: str = "|") -> Column:
+    """The marker's own tokens joined by ``|``; '' if none."""
+    return F.coalesce(F.array_join(own_tokens(tokens(label, delimiter), marker), "|"), F.lit(""))
 
 
 def append_tokens(label: Column, extra: Column, delimiter: str = "|") -> Column:

@@ -17,15 +17,15 @@ def training_rows(df: DataFrame, label: str = "Classification", delimiter: str =
     ``conflict`` marks rows carrying both signs of the marker; their key ends in the later sign.
     """
     keep = keep if keep is not None else df.columns
-    signed = df.filter(col(label).isNotNull()).select(
-        *[col(k) for k in dict.fromkeys([*keep, label])],
-        F.explode(L.signed_tokens(col(label), delimiter)).alias("__token"))
-    marked = signed.withColumn("__marker", L.marker_of(F.col("__token")))
-    own = L.key_label(col(label), F.col("__marker"), delimiter)
-    pair = F.split(own, r"\|")
-    return marked.select(
-        *[col(k) for k in keep], F.col("__marker").alias("marker"), F.col("__token").alias("label"), own.alias("key_label"),
-        (F.exists(pair, lambda t: t.endswith("+")) & F.exists(pair, lambda t: t.endswith("-"))).alias("conflict"))
+    names = [col(k) for k in keep]
+    # Each step reads the arrays of the one before, so no label text is cut up twice.
+    parts = df.filter(col(label).isNotNull()).select(*names, L.tokens(col(label), delimiter).alias("__tokens"))
+    each = parts.select(*names, "__tokens", F.explode(F.array_distinct(F.filter("__tokens", L.is_signed))).alias("__token"))
+    marked = each.withColumn("__marker", L.marker_of(F.col("__token")))
+    own = marked.withColumn("__own", L.own_tokens(F.col("__tokens"), F.col("__marker")))
+    ends = lambda sign: F.exists("__own", lambda t: t.endswith(sign))
+    return own.select(*names, F.col("__marker").alias("marker"), F.col("__token").alias("label"),
+                      F.array_join("__own", "|").alias("key_label"), (ends("+") & ends("-")).alias("conflict"))
 
 
 def marker_table(df: DataFrame, marker: str, label: str = "Classification", delimiter: str = "|") -> DataFrame:
