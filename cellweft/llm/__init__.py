@@ -1,6 +1,6 @@
 """Operators of a training-data pipeline; nothing else in the library imports them."""
 
-from cellweft.llm import ann_lists, byte_bpe, chat_format, exact_topk, license_scan, packing, quality, toxicity
+from cellweft.llm import ann_lists, byte_bpe, chat_format, exact_topk, license_scan, packing, quality, shingle_join, toxicity
 from cellweft.llm.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "ann_lists", "byte_bpe", "chat_format", "exact_topk", "license_scan", "packing", "quality", "toxicity"]
+__all__ = ["ORACLES", "QUERIES", "ann_lists", "byte_bpe", "chat_format", "exact_topk", "license_scan", "packing", "quality", "shingle_join", "toxicity"]
