@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -129,6 +130,16 @@ def scored(docs: DataFrame, score, modulus: int, held: int, threshold: float, bl
         (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
+def kept_rows(docs: DataFrame, score, keep, block: int = BLOCK) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose score ``keep`` accepts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, block):
+                part = batch.slice(at, block)
+                yield part.filter(pa.array(keep(score(part.column("text").to_pylist()))))
+    return docs.mapInArrow(run, docs.schema)
+
+
 def quality_model(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1) -> dict:
     rows = training_rows(docs, labels, "quality", modulus, held, SAMPLE).toPandas().sort_values("doc_id")
     return fit(list(rows["text"]), rows["y"].to_numpy(float))
@@ -140,6 +151,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, source: DataFrame | None
     return scored(docs, lambda texts: vote(model.value, texts), 3, 1, 0.5)
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    model = docs.sparkSession.sparkContext.broadcast(quality_model(docs if source is None else source, labels))
+    return kept_rows(docs, lambda texts: vote(model.value, texts), lambda s: s >= 0.5)
+
+
 @query("op8_quality")
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

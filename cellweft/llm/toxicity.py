@@ -19,16 +19,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cellweft.llm.common import table
 from cellweft.llm.license_scan import words_of
-from cellweft.llm.quality import scored, training_rows
+from cellweft.llm.quality import kept_rows, scored, training_rows
 from cellweft.llm.registry import query
 
 SAMPLE = 3000        # labelled documents learned from, at most, chosen by a hash of their id
 WINDOW, STEP = 24, 20
 BUCKETS, GRAMS, SPELLED = 16384, 2048, 8
 WORD, CHAR, HIDDEN = 8, 4, 8
-ROUNDS, BATCH, RATE, DECAY = 8, 256, 0.01, 1e-4
+ROUNDS, BATCH, RATE, DECAY = 16, 128, 0.01, 1e-4
+HARDEST = 3
 TOGETHER = 1024      # windows scored together
 KNOWN = 300_000
+THRESHOLD = 0.3
 
 
 def word_code(word: bytes) -> np.ndarray:
@@ -188,7 +190,15 @@ def fit(texts: list[str | None], y: np.ndarray, rounds: int = ROUNDS, seed: int
     m["word"][0] = 0
     first, second = ({k: np.zeros_like(v) for k, v in m.items()} for _ in range(2))
     rng, step, y = np.random.default_rng(seed), 0, y.astype(np.float32)
-    rank = m["word"][code[:, 0], 0][spots].max(1)
+    # Windows to learn from: of each document the HARDEST by log-odds, and as many at random.
+    rank = np.sort(m["word"][code[:, 0], 0][spots], 1)[:, -3:] @ np.array([0.1, 0.2, 1.0])
+    place = np.empty(len(owner), int)
+    keep = np.zeros(len(owner), bool)
+    for key in (-rank, rng.random(len(owner))):
+        order = np.lexsort((key, owner))
+        place[order] = np.arange(len(owner)) - np.searchsorted(owner, owner)[order]
+        keep |= place < HARDEST
+    spots, owner, rank = spots[keep], owner[keep], rank[keep]
     for _ in range(rounds):
         # Each document's highest window, and for label 0 a second one at random, so that all its windows count.
         order = np.lexsort((rank, owner))
@@ -236,10 +246,9 @@ class Scorer:
         return sigmoid(out)
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, source: DataFrame | None = None) -> DataFrame:
-    """Score ``docs`` with the model learned from ``source`` (``docs`` itself if not given)."""
-    rows = training_rows(docs if source is None else source, labels, "toxic", 4, 2, SAMPLE).toPandas()
-    rows = rows.sort_values("doc_id")
+def learned(docs: DataFrame, labels: DataFrame):
+    """A function that maps lists of texts to scores, by a model learned on the driver from the bounded sample."""
+    rows = training_rows(docs, labels, "toxic", 4, 2, SAMPLE).toPandas().sort_values("doc_id")
     model = docs.sparkSession.sparkContext.broadcast(fit(list(rows["text"]), rows["y"].to_numpy(float)))
     scorer: list[Scorer] = []
 
@@ -247,8 +256,16 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, source: DataFrame | None
         if not scorer:
             scorer.append(Scorer(model.value))
         return scorer[0](texts)
+    return score
+
+
+def toxicity_scores(docs: DataFrame, labels: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    """Score ``docs`` with the model learned from ``source`` (``docs`` itself if not given)."""
+    return scored(docs, learned(docs if source is None else source, labels), 4, 2, THRESHOLD)
+
 
-    return scored(docs, score, 4, 2, 0.3)
+def keep_clean(docs: DataFrame, labels: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    return kept_rows(docs, learned(docs if source is None else source, labels), lambda s: s < THRESHOLD)
 
 
 @query("op5_toxicity")
