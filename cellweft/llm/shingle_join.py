@@ -170,34 +170,37 @@ def jaccard_classes(docs: DataFrame, n: int = 5, share: tuple[int, int] = (4, 5)
                 own = [shingles(t, n) for t in part["text"]]
                 yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "n_shingles": [len(s) for s in own],
                                     "class": [xxhash.xxh128_digest(s.tobytes()) for s in own],
-                                    "hashes": [s.astype("<u8").tobytes() for s in own]})
+                                    "keys": [part_keys(s, share) if len(s) else np.empty(0, np.int64) for s in own]})
 
-    every = settle(plain(docs, "doc_id", "text").mapInPandas(
-        sets, "doc_id long, n_shingles long, class binary, hashes binary"), "shingles")
-    # One document stands for its class; sets are read again only for those.
+    docs = plain(docs, "doc_id", "text")
+    every = settle(docs.mapInPandas(
+        sets, "doc_id long, n_shingles long, class binary, keys array<long>"), "shingles")
+    # One document stands for its class; only those in clusters have their sets built again, from their texts.
     heads = every.where("n_shingles > 0 and doc_id is not null").groupBy("class").agg(F.min("doc_id").alias("head"))
     heads = settle(heads, "heads")
+    own_class = (F.col("doc_id") == F.col("head")) & (F.col("class") == F.col("c"))
+    keys = every.join(heads.select("head", F.col("class").alias("c")), own_class).select(
+        "head", F.explode("keys").alias("key"))
+    first = keys.groupBy("key").agg(F.min("head").alias("low"), F.count("*").alias("c")).where("c > 1").drop("c")
+    chained = keys.join(first, "key").where("head <> low").select(F.col("head").alias("a"), F.col("low").alias("b"))
+    clusters = components(chained)
 
-    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rebuilt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.iloc[at:at + 256]
-                yield pd.DataFrame({"head": part["head"], "keys": [
-                    part_keys(np.frombuffer(h, "<u8"), share) for h in part["hashes"]]})
-
-    lone = every.join(heads.select(F.col("head"), F.col("class").alias("c")),
-                      (F.col("doc_id") == F.col("head")) & (F.col("class") == F.col("c"))).select("head", "hashes")
-    lone = settle(lone.dropDuplicates(["head"]), "sets")
-    keys = settle(lone.mapInPandas(keyed, "head long, keys array<long>").select("head", F.explode("keys").alias("key")), "keys")
-    first = keys.groupBy("key").agg(F.min("head").alias("low"), F.count("*").alias("c")).where("c > 1").drop("c")
-    chained = keys.join(first, "key").where("head <> low").select(F.col("head").alias("a"), F.col("low").alias("b"))
-    clusters = components(chained)
+                own = [shingles(t, n) for t in part["text"]]
+                right = [xxhash.xxh128_digest(s.tobytes()) == c for s, c in zip(own, part["class"])]
+                out = part[["head", "component", "blocks"]].assign(hashes=[s.tobytes() for s in own])
+                yield out[right]
 
-    placed = lone.join(clusters, F.col("head") == F.col("node")).select(
-        "head", "hashes", "component", F.length("hashes").alias("size"))
+    placed = clusters.join(heads, F.col("head") == F.col("node")).select("head", "class", "component")
     counts = placed.groupBy("component").agg(F.count("*").alias("members"))
     placed = placed.join(counts, "component").withColumn(
-        "blocks", F.ceil(F.col("members") / F.lit(block)).cast("int")).withColumn(
+        "blocks", F.ceil(F.col("members") / F.lit(block)).cast("int"))
+    placed = docs.join(placed, F.col("doc_id") == F.col("head")).select(
+        "head", "class", "component", "blocks", "text").mapInPandas(
+        rebuilt, "head long, component long, blocks int, hashes binary").withColumn(
         "block", F.pmod(F.xxhash64("head"), F.col("blocks")).cast("int"))
     # A class goes to every pair of blocks that holds its own.
     pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
@@ -205,6 +208,8 @@ def jaccard_classes(docs: DataFrame, n: int = 5, share: tuple[int, int] = (4, 5)
         "hashes")
 
     def link(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        # A repeated row of a head is the same set again.
+        pdf = pdf.drop_duplicates("head")
         pdf = pdf.assign(size=pdf["hashes"].map(len)).sort_values(["size", "head"])
         sides = [pdf[pdf["block"] == key[1]], pdf[pdf["block"] == key[2]]] if key[1] != key[2] else [pdf]
         sides = [s for s in sides if len(s)]
