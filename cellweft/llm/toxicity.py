@@ -2,7 +2,7 @@
 
 A text is cut into windows of WINDOW words, STEP apart, so that they overlap and cover all of it. A word's input is a
 hashed word embedding, whose first component starts from the word's smoothed log-odds among the training documents,
-beside the mean of its character trigrams' embeddings. Two gated recurrent layers read the window in both directions,
+beside the mean of the embeddings of its character grams (beginnings and trigrams) and the highest of their log-odds. Two gated recurrent layers read the window in both directions,
 attention pools their states, and the document's score is that of its highest window. Training knows document labels
 only: each round takes every document's highest window and steps on those (multiple-instance learning).
 
@@ -24,7 +24,10 @@ from cellweft.llm.registry import query
 
 SAMPLE = 3000        # labelled documents learned from, at most, chosen by a hash of their id
 WINDOW, STEP = 24, 20
-BUCKETS, GRAMS, SPELLED = 16384, 2048, 8
+BUCKETS, GRAMS = 16384, 16384
+PREFIXES, TRIGRAMS, LETTERS = (3, 4, 5, 6, 7), 3, 48
+SPELLED = len(PREFIXES) + TRIGRAMS
+P = np.uint64(0x9E3779B97F4A7C15)
 WORD, CHAR, HIDDEN = 8, 4, 8
 ROUNDS, BATCH, RATE, DECAY = 16, 128, 0.01, 1e-4
 HARDEST = 3
@@ -33,16 +36,28 @@ KNOWN = 300_000
 THRESHOLD = 0.3
 
 
-def word_code(word: bytes) -> np.ndarray:
-    """Bucket of the word, then of up to SPELLED of its trigrams spread over it; 0 pads."""
-    out = np.zeros(1 + SPELLED, np.int32)
-    out[0] = 1 + xxhash.xxh32_intdigest(word) % (BUCKETS - 1)
-    text = b"^" + word[:64] + b"$"
-    spots = range(max(1, len(text) - 2))
-    if len(spots) > SPELLED:
-        spots = [i * (len(spots) - 1) // (SPELLED - 1) for i in range(SPELLED)]
-    for slot, i in enumerate(spots):
-        out[1 + slot] = 1 + xxhash.xxh32_intdigest(text[i:i + 3]) % (GRAMS - 1)
+def word_codes(words: list[bytes]) -> np.ndarray:
+    """Bucket of each word, then of its beginnings of PREFIXES bytes and of up to TRIGRAMS trigrams spread over it; 0 pads."""
+    out = np.zeros((len(words), 1 + SPELLED), np.int32)
+    if not words:
+        return out
+    out[:, 0] = [1 + xxhash.xxh32_intdigest(w) % (BUCKETS - 1) for w in words]
+    text = np.array([b"^" + w[:LETTERS] + b"$" for w in words], f"S{LETTERS + 2}")
+    chars = text.view(np.uint8).reshape(len(words), LETTERS + 2).astype(np.uint64)
+    size = (chars > 0).sum(1)
+    rolled = np.zeros(len(words), np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(max(PREFIXES) + 1):
+            rolled = (rolled + chars[:, i] + np.uint64(1)) * P
+            if i in PREFIXES:
+                own = (rolled >> np.uint64(33)) % np.uint64(GRAMS - 1) + np.uint64(1)
+                out[:, 1 + PREFIXES.index(i)] = np.where(size > i, own, 0)
+        last, row = np.maximum(0, size - 3), np.arange(len(words))
+        for slot in range(TRIGRAMS):
+            at = slot * last // (TRIGRAMS - 1)
+            key = ((chars[row, at] * np.uint64(65536) + chars[row, at + 1] * np.uint64(256) + chars[row, at + 2]) * P)
+            own = (key >> np.uint64(33)) % np.uint64(GRAMS - 1) + np.uint64(1)
+            out[:, 1 + len(PREFIXES) + slot] = np.where((slot == 0) | (slot <= last), own, 0)
     return out
 
 
@@ -52,10 +67,10 @@ def windows_of(n: int) -> np.ndarray:
 
 def start_model(seed: int = 5) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
-    d, h = WORD + CHAR, HIDDEN
+    d, h = WORD + CHAR + 1, HIDDEN
     m = {"word": rng.normal(0, 0.1, (BUCKETS, WORD)), "char": rng.normal(0, 0.1, (GRAMS, CHAR)),
          "att": rng.normal(0, 0.3, (2 * h, h)), "att_v": rng.normal(0, 0.3, h), "out": rng.normal(0, 0.3, 2 * h),
-         "bias": np.zeros(1)}
+         "bias": np.zeros(1), "odds": np.zeros(GRAMS)}
     for way in "fb":
         m["w" + way] = rng.normal(0, 0.3, (d, 3 * h))
         m["u" + way] = rng.normal(0, 0.3, (h, 3 * h))
@@ -68,7 +83,8 @@ def inputs(m: dict, codes: np.ndarray) -> np.ndarray:
     """Input vectors of words by their codes."""
     spelled = codes[..., 1:]
     n = np.maximum(1, (spelled > 0).sum(-1, keepdims=True)).astype(np.float32)
-    return np.concatenate([m["word"][codes[..., 0]], m["char"][spelled].sum(-2) / n], -1)
+    highest = m["odds"][spelled].max(-1, keepdims=True)
+    return np.concatenate([m["word"][codes[..., 0]], m["char"][spelled].sum(-2) / n, highest], -1)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -153,7 +169,7 @@ def gradients(m: dict, codes: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray
     np.add.at(g["word"], codes[..., 0], dx[..., :WORD])
     spelled = codes[..., 1:]
     n = np.maximum(1, (spelled > 0).sum(-1, keepdims=True))
-    np.add.at(g["char"], spelled, np.repeat((dx[..., WORD:] / n)[..., None, :], SPELLED, -2))
+    np.add.at(g["char"], spelled, np.repeat((dx[..., WORD:WORD + CHAR] / n)[..., None, :], SPELLED, -2))
     g["word"][0], g["char"][0] = 0, 0
     return g
 
@@ -161,12 +177,11 @@ def gradients(m: dict, codes: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray
 def index_texts(texts: list[str | None], lexicon: dict[bytes, int], codes: list[np.ndarray]):
     """Windows of all texts as word indexes, and the text each belongs to."""
     spots, owner = [], []
-    for i, text in enumerate(texts):
-        own = words_of(text)
-        for w in set(own):
-            if w not in lexicon:
-                lexicon[w] = len(codes)
-                codes.append(word_code(w))
+    every = [words_of(text) for text in texts]
+    fresh = sorted({w for own in every for w in own}.difference(lexicon))
+    lexicon.update(zip(fresh, range(len(codes), len(codes) + len(fresh))))
+    codes.extend(word_codes(fresh))
+    for i, own in enumerate(every):
         starts = windows_of(len(own))
         flat = np.zeros(int(starts[-1]) + WINDOW, np.int32)
         flat[:len(own)] = np.fromiter((lexicon[w] for w in own), np.int32, len(own))
@@ -182,16 +197,23 @@ def fit(texts: list[str | None], y: np.ndarray, rounds: int = ROUNDS, seed: int
     codes: list[np.ndarray] = [np.zeros(1 + SPELLED, np.int32)]
     spots, owner = index_texts(texts, lexicon, codes)
     code, m = np.array(codes), start_model(seed)
-    seen = np.zeros((2, BUCKETS))
+    held, parts = np.zeros((2, BUCKETS)), np.zeros((2, GRAMS))
     for label, text in zip(y, texts):
-        seen[int(label), list({int(code[lexicon[w], 0]) for w in set(words_of(text))})] += 1
-    odds = np.log((seen[1] + 0.5) / ((y == 1).sum() + 1)) - np.log((seen[0] + 0.5) / ((y == 0).sum() + 1))
-    m["word"][:, 0] = odds * seen.sum(0) / (seen.sum(0) + 8)
-    m["word"][0] = 0
+        own = code[[lexicon[w] for w in set(words_of(text))]].reshape(-1, 1 + SPELLED)
+        held[int(label), np.unique(own[:, 0])] += 1
+        parts[int(label), np.unique(own[:, 1:])] += 1
+
+    def log_odds(seen: np.ndarray) -> np.ndarray:
+        odds = np.log((seen[1] + 0.5) / ((y == 1).sum() + 1)) - np.log((seen[0] + 0.5) / ((y == 0).sum() + 1))
+        return odds * seen.sum(0) / (seen.sum(0) + 8)
+
+    m["word"][:, 0], m["odds"] = log_odds(held), log_odds(parts).astype(np.float32)
+    m["word"][0], m["odds"][0] = 0, 0
     first, second = ({k: np.zeros_like(v) for k, v in m.items()} for _ in range(2))
     rng, step, y = np.random.default_rng(seed), 0, y.astype(np.float32)
     # Windows to learn from: of each document the HARDEST by log-odds, and as many at random.
-    rank = np.sort(m["word"][code[:, 0], 0][spots], 1)[:, -3:] @ np.array([0.1, 0.2, 1.0])
+    strength = np.maximum(m["word"][code[:, 0], 0], m["odds"][code[:, 1:]].max(1))
+    rank = np.sort(strength[spots], 1)[:, -3:] @ np.array([0.1, 0.2, 1.0])
     place = np.empty(len(owner), int)
     keep = np.zeros(len(owner), bool)
     for key in (-rank, rng.random(len(owner))):
