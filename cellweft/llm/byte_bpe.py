@@ -1,9 +1,9 @@
 """Byte-level BPE by a global shuffle of distinct words.
 
 Texts are cut into pre-tokens; a block of texts keeps its distinct pre-tokens once and, per text, their positions as
-indexes into that list. The distinct pre-tokens of all blocks are encoded once each, joined back to the blocks, and
-each block's texts are put together by position. Decoding joins the distinct ids of a block to the token-byte table.
-A block holds a bounded number of text bytes (one longer text is a block of its own), so no task gathers more.
+indexes into that list. The pre-tokens of all blocks are dealt to buckets by their hash, many to a row, encoded once
+each there, sent back to their blocks, and each block's texts are put together by position. Decoding joins the token-byte
+table, one broadcast row of the vocabulary's size. A block holds a bounded number of text bytes (one longer text is a block of its own), so no task gathers more.
 
 Null texts count as empty and give no ids. Repeated ids and rows stay rows. An empty table gives no rows. Extra
 columns are ignored.
@@ -20,6 +20,8 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import regex
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,8 @@ from cellweft.llm.registry import query
 from cellweft.session import settle
 
 BLOCK_BYTES = 4_000_000
+LEAST_BUCKETS, MOST_BUCKETS = 512, 2048
+KNOWN = 500_000      # words whose ids a task keeps
 DEFAULT = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -76,14 +80,26 @@ def unpressed(data: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T.copy().view("<i4").ravel()
 
 
+def packed_words(words: list[bytes]) -> bytes:
+    return zlib.compress(np.array([len(words), *map(len, words)], "<u4").tobytes() + b"".join(words), 1)
+
+
+def unpacked_words(data: bytes) -> list[bytes]:
+    raw = zlib.decompress(data)
+    n = int(np.frombuffer(raw, "<u4", 1)[0])
+    ends = (4 + 4 * n + np.cumsum(np.frombuffer(raw, "<u4", n, 4), dtype=np.int64)).tolist()
+    return [raw[i:j] for i, j in zip([4 + 4 * n, *ends], ends)]
+
+
 def blocks_of(batches: Iterator[pd.DataFrame], pattern: str, block_bytes: int) -> Iterator[pd.DataFrame]:
     find = regex.compile(pattern).findall
+    # A task that is run again gives its blocks the same numbers.
+    block = TaskContext.get().partitionId() << 32
 
     def close(ids, offsets, spots, words):
         flat = np.concatenate(spots) if spots else np.empty(0, np.int32)
-        key = hashlib.md5(repr((ids, len(words))).encode() + flat.tobytes()).hexdigest()
-        return pd.DataFrame({"block": [key], "doc_ids": [ids], "offsets": [offsets],
-                             "positions": [pressed(flat)], "words": [list(words)]})
+        return pd.DataFrame({"block": [block], "doc_ids": [ids], "offsets": [offsets], "positions": [pressed(flat)],
+                             "words": [packed_words([w.encode() for w in words])]})
 
     ids, offsets, spots, words, size = [], [0], [], {}, 0
     for batch in batches:
@@ -95,69 +111,99 @@ def blocks_of(batches: Iterator[pd.DataFrame], pattern: str, block_bytes: int) -
             size += len(text or "") + 16
             if size >= block_bytes:
                 yield close(ids, offsets, spots, words)
-                ids, offsets, spots, words, size = [], [0], [], {}, 0
+                ids, offsets, spots, words, size, block = [], [0], [], {}, 0, block + 1
     if ids:
         yield close(ids, offsets, spots, words)
 
 
+def gather(starts: np.ndarray, sizes: np.ndarray, spots: np.ndarray) -> np.ndarray:
+    """Indexes of the stretches ``spots``, one after another."""
+    own = sizes[spots]
+    ends = np.cumsum(own)
+    return np.repeat(starts[spots] - ends + own, own) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizers.PATTERN,
            block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """block, doc_ids, offsets (ids of each text end there) and ids (pressed) of every text."""
     blocks = settle(plain(docs, "doc_id", "text").mapInPandas(
         lambda it: blocks_of(it, pattern, block_bytes),
-        "block string, doc_ids array<long>, offsets array<int>, positions binary, words array<string>"), "bpe")
-    uses = blocks.select("block", F.posexplode("words").alias("slot", "word"))
+        "block long, doc_ids array<long>, offsets array<long>, positions binary, words binary"), "bpe")
+    buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, blocks.count()))
 
-    def encode_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ranks = read_ranks(ranks_path)
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"word": batch["word"],
-                                "word_ids": [merge_word(w.encode(), ranks) for w in batch["word"]]})
+            for block, data in zip(batch["block"], batch["words"]):
+                words = unpacked_words(data)
+                bucket = np.array([xxhash.xxh32_intdigest(w) for w in words], np.int64) % buckets
+                order = bucket.argsort(kind="stable")
+                cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+                yield pd.DataFrame([(int(bucket[own[0]]), block, pressed(own), packed_words([words[i] for i in own]))
+                                    for own in np.split(order, cuts[1:]) if len(own)],
+                                   columns=["bucket", "block", "slots", "words"])
 
-    known = uses.select("word").distinct().mapInPandas(encode_words, "word string, word_ids array<int>")
-    back = uses.join(known, "word").groupBy("block").agg(
-        F.sort_array(F.collect_list(F.struct("slot", "word_ids"))).alias("lexicon"))
-    joined = blocks.drop("words").join(back.select("block", F.col("lexicon.word_ids").alias("lexicon")), "block", "left")
+    def encode_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ranks, known = read_ranks(ranks_path), {}
+        for batch in batches:
+            rows = []
+            for block, slots, data in zip(batch["block"], batch["slots"], batch["words"]):
+                own = []
+                for w in unpacked_words(data):
+                    ids = known.get(w)
+                    if ids is None:
+                        if len(known) >= KNOWN:
+                            known.clear()
+                        ids = known[w] = np.array(merge_word(w, ranks), "<i4").tobytes()
+                    own.append(ids)
+                rows.append((block, slots, pressed(np.array([len(x) // 4 for x in own])),
+                             pressed(np.frombuffer(b"".join(own), "<i4"))))
+            yield pd.DataFrame(rows, columns=["block", "slots", "sizes", "word_ids"])
+
+    # All blocks' uses of a word meet in one bucket, a block's at most once; they are encoded once there.
+    dealt = blocks.select("block", "words").mapInPandas(deal, "bucket int, block long, slots binary, words binary")
+    known = dealt.repartition("bucket").mapInPandas(
+        encode_words, "block long, slots binary, sizes binary, word_ids binary")
+    back = known.groupBy("block").agg(F.collect_list(F.struct("slots", "sizes", "word_ids")).alias("lexicon"))
+    joined = blocks.drop("words").join(back, "block", "left")
 
     def assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
-                spots, ends = unpressed(row.positions), np.asarray(row.offsets)
-                lexicon = [np.asarray(x, "<i4") for x in row.lexicon] if row.lexicon is not None else []
-                sizes = np.array([len(x) for x in lexicon] or [0])
-                ids = np.concatenate([lexicon[i] for i in spots]) if len(spots) else np.empty(0, "<i4")
-                cuts = np.concatenate([[0], np.cumsum(sizes[spots] if len(spots) else [])]).astype(np.int64)
+                spots, ends, flat = unpressed(row.positions), np.asarray(row.offsets, np.int64), np.empty(0, "<i4")
+                n = int(spots.max(initial=-1)) + 1
+                starts, sizes = np.zeros(n, np.int64), np.zeros(n, np.int64)
+                if n:
+                    parts = [[unpressed(part[k]) for k in ("slots", "sizes", "word_ids")] for part in row.lexicon]
+                    slots, each, flat = (np.concatenate(x) for x in zip(*parts))
+                    starts[slots], sizes[slots] = np.cumsum(each) - each, each
+                cuts = np.concatenate([[0], np.cumsum(sizes[spots])]).astype(np.int64)
                 yield pd.DataFrame({"block": [row.block], "doc_ids": [row.doc_ids], "offsets": [cuts[ends].tolist()],
-                                    "ids": [pressed(ids)]})
+                                    "ids": [pressed(flat[gather(starts, sizes, spots)])]})
 
-    return settle(joined.mapInPandas(assemble, "block string, doc_ids array<long>, offsets array<long>, ids binary"),
-                  "bpe_ids")
+    return joined.mapInPandas(assemble, "block long, doc_ids array<long>, offsets array<long>, ids binary")
 
 
 def token_bytes(spark: SparkSession, ranks_path: str) -> DataFrame:
-    """id, bytes: the token-byte table; its size is the vocabulary's."""
+    """vocabulary, token_ids, tokens: the token-byte table in one row; its size is the vocabulary's."""
     ranks = read_ranks(ranks_path)
-    return spark.createDataFrame(pd.DataFrame({"id": list(ranks.values()), "bytes": list(ranks)}), "id int, bytes binary")
+    return spark.createDataFrame([(ranks_path, bytearray(pressed(np.array(list(ranks.values())))),
+                                   bytearray(packed_words(list(ranks))))],
+                                 "vocabulary string, token_ids binary, tokens binary")
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every encoded text, the bytes joined from the table."""
-    def distinct_ids(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                yield pd.DataFrame({"block": row.block, "id": np.unique(unpressed(row.ids))})
-
-    used = encoded.select("block", "ids").mapInPandas(distinct_ids, "block string, id int")
-    named = used.join(F.broadcast(token_bytes(encoded.sparkSession, ranks_path)), "id").groupBy("block").agg(
-        F.collect_list("id").alias("known"), F.collect_list("bytes").alias("parts"))
-    joined = encoded.join(named, "block", "left")
+    joined = encoded.withColumn("vocabulary", F.lit(ranks_path)).join(
+        F.broadcast(token_bytes(encoded.sparkSession, ranks_path)), "vocabulary")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part: dict[int, bytes] = {}
         for batch in batches:
             for row in batch.itertuples(index=False):
+                if not part:
+                    part = dict(zip(unpressed(row.token_ids).tolist(), unpacked_words(row.tokens)))
+                    text = {i: str(i) for i in part}
                 ids, rows = unpressed(row.ids).tolist(), []
-                part = dict(zip(row.known, row.parts)) if row.known is not None else {}
-                text = {i: str(i) for i in part}
                 for doc, a, b in zip(row.doc_ids, row.offsets[:-1], row.offsets[1:]):
                     own = ids[a:b]
                     rows.append((doc, b - a, hashlib.sha256(",".join([text[i] for i in own]).encode()).hexdigest(),
