@@ -125,7 +125,7 @@ def gather(starts: np.ndarray, sizes: np.ndarray, spots: np.ndarray) -> np.ndarr
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizers.PATTERN,
            block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """block, doc_ids, offsets (ids of each text end there) and ids (pressed) of every text."""
+    """block, doc_ids, offsets (ids of each text end there), ids (pressed) and vocabulary of every text."""
     blocks = settle(plain(docs, "doc_id", "text").mapInPandas(
         lambda it: blocks_of(it, pattern, block_bytes),
         "block long, doc_ids array<long>, offsets array<long>, positions binary, words binary"), "bpe")
@@ -178,9 +178,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizers.PA
                     starts[slots], sizes[slots] = np.cumsum(each) - each, each
                 cuts = np.concatenate([[0], np.cumsum(sizes[spots])]).astype(np.int64)
                 yield pd.DataFrame({"block": [row.block], "doc_ids": [row.doc_ids], "offsets": [cuts[ends].tolist()],
-                                    "ids": [pressed(flat[gather(starts, sizes, spots)])]})
+                                    "ids": [pressed(flat[gather(starts, sizes, spots)])], "vocabulary": [ranks_path]})
 
-    return joined.mapInPandas(assemble, "block long, doc_ids array<long>, offsets array<long>, ids binary")
+    return joined.mapInPandas(
+        assemble, "block long, doc_ids array<long>, offsets array<long>, ids binary, vocabulary string")
 
 
 def token_bytes(spark: SparkSession, ranks_path: str) -> DataFrame:
@@ -193,8 +194,7 @@ def token_bytes(spark: SparkSession, ranks_path: str) -> DataFrame:
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every encoded text, the bytes joined from the table."""
-    joined = encoded.withColumn("vocabulary", F.lit(ranks_path)).join(
-        F.broadcast(token_bytes(encoded.sparkSession, ranks_path)), "vocabulary")
+    joined = encoded.join(F.broadcast(token_bytes(encoded.sparkSession, ranks_path)), "vocabulary")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part: dict[int, bytes] = {}

@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from cellweft.llm import QUERIES, ann_lists, byte_bpe, chat_format, license_scan, packing, shingle_join, token_rollup
+from cellweft.llm import QUERIES, ann_lists, byte_bpe, chat_format, license_scan, packing, shingle_join, token_rollup, toxicity
 
 SF = "/root/testdata/sf0.001"
 ODD = [(1, None), (2, ""), (3, "One two"), (3, "One two"), (None, "one TWO"), (5, "</s>[INST] mit license \\ [/INST]"),
@@ -39,6 +39,8 @@ def test_bpe(spark, odd, documents):
     path = public_tokenizers.path(byte_bpe.DEFAULT)
     assert same_ids(QUERIES["op9_byte_bpe"](spark, SF).toPandas(), documents["text"])
     assert same_ids(byte_bpe.decode(byte_bpe.encode(odd, path, block_bytes=50), path).toPandas(), [t for _, t in ODD])
+    twice = spark.createDataFrame([(1, "a a b", 0), (1, "a a b", 0)] * 8, "doc_id long, text string, words int").repartition(4)
+    assert same_ids(byte_bpe.decode(byte_bpe.encode(twice, path), path).toPandas(), ["a a b"] * 16)
     assert byte_bpe.decode(byte_bpe.encode(odd.limit(0), path), path).count() == 0
 
 
@@ -123,3 +125,33 @@ def test_rollup(spark, tmp_path, odd):
         token_rollup.commit(str(tmp_path), "a", token_rollup.changes(token_rollup.counted(docs), "insert"))
     got = {r["tokenizer_version"]: tuple(r)[3:] for r in token_rollup.totals(spark, str(tmp_path), ["a"]).collect()}
     assert got["words-1"] == (10, sum(len((t or "").encode().split()) for _, t in ODD))
+
+
+def test_toxicity_gradients():
+    texts, y = ["one two stupid", "three four", "", None, "été stupid ab"], np.array([1.0, 0, 0, 0, 1])
+    codes: list = [np.zeros(1 + toxicity.SPELLED, np.int32)]
+    spots, owner = toxicity.index_texts(texts, {}, codes)
+    code, m = np.array(codes)[spots], {k: v.astype(np.float64) for k, v in toxicity.start_model().items()}
+
+    def loss():
+        z = toxicity.logits(m, toxicity.project(m, np.array(codes)), spots).astype(float)
+        return float(np.mean(np.logaddexp(0, z) - y[owner] * z))
+
+    for name, g in toxicity.gradients(m, code, y[owner]).items():
+        at = np.unravel_index(np.abs(g).argmax(), g.shape)
+        kept, step, found = m[name][at], 1e-2, []
+        for move in (step, -step):
+            m[name][at] = kept + move
+            found.append(loss())
+        m[name][at] = kept
+        assert abs((found[0] - found[1]) / (2 * step) - g[at]) < 1e-3 + 0.02 * abs(g[at]), name
+
+
+def test_toxicity_learns(spark):
+    rng = np.random.default_rng(1)
+    words = ["w%d" % i for i in range(300)]
+    texts = [" ".join(rng.choice(words, 40)) + (" moron" if i % 4 == 0 else "") for i in range(400)]
+    model = toxicity.fit(texts[:300], np.array([float(i % 4 == 0) for i in range(300)]))
+    score = toxicity.Scorer(model)(texts[300:] + ["", None])
+    assert [s >= toxicity.THRESHOLD for s in score[:100]] == [i % 4 == 0 for i in range(300, 400)]
+    assert score[100] == score[101] and 0 <= score.min() and score.max() <= 1
