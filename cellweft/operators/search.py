@@ -41,7 +41,7 @@ def draw(family: str, rng: random.Random, rows: int, wide: bool = False) -> dict
         strength = 10 ** rng.uniform(-4, 3) if wide else 10.0 ** rng.randint(-10, 10)
         mix = {"l2": 0.0, "l1": 1.0, "elasticnet": rng.random() if wide else rng.randrange(24) / 23}
         return {"regParam": 1.0 / (strength * max(rows, 1)), "elasticNetParam": mix[rng.choice(sorted(mix))],
-                "tol": 10 ** (rng.uniform(-6, -2) if wide else -rng.uniform(2, 20)), "maxIter": 200}
+                "tol": 10 ** (rng.uniform(-6, -2) if wide else -rng.uniform(2, 20)), "maxIter": 5000}
     strength = 10 ** rng.uniform(-3, 3)
     return {"regParam": 1.0 / (strength * max(rows, 1)), "maxIter": 100}
 

@@ -1,5 +1,4 @@
-"""Model search, scoring and registry on the cells. Searches use few draws and small forests here;
-the library's defaults are the full ones."""
+"""Model search, scoring and registry on the cells. Searches make all draws on all folds, as the library's defaults do."""
 
 from __future__ import annotations
 
@@ -12,9 +11,6 @@ from cellweft.queries.fixtures import KEY
 from cellweft.session import scratch_path, settle
 from cellweft.sources.cells import BASIC, cells
 
-SMALL = {"forest_trees": 10, "max_depth": 5}
-
-
 def labelled(spark, d, marker="CD8"):
     """Cells with a parsed label of the marker, as training rows."""
     c = cells(spark, d).select("row_key", "source_file", L.parse_marker(F.col("Classification"), marker).cast("double")
@@ -30,7 +26,7 @@ def fit_one(spark, d, family, params, marker="CD8", features=("cd3_cell_median",
 @query("ml_05_supervised_search")
 def supervised_search(spark, d):
     rows = training.training_rows(cells(spark, d), keep=["row_key", *BASIC]).filter("marker = 'CD3'")
-    fitted = search.train_marker(rows, ["cd3_cell_median", "na2_cell_median"], draws=1, splits=2, **SMALL)
+    fitted = search.train_marker(rows, ["cd3_cell_median", "na2_cell_median"])
     return search.board(spark, "CD3", fitted).drop("params")
 
 
@@ -38,12 +34,16 @@ def supervised_search(spark, d):
 def weighted_search(spark, d):
     data = metrics.class_weights(labelled(spark, d), "label")
     data = sampling.group_split(data)
-    folds = sampling.row_folds(data.filter("part <> 'test'"), "label", 2)
-    train = settle(folds.withColumns({f"fold_{i}": F.col("fold") == i for i in range(2)}), "train")
-    fitted = [search.search_family(train, ["fold_0", "fold_1"], f, ["cd3_cell_median", "na2_cell_median", "cd31_cell_median"],
-                                   1, 421, train.count(), "pr_auc", "median", "weight", True, **SMALL)
-              for f in ("RandomForest", "LogisticRegression", "LinearSVC")]
-    search.evaluate(fitted, data.filter("part = 'test'"))
+    train = data.filter("part = 'train'")
+    groups = train.select("source_file").distinct().count()
+    n_folds = min(5, groups) if groups >= 3 else 3
+    folds = sampling.group_folds(train, "label", folds=n_folds) if groups >= 3 else sampling.row_folds(train, "label", n_folds)
+    train = settle(folds.withColumns({f"fold_{i}": F.col("fold") == i for i in range(n_folds)}), "train")
+    fitted = [search.search_family(train, [f"fold_{i}" for i in range(n_folds)], f,
+                                   ["cd3_cell_median", "na2_cell_median", "cd31_cell_median"],
+                                   30 if f != "LinearSVC" else 15, 421, train.count(), "pr_auc", "median", "weight", True)
+              for f in search.RECOVERY_FAMILIES]
+    search.evaluate(fitted, data.filter("part = 'validation'"))
     return metrics.leaderboard(search.board(spark, "CD8", fitted)).drop("params")
 
 
@@ -55,7 +55,8 @@ def _family(name, family, params):
     return run
 
 
-FOREST = {"numTrees": 10, "maxDepth": 5, "impurity": "gini", "minInstancesPerNode": 2, "featureSubsetStrategy": "sqrt"}
+# Trees without a depth limit, as far as Spark lets them grow.
+FOREST = {"numTrees": 100, "maxDepth": 30, "impurity": "gini", "minInstancesPerNode": 2, "featureSubsetStrategy": "sqrt"}
 _family("ml_07_random_forest", "RandomForest", FOREST)
 _family("ml_08_forest_no_bootstrap", "ForestNoBootstrap", FOREST)
 _family("ml_09_logistic", "LogisticRegression", {"regParam": 1e-4, "elasticNetParam": 0.5, "maxIter": 50})
@@ -106,13 +107,17 @@ def threshold(spark, d):
     'cd3_cell_median,cd8_cell_median,cd31_cell_median' as features, count(distinct row_key) as n_scored from tok
     where label in ('CD8+', 'CD8-')""", "tok")
 def model_registry(spark, d):
-    rows, model = fit_one(spark, d, "LogisticRegression", {"regParam": 1e-4, "maxIter": 20})
-    fitted = search.Fitted("LogisticRegression", {}, 0.0, model, scores={"f1": 1.0})
+    features = ["cd3_cell_median", "cd8_cell_median", "cd31_cell_median"]
+    params = {"regParam": 1e-4, "maxIter": 20}
+    rows = settle(sampling.stratified_split(labelled(spark, d), "label", 0.3, 42), "split")
+    model = search._fit(rows.filter("not is_test"), "LogisticRegression", params, features, 421, "mean", None)
+    fitted = search.Fitted("LogisticRegression", params, 0.0, model)
+    search.evaluate([fitted], rows.filter("is_test"))
     path = scratch_path(spark, "model")
     search.save_model(fitted, path)
     loaded = search.load_model(path, "LogisticRegression")
     same = search.transform(loaded, rows).agg(F.count("probability").alias("n")).first()["n"]
-    return search.registry(spark, [("CD8", fitted, path, ["cd3_cell_median", "cd8_cell_median", "cd31_cell_median"])]).select(
+    return search.registry(spark, [("CD8", fitted, path, features)]).select(
         "marker", "family", "f1", F.array_join("features", ",").alias("features")).withColumn("n_scored", F.lit(same).cast("long"))
 
 
