@@ -1,5 +1,9 @@
 """Delta-maintained token counts by source, language and tokenizer version.
 
+Versions are the vocabularies of VOCABULARIES, by which texts are really tokenized, and two that SQL can check: words
+between blanks and bytes. op6_token_counts reports the latter two only, as its SQL has no tokenizer;
+op6_vocabulary_counts reports all four. A document is tokenized once for each of its texts; deletes and replays read the stored counts.
+
 A batch is a table of signed changes: an insert adds a document's count, a delete takes it away, a revision replaces
 the old count by the new one. Every batch is summed to one row per key and committed to a folder of its own, which a
 repeated commit replaces as a whole; totals are the sums over committed batches, so replays and lost executors change
@@ -11,15 +15,62 @@ Repeated rows count each. Empty batches commit and change nothing. Extra columns
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+import public_tokenizers
+import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
+from cellweft.llm.byte_bpe import read_ranks
 from cellweft.llm.common import plain, table
 from cellweft.llm.registry import query
-from cellweft.session import scratch_path
+from cellweft.session import scratch_path, settle
 
 KEYS = ["source", "lang", "tokenizer_version"]
 TOTALS = "source string, lang string, tokenizer_version string, n_docs long, n_tokens long"
+VOCABULARIES = ("word_bpe_49k.json", "byte_bpe_multi_50k.tiktoken")
+CACHE = 300_000      # chunks whose counts a task keeps
+
+
+class Chunks(dict):
+    """Token counts of the chunks between spaces, which bound the vocabulary's words."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        super().__init__()
+        self.tokenizer = tokenizer
+
+    def __missing__(self, chunk: str) -> int:
+        if len(self) >= CACHE:
+            self.clear()
+        n = self[chunk] = len(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+        return n
+
+
+def vocabulary_counter(name: str) -> Callable[[str], int]:
+    """text -> number of ids under a vocabulary, without special tokens."""
+    path = public_tokenizers.path(name)
+    if name.endswith(".json"):
+        counts = Chunks(Tokenizer.from_file(path))
+        return lambda text: sum(map(counts.__getitem__, text.split(" ")))
+    tool = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(path), special_tokens={})
+    return lambda text: len(tool.encode_ordinary(text))
+
+
+def tokenized(docs: DataFrame, names: tuple[str, ...] = VOCABULARIES) -> DataFrame:
+    """doc_id, source, lang, tokenizer_version, n_tokens of every document under every vocabulary."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counters_ = {n: vocabulary_counter(n) for n in names}
+        for batch in batches:
+            texts = [t if isinstance(t, str) else "" for t in batch["text"]]
+            for n, counter in counters_.items():
+                yield batch[["doc_id", "source", "lang"]].astype({"doc_id": "Int64"}).assign(
+                    tokenizer_version=n.split(".")[0], n_tokens=[counter(t) for t in texts])
+
+    rows = plain(docs, "doc_id", "source", "lang", "text")
+    return rows.mapInPandas(count, "doc_id long, source string, lang string, tokenizer_version string, n_tokens long")
 
 
 def counters(text: Column) -> dict[str, Column]:
@@ -86,3 +137,24 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         commit(root, "deletes", changes(counted(gone), "delete"))
         commit(root, "revisions", changes(renewed, "revise"))
     return totals(spark, root, ["inserts", "deletes", "revisions"])
+
+
+@query("op6_vocabulary_counts")
+def op6_vocabulary_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same batches under the real vocabularies, beside the versions of op6_token_counts."""
+    docs, root = table(spark, sf_dir, "documents"), scratch_path(spark, "rollup")
+    return vocabulary_rollup(spark, docs, root).unionByName(op6_token_counts(spark, sf_dir))
+
+
+def vocabulary_rollup(spark: SparkSession, docs: DataFrame, root: str) -> DataFrame:
+    later = F.concat(F.coalesce("text", F.lit("")), F.lit(" revised"))
+    counts = settle(tokenized(docs), "counts")
+    revised = docs.where("pmod(doc_id, 10) = 3").withColumn("text", later)
+    # A revision takes the stored old counts away and brings the new text's.
+    renewed = settle(changes(tokenized(revised), "insert").unionByName(
+        changes(counts.where("pmod(doc_id, 10) = 3"), "delete")), "renewed")
+    commit(root, "inserts", changes(counts, "insert"))
+    for _ in range(2):
+        commit(root, "deletes", changes(counts.where("pmod(doc_id, 10) = 7"), "delete"))
+        commit(root, "revisions", renewed)
+    return totals(spark, root, ["inserts", "deletes", "revisions"])
