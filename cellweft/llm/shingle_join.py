@@ -9,7 +9,7 @@ A cluster's classes, in order of size, are dealt to blocks of at most BLOCK clas
 task's work: both blocks get a signature tree whose nodes hold the OR of their members' token bitmaps and their
 range of sizes, and a dual traversal leaves a pair of nodes when the greatest possible overlap is too small or when all
 their members are already linked through each other. Pairs of leaves are compared exactly. Links found by all tasks
-are closed into components.
+are closed into components. A class is a node of its own number, so texts that share a doc_id stay apart.
 
 Null texts and texts without words have an empty set and link with nothing. With fewer than n words the whole
 sequence is the one n-gram. Exact copies and repeated rows fall into one class; each row comes back. A null doc_id takes part
@@ -23,12 +23,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellweft.llm.common import LOWER, components, plain, table, utf8
 from cellweft.llm.registry import query
-from cellweft.session import settle
+from cellweft.session import attach, settle
 
 BLOCK = 2048         # classes of one block
 LEAF = 16
@@ -161,28 +161,39 @@ def dual_links(left: list[np.ndarray], right: list[np.ndarray] | None, share: tu
     return links
 
 
+def row_hash() -> Column:
+    return F.xxhash64("doc_id", "text")
+
+
 def jaccard_classes(docs: DataFrame, n: int = 5, share: tuple[int, int] = (4, 5), block: int = BLOCK) -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id; documents link when down * both >= up * union."""
+    return jaccard_rows(docs, n, share, block).select("doc_id", "n_shingles", "component_id")
+
+
+def jaccard_rows(docs: DataFrame, n: int, share: tuple[int, int], block: int = BLOCK) -> DataFrame:
+    """jaccard_classes with copy, a hash of doc_id and text, and node, which is the component's own number (null for
+    rows that take part in none); components of several texts of one id have the same component_id and different nodes."""
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.iloc[at:at + 256]
                 own = [shingles(t, n) for t in part["text"]]
-                yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "n_shingles": [len(s) for s in own],
+                yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "copy": part["copy"],
+                                    "n_shingles": [len(s) for s in own],
                                     "class": [xxhash.xxh128_digest(s.tobytes()) for s in own],
                                     "keys": [part_keys(s, share) if len(s) else np.empty(0, np.int64) for s in own]})
 
     docs = plain(docs, "doc_id", "text")
-    every = settle(docs.mapInPandas(
-        sets, "doc_id long, n_shingles long, class binary, keys array<long>"), "shingles")
+    every = settle(docs.withColumn("copy", row_hash()).mapInPandas(
+        sets, "doc_id long, copy long, n_shingles long, class binary, keys array<long>"), "shingles")
     # One document stands for its class; only those in clusters have their sets built again, from their texts.
     heads = every.where("n_shingles > 0 and doc_id is not null").groupBy("class").agg(F.min("doc_id").alias("head"))
-    heads = settle(heads, "heads")
+    heads = settle(heads.withColumn("node", F.monotonically_increasing_id()), "heads")
     own_class = (F.col("doc_id") == F.col("head")) & (F.col("class") == F.col("c"))
-    keys = every.join(heads.select("head", F.col("class").alias("c")), own_class).select(
-        "head", F.explode("keys").alias("key"))
-    first = keys.groupBy("key").agg(F.min("head").alias("low"), F.count("*").alias("c")).where("c > 1").drop("c")
-    chained = keys.join(first, "key").where("head <> low").select(F.col("head").alias("a"), F.col("low").alias("b"))
+    keys = every.join(heads.select("head", "node", F.col("class").alias("c")), own_class).select(
+        "node", F.explode("keys").alias("key"))
+    first = keys.groupBy("key").agg(F.min("node").alias("low"), F.count("*").alias("c")).where("c > 1").drop("c")
+    chained = keys.join(first, "key").where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b"))
     clusters = components(chained)
 
     def rebuilt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -191,41 +202,45 @@ def jaccard_classes(docs: DataFrame, n: int = 5, share: tuple[int, int] = (4, 5)
                 part = batch.iloc[at:at + 256]
                 own = [shingles(t, n) for t in part["text"]]
                 right = [xxhash.xxh128_digest(s.tobytes()) == c for s, c in zip(own, part["class"])]
-                out = part[["head", "component", "blocks"]].assign(hashes=[s.tobytes() for s in own])
+                out = part[["node", "component", "blocks"]].assign(hashes=[s.tobytes() for s in own])
                 yield out[right]
 
-    placed = clusters.join(heads, F.col("head") == F.col("node")).select("head", "class", "component")
+    placed = clusters.join(heads, "node").select("node", "head", "class", "component")
     counts = placed.groupBy("component").agg(F.count("*").alias("members"))
     placed = placed.join(counts, "component").withColumn(
         "blocks", F.ceil(F.col("members") / F.lit(block)).cast("int"))
     placed = docs.join(placed, F.col("doc_id") == F.col("head")).select(
-        "head", "class", "component", "blocks", "text").mapInPandas(
-        rebuilt, "head long, component long, blocks int, hashes binary").withColumn(
-        "block", F.pmod(F.xxhash64("head"), F.col("blocks")).cast("int"))
+        "node", "class", "component", "blocks", "text").mapInPandas(
+        rebuilt, "node long, component long, blocks int, hashes binary").withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # A class goes to every pair of blocks that holds its own.
     pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "component", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "head",
+        "component", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "node",
         "hashes")
 
     def link(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        # A repeated row of a head is the same set again.
-        pdf = pdf.drop_duplicates("head")
-        pdf = pdf.assign(size=pdf["hashes"].map(len)).sort_values(["size", "head"])
+        # A repeated row of a node is the same set again.
+        pdf = pdf.drop_duplicates("node")
+        pdf = pdf.assign(size=pdf["hashes"].map(len)).sort_values(["size", "node"])
         sides = [pdf[pdf["block"] == key[1]], pdf[pdf["block"] == key[2]]] if key[1] != key[2] else [pdf]
         sides = [s for s in sides if len(s)]
         if key[1] != key[2] and len(sides) < 2:
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
         own = [[np.frombuffer(h, "<u8") for h in s["hashes"]] for s in sides]
-        names = np.concatenate([s["head"].to_numpy() for s in sides])
+        names = np.concatenate([s["node"].to_numpy() for s in sides])
         found = np.array(dual_links(own[0], own[1] if len(own) > 1 else None, share), int).reshape(-1, 2)
         return pd.DataFrame({"a": names[found[:, 0]], "b": names[found[:, 1]]})
 
     linked = components(pairs.groupBy("component", "p", "q").applyInPandas(link, "a long, b long"))
-    named = heads.join(linked, F.col("head") == F.col("node"), "left").select(
-        "class", F.coalesce("component", "head").alias("component_id"))
-    alone = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("component_id")).otherwise(F.col("doc_id"))
-    return every.select("doc_id", "n_shingles", "class").join(named, "class", "left").select(
-        "doc_id", "n_shingles", alone.alias("component_id"))
+    # A component's smallest node need not be that of its smallest document.
+    names = linked.join(heads, "node").groupBy("component").agg(F.min("head").alias("low"))
+    members = heads.join(linked, "node", "left").select("class", "head", F.coalesce("component", "node").alias("node"))
+    named = attach(members, names.select(F.col("component").alias("node"), "low"), ["node"]).select(
+        "class", "node", F.coalesce("low", "head").alias("component_id"))
+    linking = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    return every.select("doc_id", "n_shingles", "class", "copy").join(named, "class", "left").select(
+        "doc_id", "n_shingles", F.when(linking, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(linking, F.col("node")).alias("node"), "copy")
 
 
 @query("op2_jaccard_join")
