@@ -31,6 +31,7 @@ from cellweft.session import attach, settle
 BLOCK = 256       # words of a block
 BUCKET_ROWS = 512  # documents of a source that one window orders
 STEP = 65536      # elements that one row is exploded to at a time
+SLOTS_STEP = 8192  # slots of a source that are made at a time
 WORD = r"[^\x20\x09-\x0D]+"
 ROW = ["sid", "doc_id", "content", "copy", "size"]
 
@@ -42,16 +43,19 @@ class Mix:
     spans: DataFrame    # position, sid, pass, doc_id, content, copy, size, start, length: what stands in the mix, in order
 
 
-def exploded(df: DataFrame, n: str, name: str) -> DataFrame:
-    """One row per number below ``n`` (column ``name``); long rows are spread over tasks before they are exploded."""
-    few = df.where(F.col(n) <= STEP).select("*", F.explode(F.expr(f"sequence(0L, {n} - 1)")).alias(name))
-    many = df.where(F.col(n) > STEP)
-    if not many.limit(1).count():
+def exploded(df: DataFrame, n: str, name: str, step: int | None = None) -> DataFrame:
+    """One row per number below ``n`` (column ``name``); rows of more than ``step`` are dealt to tasks in parts first."""
+    step = STEP if step is None else step
+    few = df.where(F.col(n) <= step).select("*", F.explode(F.expr(f"sequence(0L, {n} - 1)")).alias(name))
+    many = df.where(F.col(n) > step)
+    total = many.agg(F.sum(n)).first()[0]
+    if not total:
         return few
-    parts = many.select("*", F.explode(F.expr(f"sequence(0L, ({n} - 1) div {STEP})")).alias("__part")).repartition(
-        F.xxhash64("__part", *[F.col(c) for c in df.columns]))
+    parts = many.select("*", F.explode(F.expr(f"sequence(0L, ({n} - 1) div {step})")).alias("__part"))
+    # The number of tasks is given, as small rows that grow when exploded would be dealt to few.
+    parts = parts.repartition(-(-total // (4 * step)), F.xxhash64("__part", *[F.col(c) for c in df.columns]))
     inside = parts.select(*df.columns, F.explode(F.expr(
-        f"sequence(__part * {STEP}, least({n}, (__part + 1) * {STEP}) - 1)")).alias(name))
+        f"sequence(__part * {step}, least({n}, (__part + 1) * {step}) - 1)")).alias(name))
     return few.unionByName(inside)
 
 
@@ -95,7 +99,7 @@ def schedule(sources: DataFrame) -> DataFrame:
     """sid, rank (of the slot among its source's), position (among all): ``sources`` has sid, slots and first (cumulative)."""
     total = sources.agg(F.sum("slots")).first()[0] or 0
     bits = max(total - 1, 1).bit_length()
-    own = exploded(sources.where("slots > 0").select("sid", "slots", "first"), "slots", "k")
+    own = exploded(sources.where("slots > 0").select("sid", "slots", "first"), "slots", "k", SLOTS_STEP)
     own = own.select("sid", (F.col("first") + F.col("k")).alias("v"), "first", (F.col("first") + F.col("slots")).alias("end"))
     return own.select("sid", reversed_rank("v", "first", "end", bits).alias("rank"),
                       reversed_rank("v", "0L", f"{total}L", bits).alias("position"))
