@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellweft.functions.keys import seeded
+from cellweft.operators.prefix import offsets
 from cellweft.operators.ranks import hash_cut
 from cellweft.session import attach, col, settle
 
@@ -78,18 +79,53 @@ def group_split(df: DataFrame, group: str = "source_file", test: float = 0.3, va
 
 
 def group_folds(df: DataFrame, label: str, group: str = "source_file", folds: int = 5) -> DataFrame:
-    """``fold`` by whole groups, balanced: groups are dealt out in turns, forward and back, by their
-    number of positives and then of rows."""
-    sizes = df.groupBy(col(group)).agg(F.sum(col(label).cast("long")).alias("__p"), F.count("*").alias("__n"))
-    # One row per group (file): metadata, ranked in one window.
-    turn = F.row_number().over(Window.orderBy(F.desc("__p"), F.desc("__n"), col(group))) - 1
-    lap, place = F.floor(turn / folds), F.pmod(turn, F.lit(folds))
-    fold = F.when(lap % 2 == 0, place).otherwise(folds - 1 - place).cast("int")
-    dealt = settle(sizes.select(col(group), fold.alias("fold")), "folds")
-    return attach(df, dealt, [group])
+    """``fold`` by whole groups, stratified: the groups whose class counts differ most go first, each to the fold that
+    leaves the folds' shares of the classes most even (the emptier, then the lower fold on ties).
+
+    One row per group (file) comes to the driver: its name and its class counts.
+    """
+    counts = df.groupBy(col(group).alias("g"), col(label).cast("string").alias("c")).agg(F.count("*").alias("n")).collect()
+    classes = sorted({r["c"] or "" for r in counts})
+    sizes: dict[object, list[int]] = {}
+    for r in counts:
+        sizes.setdefault(r["g"], [0] * len(classes))[classes.index(r["c"] or "")] += r["n"]
+    total = [max(sum(s[k] for s in sizes.values()), 1) for k in range(len(classes))]
+    held = [[0] * len(classes) for _ in range(folds)]
+
+    def deviation(values: list[float]) -> float:
+        mean = sum(values) / len(values)
+        return (sum((v - mean) ** 2 for v in values) / len(values)) ** 0.5
+
+    def uneven(i: int, more: list[int]) -> tuple[float, int, int]:
+        own = [[h + m if j == i else h for h, m in zip(row, more)] for j, row in enumerate(held)]
+        shares = [deviation([row[k] / total[k] for row in own]) for k in range(len(classes))]
+        return round(sum(shares) / len(shares), 12), sum(held[i]), i
+
+    rows = []
+    for name, own in sorted(sizes.items(), key=lambda x: (-round(deviation(x[1]), 9), -sum(x[1]), x[0] is None, x[0] or "")):
+        best = min(uneven(i, own) for i in range(folds))[2]
+        held[best] = [h + m for h, m in zip(held[best], own)]
+        rows.append((name, best))
+    kind = df.schema[group].dataType.simpleString()
+    dealt = df.sparkSession.createDataFrame(rows, f"`__group` {kind}, fold int").withColumnRenamed("__group", group)
+    return attach(df, settle(dealt, "folds"), [group])
+
+
+FOLD_ROWS = 2048  # rows that one window ranks
 
 
 def row_folds(df: DataFrame, label: str, folds: int = 3, seed: int = 421, key: str = "row_key") -> DataFrame:
-    """Stratified k-fold by rows, from the hash alone: no shuffle, folds equal up to chance."""
-    return df.withColumn("fold", F.pmod(F.conv(F.substring(seeded(seed, key), 1, 12), 16, 10).cast("long"),
-                                        F.lit(folds)).cast("int"))
+    """Stratified k-fold by rows: a row's fold is its rank by hash among the rows of its label, modulo ``folds``.
+
+    Class counts of the folds differ by one at most. Ranks are counts of smaller hash buckets plus a rank inside the
+    bucket; buckets hold some FOLD_ROWS rows, so no label is sorted in one task.
+    """
+    sizes = settle(df.groupBy(col(label).alias("__label")).agg(F.expr(f"(count(*) - 1) div {FOLD_ROWS} + 1").alias("__buckets")), "sizes")
+    marked = attach(df.withColumns({"__label": col(label), "__h": seeded(seed, key)}), sizes, ["__label"], salt_by=[key])
+    marked = marked.withColumn("__bucket", F.expr("shiftright(cast(conv(substring(__h, 1, 8), 16, 10) as bigint) * __buckets, 32)"))
+    counts = settle(marked.groupBy("__label", "__bucket").agg(F.count("*").alias("n")), "counts")
+    before = settle(offsets(counts, ["__label"], "__bucket", ["n"]).select("__label", "__bucket", "before_n"), "before")
+    inside = F.row_number().over(Window.partitionBy("__label", "__bucket").orderBy("__h", col(key))) - 1
+    placed = attach(marked.withColumn("__inside", inside), before, ["__label", "__bucket"], salt_by=[key])
+    return placed.withColumn("fold", F.pmod(F.col("before_n") + F.col("__inside"), F.lit(folds)).cast("int")).select(
+        *[col(c) for c in df.columns if c != "fold"], "fold")

@@ -1,7 +1,8 @@
 """Random hyper-parameter search, evaluation and choice of binary classifiers.
 
-Draws are seeded parameter lists; a draw that Spark cannot express is not made. Fits run from a
-small driver pool over one stored training table, each fit itself being a distributed job.
+Draws are seeded parameter lists; a draw that cannot be expressed here is not made. All draws of all families are scored on
+all folds by ``grid`` in one job over a bounded sample of the labelled rows; the best draw of each family is then fitted by
+Spark on all training rows.
 """
 
 from __future__ import annotations
@@ -18,45 +19,65 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweft.operators import metrics, sampling
+from cellweft.operators import grid, metrics, sampling
 from cellweft.operators.scaling import numeric_stages
 from cellweft.session import col, settle
 
 FAMILIES = ("RandomForest", "ForestNoBootstrap", "LogisticRegression")
 RECOVERY_FAMILIES = FAMILIES + ("LinearSVC",)
 
-
-def draw(family: str, rng: random.Random, rows: int, wide: bool = False) -> dict:
+# The ranges that draws are made from (supervised search, recovery search).
+IMPURITIES = ("gini", "entropy", "entropy")
+DEPTHS = ((None, *range(5, 30)), (None, *range(3, 14)))
+TREES = ((100, 200), tuple(range(150, 500)))
+LEAVES = tuple(range(1, 10))
+SUBSETS = (("sqrt", "log2"), ("sqrt", "log2", "all"))
+FOREST_WEIGHTS = ((None,), (None, "balanced", "balanced_subsample"))
+LINEAR_WEIGHTS = ((None,), (None, "balanced"))
+PENALTIES = ("elasticnet", "l1", "l2")
+STRENGTHS = tuple(10.0 ** e for e in range(-10, 11))
+TOLERANCES = tuple(10 ** -(2 + i / 2) for i in range(37))
+MIXES = tuple(i / 23 for i in range(24))
+DEEPEST = 30  # no limit, as far as Spark lets trees grow
+
+
+def draw(family: str, rng: random.Random, wide: bool = False) -> dict:
     """One seeded draw. ``wide`` is the recovery search, the other the supervised one."""
-    if family in ("RandomForest", "ForestNoBootstrap"):
-        depth = rng.choice([None] + (list(range(3, 14)) if wide else list(range(5, 30))))
-        return {
-            "impurity": rng.choice(["gini", "entropy", "entropy"]),
-            "numTrees": rng.randint(150, 499) if wide else rng.choice([100, 200]),
-            "maxDepth": 30 if depth is None else depth,
-            "minInstancesPerNode": rng.randint(1, 9),
-            "featureSubsetStrategy": rng.choice(["sqrt", "log2", "all"] if wide else ["sqrt", "log2"]),
-        }
-    if family == "LogisticRegression":
-        strength = 10 ** rng.uniform(-4, 3) if wide else 10.0 ** rng.randint(-10, 10)
-        mix = {"l2": 0.0, "l1": 1.0, "elasticnet": rng.random() if wide else rng.randrange(24) / 23}
-        return {"regParam": 1.0 / (strength * max(rows, 1)), "elasticNetParam": mix[rng.choice(sorted(mix))],
-                "tol": 10 ** (rng.uniform(-6, -2) if wide else -rng.uniform(2, 20)), "maxIter": 5000}
-    strength = 10 ** rng.uniform(-3, 3)
-    return {"regParam": 1.0 / (strength * max(rows, 1)), "maxIter": 100}
-
-
-def classifier(family: str, params: dict, seed: int, weight: str | None = None):
-    common = {"featuresCol": "features", "labelCol": "label"}
+    k = int(wide)
+    if family in grid.FORESTS:
+        return {"impurity": rng.choice(IMPURITIES), "numTrees": rng.choice(TREES[k]),
+                "maxDepth": rng.choice(DEPTHS[k]) or DEEPEST, "minInstancesPerNode": rng.choice(LEAVES),
+                "featureSubset": rng.choice(SUBSETS[k]), "classWeight": rng.choice(FOREST_WEIGHTS[k])}
+    out = {"classWeight": rng.choice(LINEAR_WEIGHTS[k]), "maxIter": 5000}
+    if family == "LinearSVC":
+        return out | {"C": 10 ** rng.uniform(-3, 3), "maxIter": 100}
+    mix = {"l2": 0.0, "l1": 1.0, "elasticnet": rng.random() if wide else rng.choice(MIXES)}[rng.choice(PENALTIES)]
+    return out | {"C": 10 ** rng.uniform(-4, 3) if wide else rng.choice(STRENGTHS), "elasticNetParam": mix,
+                  "tol": 10 ** rng.uniform(-6, -2) if wide else rng.choice(TOLERANCES)}
+
+
+def recovery_draws(draws: int, families: tuple[str, ...] = RECOVERY_FAMILIES) -> dict[str, int]:
+    """Draws of each family; the support vector machine gets half of them, 10 at least."""
+    return {f: draws if f != "LinearSVC" else max(10, draws // 2) for f in families}
+
+
+def classifier(family: str, params: dict, seed: int, weight: str | None = None, total: float = 1.0, features: int = 1):
+    """Spark's estimator for a draw, or for Spark's own parameter names. ``total`` is the summed weight of its rows."""
+    own = {k: v for k, v in params.items() if k not in ("C", "featureSubset", "classWeight")}
+    if "C" in params:
+        own["regParam"] = 1.0 / (params["C"] * max(total, 1.0))
+    if "featureSubset" in params:
+        own["featureSubsetStrategy"] = str(grid.subset_size(params["featureSubset"], features))
+    own |= {"featuresCol": "features", "labelCol": "label"}
     if weight:
-        common["weightCol"] = weight
+        own["weightCol"] = weight
     if family == "RandomForest":
-        return RandomForestClassifier(seed=seed, **common, **params)
+        return RandomForestClassifier(seed=seed, **own)
     if family == "ForestNoBootstrap":
-        return RandomForestClassifier(seed=seed, bootstrap=False, subsamplingRate=1.0, **common, **params)
+        return RandomForestClassifier(seed=seed, bootstrap=False, subsamplingRate=1.0, **own)
     if family == "LogisticRegression":
-        return LogisticRegression(standardization=False, **common, **params)
-    return LinearSVC(standardization=False, **common, **params)
+        return LogisticRegression(standardization=False, **own)
+    return LinearSVC(standardization=False, **own)
 
 
 @dataclass
@@ -70,9 +91,28 @@ class Fitted:
     scores: dict = field(default_factory=dict)
 
 
+def _weigh(rows: DataFrame, params: dict, weight: str | None) -> tuple[DataFrame, str | None, float]:
+    """Rows with the draw's class weights multiplied in, the weight column and its sum.
+
+    Weights drawn per tree ("balanced_subsample") are balanced over all rows here, since Spark's forests take one weight a row.
+    """
+    sizes = rows.groupBy("label").agg(F.count("*").alias("n"), F.sum(col(weight) if weight else F.lit(1.0)).alias("w")).collect()
+    n = sum(r["n"] for r in sizes)
+    if not params.get("classWeight"):
+        return rows, weight, float(sum(r["w"] for r in sizes))
+    factor = {r["label"]: n / (2 * r["n"]) for r in sizes}
+    own = F.lit(1.0)
+    for value, f in factor.items():
+        own = F.when(F.col("label") == value, f).otherwise(own)
+    rows = rows.withColumn("__weight", own * (col(weight) if weight else F.lit(1.0)))
+    return rows, "__weight", float(sum(factor[r["label"]] * r["w"] for r in sizes))
+
+
 def _fit(rows: DataFrame, family: str, params: dict, features: list[str], seed: int, strategy: str,
          weight: str | None):
-    model = Pipeline(stages=numeric_stages(features, strategy) + [classifier(family, params, seed, weight)]).fit(rows)
+    rows, weight, total = _weigh(rows, params, weight)
+    stages = numeric_stages(features, strategy) + [classifier(family, params, seed, weight, total, len(features))]
+    model = Pipeline(stages=stages).fit(rows)
     if family != "LinearSVC":
         return model
     # Margins become probabilities through a one-feature logistic regression.
@@ -97,44 +137,35 @@ def transform(fitted_model, df: DataFrame) -> DataFrame:
                       score.alias("__s")).withColumnsRenamed({"__p": "prediction", "__s": "probability"})
 
 
-def _score(scored: DataFrame, scoring: str) -> float:
-    if scoring == "f1":
-        row = metrics.binary_scores(scored, "label", "prediction").first()
-        return row["f1"] or 0.0
-    return metrics.ranking_scores(scored, "label", "probability").first()["pr_auc"] or 0.0
+def search_families(train: DataFrame, folds: list[str], draws: dict[str, int], features: list[str], seed: int,
+                    scoring: str = "f1", strategy: str = "mean", weight: str | None = None, wide: bool = False,
+                    rows: int = grid.SEARCH_ROWS, parallelism: int = 4) -> list[Fitted]:
+    """The best draw of each family of ``draws`` (how many to make) by mean fold score, fitted on all training rows.
 
-
-def search_family(train: DataFrame, folds: list[str], family: str, features: list[str], draws: int, seed: int,
-                  rows: int, scoring: str = "f1", strategy: str = "mean", weight: str | None = None,
-                  wide: bool = False, forest_trees: int | None = None, max_depth: int | None = None) -> Fitted:
-    """Best draw of one family by mean fold score, refitted on all training rows.
-
-    ``folds`` are boolean columns: true marks the held-out rows of that fold.
+    ``folds`` are boolean columns: true marks the held-out rows of that fold. The search itself sees at most ``rows`` rows.
+    Of equal draws the earlier one wins. A family whose fit fails keeps its error.
     """
-    rng = random.Random(f"{seed}-{family}")
-    best: Fitted | None = None
-    problem = "no draw could be fitted"
-    for _ in range(draws):
-        params = draw(family, rng, rows, wide)
-        if "numTrees" in params and forest_trees:
-            params["numTrees"] = forest_trees
-        if "maxDepth" in params and max_depth:
-            params["maxDepth"] = min(params["maxDepth"], max_depth)
+    drawn = {}
+    for family, n in draws.items():
+        rng = random.Random(f"{seed}-{family}")
+        drawn[family] = [draw(family, rng, wide) for _ in range(n)]
+    sample = grid.take_rows(train, folds, features, weight, rows)
+    if len(sample.y) == 0 or sample.y.min() == sample.y.max():
+        return [Fitted(f, {}, 0.0, error="training rows of one class") for f in draws]
+    scores = grid.grid_scores(train.sparkSession, sample, drawn, scoring, strategy, seed)
+
+    def refit(family: str) -> Fitted:
+        means = [sum(own) / len(own) if (own := scores.get((family, d))) else 0.0 for d in range(len(drawn[family]))]
+        best = max(range(len(means)), key=lambda d: (means[d], -d))
+        out = Fitted(family, drawn[family][best], means[best])
         try:
-            values = []
-            for fold in folds:
-                model = _fit(train.filter(~F.col(fold)), family, params, features, seed, strategy, weight)
-                values.append(_score(transform(model, train.filter(F.col(fold))), scoring))
-            value = sum(values) / len(values) if values else 0.0
-        except Exception as error:  # a failed draw is skipped, a failed family is reported
-            problem = str(error).splitlines()[0][:200]
-            continue
-        if best is None or value > best.search_score:
-            best = Fitted(family, params, value)
-    if best is None:
-        return Fitted(family, {}, 0.0, error=problem)
-    best.model = _fit(train, family, best.params, features, seed, strategy, weight)
-    return best
+            out.model = _fit(train, family, out.params, features, seed, strategy, weight)
+        except Exception as error:  # the family is reported as failed
+            out.error = str(error).splitlines()[0][:200]
+        return out
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        return list(pool.map(refit, draws))
 
 
 def evaluate(fitted: list[Fitted], held_out: DataFrame, test: DataFrame | None = None) -> list[Fitted]:
@@ -180,7 +211,7 @@ def choose_by_rank(fitted: list[Fitted]) -> Fitted | None:
 
 
 def train_marker(rows: DataFrame, features: list[str], draws: int = 100, splits: int = 5, seed: int = 421,
-                 families: tuple[str, ...] = FAMILIES, parallelism: int = 2, **limits) -> list[Fitted]:
+                 families: tuple[str, ...] = FAMILIES) -> list[Fitted]:
     """Supervised search for one marker: stratified 70/30 split, stratified shuffle splits, f1.
 
     ``rows`` holds row_key, key_label and the features.
@@ -191,11 +222,7 @@ def train_marker(rows: DataFrame, features: list[str], draws: int = 100, splits:
     data = sampling.stratified_split(data, "key_label", 0.3, 42)
     data = settle(sampling.shuffle_splits(data, "key_label", splits, 0.1, 911), "training")
     train, test = data.filter("not is_test"), data.filter("is_test")
-    n = train.count()
-    folds = [f"fold_{i}" for i in range(splits)]
-    with ThreadPoolExecutor(parallelism) as pool:
-        fitted = list(pool.map(lambda f: search_family(
-            train, folds, f, features, draws, seed, n, "f1", "mean", None, False, **limits), families))
+    fitted = search_families(train, [f"fold_{i}" for i in range(splits)], {f: draws for f in families}, features, seed)
     return evaluate(fitted, test)
 
 

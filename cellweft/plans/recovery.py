@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -30,8 +29,7 @@ class Recovery:
 
 def run(df: DataFrame, options: Options = Options(), draws: int | None = None, gate: bool = False,
         trees: int = outliers.TREES, families: tuple[str, ...] = search.RECOVERY_FAMILIES,
-        parallelism: int = 2, kmeans: tuple[int, ...] = (2, 3, 4, 5, 6), mixtures: tuple[int, ...] = (2, 3, 4, 5),
-        **limits) -> Recovery:
+        kmeans: tuple[int, ...] = (2, 3, 4, 5, 6), mixtures: tuple[int, ...] = (2, 3, 4, 5)) -> Recovery:
     """``gate`` is off because tables are gated once, upstream."""
     spark, marker = df.sparkSession, options.recovery_marker
     features = catalog.prefixed_columns(df.columns, marker, options.exclude_patterns, options.marker_match == "exact")
@@ -64,12 +62,9 @@ def run(df: DataFrame, options: Options = Options(), draws: int | None = None, g
         dealt = sampling.row_folds(data.filter("part = 'train'"), "label", n_folds, options.seed)
     train = settle(dealt.withColumns({f"fold_{i}": F.col("fold") == i for i in range(n_folds)}), "train")
     val, test = data.filter("part = 'validation'"), data.filter("part = 'test'")
-    n = train.count()
-    draws = draws or options.draws
-    with ThreadPoolExecutor(parallelism) as pool:
-        fitted = list(pool.map(lambda f: search.search_family(
-            train, [f"fold_{i}" for i in range(n_folds)], f, ids, draws if f != "LinearSVC" else max(min(draws, 10), draws // 2),
-            options.seed, n, "pr_auc", "median", "weight", True, **limits), families))
+    fitted = search.search_families(
+        train, [f"fold_{i}" for i in range(n_folds)], search.recovery_draws(draws or options.draws, families), ids,
+        options.seed, "pr_auc", "median", "weight", True)
     search.evaluate(fitted, val, test)
     board = metrics.leaderboard(search.board(spark, marker, fitted))
     best = search.choose_by_rank(fitted)

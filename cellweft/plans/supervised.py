@@ -24,8 +24,7 @@ class Supervised:
 
 
 def run(df: DataFrame, options: Options = Options(), context: DataFrame | None = None,
-        key: tuple[str, ...] = CELL_KEY, draws: int | None = None, markers: list[str] | None = None,
-        **limits) -> Supervised:
+        key: tuple[str, ...] = CELL_KEY, draws: int | None = None, markers: list[str] | None = None) -> Supervised:
     """Training rows per marker, search, one scoring pass, merge on the cell key, context join."""
     spark = df.sparkSession
     names = catalog.features(df.columns)
@@ -46,7 +45,7 @@ def run(df: DataFrame, options: Options = Options(), context: DataFrame | None =
         features = by_marker[marker]
         own = rows.filter(F.col("marker") == marker)
         # A row with both signs stands in the set of both labels, as one row for its single key.
-        fitted = search.train_marker(own, features, draws or options.draws, options.cv_splits, options.seed, **limits)
+        fitted = search.train_marker(own, features, draws or options.supervised_draws, options.cv_splits, options.seed)
         boards.append(search.board(spark, marker, fitted))
         best = search.choose_by_f1(fitted)
         if best is None:

@@ -39,10 +39,9 @@ def weighted_search(spark, d):
     n_folds = min(5, groups) if groups >= 3 else 3
     folds = sampling.group_folds(train, "label", folds=n_folds) if groups >= 3 else sampling.row_folds(train, "label", n_folds)
     train = settle(folds.withColumns({f"fold_{i}": F.col("fold") == i for i in range(n_folds)}), "train")
-    fitted = [search.search_family(train, [f"fold_{i}" for i in range(n_folds)], f,
-                                   ["cd3_cell_median", "na2_cell_median", "cd31_cell_median"],
-                                   30 if f != "LinearSVC" else 15, 421, train.count(), "pr_auc", "median", "weight", True)
-              for f in search.RECOVERY_FAMILIES]
+    fitted = search.search_families(train, [f"fold_{i}" for i in range(n_folds)], search.recovery_draws(30),
+                                    ["cd3_cell_median", "na2_cell_median", "cd31_cell_median"], 421, "pr_auc", "median",
+                                    "weight", True)
     search.evaluate(fitted, data.filter("part = 'validation'"))
     return metrics.leaderboard(search.board(spark, "CD8", fitted)).drop("params")
 

@@ -64,10 +64,18 @@ def shuffle_splits(spark, d):
         *[F.sum(F.col(f"fold_{i}").cast("long")).alias(f"fold_{i}") for i in range(3)])
 
 
-@query("win_06_group_folds", """with s as (select concat('slide_', l_suppkey % 23) as source_file,
-      sum(case when l_quantity > 40 then 1 else 0 end) as p, count(*) as n from lineitem group by 1),
-    o as (select *, row_number() over (order by p desc, n desc, source_file) - 1 as t from s)
-    select source_file, p::bigint as positives, case when (t // 5) % 2 = 0 then t % 5 else 4 - t % 5 end as fold from o""", "")
+@query("win_06_group_folds", """with recursive s as (select concat('slide_', l_suppkey % 23) as g,
+      [count(*) filter (where l_quantity <= 40), count(*) filter (where l_quantity > 40)] as n from lineitem group by 1),
+    t as (select [sum(n[1]), sum(n[2])] as total from s),
+    o as (select *, row_number() over (order by round(abs(n[1] - n[2]) / 2e0, 9) desc, n[1] + n[2] desc, g) as i from s),
+    w(i, held, fold) as (select 0::bigint, [[0::hugeint, 0::hugeint] for x in range(5)], 0::bigint union all
+      select i, held, fold from (select o.i, f as fold, h.held, row_number() over (partition by o.i order by
+          round((list_stddev_pop([x[1] / total[1] for x in h.held]) + list_stddev_pop([x[2] / total[2] for x in h.held])) / 2, 12),
+          w.held[f + 1][1] + w.held[f + 1][2], f) as place
+        from w join o on o.i = w.i + 1, t, (select unnest(range(5)) as f) f,
+          lateral (select [case when k - 1 = f then [w.held[k][1] + o.n[1], w.held[k][2] + o.n[2]] else w.held[k] end
+            for k in range(1, 6)] as held) h) c where place = 1)
+    select g as source_file, n[2]::bigint as positives, fold from w join o using (i)""", "")
 def group_folds(spark, d):
     rows = table(spark, d, "lineitem").select(
         F.concat(F.lit("slide_"), (F.col("l_suppkey") % 23).cast("string")).alias("source_file"),
@@ -76,8 +84,8 @@ def group_folds(spark, d):
         F.sum("label").alias("positives"))
 
 
-@query("win_06_row_folds", """select row_key, (('0x' || substr(md5('421-' || row_key), 1, 12))::bigint % 3) as fold
-    from truth where marker = 'CD3'""", "truth")
+@query("win_06_row_folds", """select row_key, ((row_number() over (partition by label order by md5('421-' || row_key)) - 1) % 3)::bigint
+    as fold from truth where marker = 'CD3'""", "truth")
 def row_folds(spark, d):
     t = truth(spark, d).filter("marker = 'CD3'")
     return sampling.row_folds(t, "label").select("row_key", F.col("fold").cast("long").alias("fold"))

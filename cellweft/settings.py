@@ -41,7 +41,8 @@ class Options:
     test_size: float = 0.3
     validation_size: float = 0.25
     cv_splits: int = 5
-    draws: int = 30
+    draws: int = 30  # of the recovery search
+    supervised_draws: int = 100
     contamination: float = 0.02
     neighbours: int = 35
     exclude_patterns: tuple[str, ...] = ()

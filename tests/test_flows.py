@@ -9,8 +9,6 @@ from cellweft.plans import recovery, supervised, tables
 from cellweft.settings import Options, X, Y
 from cellweft.sources import catalog
 
-LIMITS = {"forest_trees": 5, "max_depth": 4}
-
 
 @pytest.fixture(scope="module")
 def prepared(quant):
@@ -45,7 +43,7 @@ def test_prepare_without_gating_with_power(quant):
 
 def test_supervised(quant):
     options = Options(cv_splits=2, context_columns=("Image", X, Y, "ROI"))
-    out = supervised.run(quant, options, draws=1, **LIMITS)
+    out = supervised.run(quant, options, draws=1)
     assert {r["marker"] for r in out.skipped.collect()} >= {"FOXP3"}
     found = {r["marker"] for r in out.registry.collect()}
     assert {"CD3", "CD8"} <= found
@@ -64,7 +62,7 @@ def test_supervised(quant):
 def test_recovery(quant, drop):
     options = replace(Options(), recovery_marker="CD3", cv_splits=2, neighbours=10, drop_outliers=drop)
     out = recovery.run(quant, options, draws=1, trees=10, families=("RandomForest", "LogisticRegression"),
-                       kmeans=(2,), mixtures=(2,), gate=drop, **LIMITS)
+                       kmeans=(2,), mixtures=(2,), gate=drop)
     n = quant.count()
     assert out.predictions.count() == n
     assert out.abundance.agg(F.sum(F.col("`CD3-`") + F.col("`CD3+`"))).first()[0] == n

@@ -10,8 +10,6 @@ import __spark_entry__ as entry
 
 from conftest import SF
 
-SLOW = {"ml_05_supervised_search", "ml_06_weighted_search", "ml_11_choose_model"}
-
 
 @pytest.fixture(scope="module")
 def duck():
@@ -37,7 +35,7 @@ def canonical(columns, rows):
     return [columns[i] for i in order], sorted(tuple(plain(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     rows = df.collect()

@@ -11,25 +11,33 @@ from conftest import SF
 
 @pytest.fixture
 def searches(monkeypatch):
+    """What a query asks the grid for, and how many scores it gets back."""
     made = {}
+    right = search.grid.grid_scores
 
-    def note(train, folds, family, features, draws, *rest, **limits):
-        made[family] = (len(folds), draws, limits)
-        return search.Fitted(family, {}, 0.0, error="not fitted")
+    def note(spark, rows, drawn, *rest):
+        scores = right(spark, rows, drawn, *rest)
+        for family, draws in drawn.items():
+            made[family] = (len(draws), {len(scores[family, d]) for d in range(len(draws))}, len(rows.y))
+        return scores
 
-    monkeypatch.setattr(search, "search_family", note)
+    monkeypatch.setattr(search.grid, "grid_scores", note)
     return made
 
 
-@pytest.mark.parametrize("name", ["ml_05_supervised_search", "ml_11_choose_model"])
-def test_supervised_search(spark, searches, name):
-    QUERIES[name](spark, SF)
-    assert searches == {f: (5, 100, {}) for f in search.FAMILIES}
+def test_supervised_search(spark, searches):
+    rows = QUERIES["ml_05_supervised_search"](spark, SF).collect()
+    assert {f: (d, n) for f, (d, n, _) in searches.items()} == {f: (100, {5}) for f in search.FAMILIES}
+    assert {r["model"] for r in rows} == set(search.FAMILIES) and all(r["error"] is None for r in rows)
+    # One feature says it all, so every family finds it.
+    assert all(r["search_score"] == r["f1"] == 1.0 for r in rows)
 
 
 def test_weighted_search(spark, searches):
-    QUERIES["ml_06_weighted_search"](spark, SF)
-    assert searches == {f: (3, 15 if f == "LinearSVC" else 30, {}) for f in search.RECOVERY_FAMILIES}
+    rows = QUERIES["ml_06_weighted_search"](spark, SF).collect()
+    assert {f: (d, n) for f, (d, n, _) in searches.items()} == {
+        f: (15 if f == "LinearSVC" else 30, {3}) for f in search.RECOVERY_FAMILIES}
+    assert {r["model"] for r in rows} == set(search.RECOVERY_FAMILIES) and all(r["error"] is None for r in rows)
 
 
 def test_forests():
