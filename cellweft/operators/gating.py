@@ -20,14 +20,16 @@ from cellweft.functions.numeric import finite_or_zero, raise_to
 from cellweft.operators.stats import chunks
 from cellweft.session import col
 
-MIN_BINS = 4096
-MAX_BINS = 1 << 18
+STEPS = 512      # bins in one spread at the centre
+ROUNDS = 8       # of binning a feature again
 GRID = 1000
+ZERO = -(1 << 62)  # bin of the exact zeros
 
 FITTED = T.StructType([
     T.StructField("i", T.IntegerType()), T.StructField("threshold", T.DoubleType()),
     T.StructField("n_components", T.IntegerType()), T.StructField("gmm_means", T.ArrayType(T.DoubleType())),
-    T.StructField("gmm_stds", T.ArrayType(T.DoubleType()))])
+    T.StructField("gmm_stds", T.ArrayType(T.DoubleType())), T.StructField("centre", T.DoubleType()),
+    T.StructField("spread", T.DoubleType()), T.StructField("fine", T.BooleanType())])
 
 
 @dataclass(frozen=True)
@@ -39,13 +41,23 @@ class Gate:
     stds: tuple[float, ...]
 
 
+@dataclass(frozen=True)
+class Binning:
+    centre: float
+    spread: float
+    steps: float
+
+    def slot(self, value):
+        return F.floor(F.asinh((value - F.lit(self.centre)) / F.lit(self.spread)) * F.lit(self.steps)).cast("long")
+
+
 def value_of(name: str):
     """Non-numbers and non-finite values count as 0."""
     return finite_or_zero(col(name).cast("double"))
 
 
-def _two_gaussians(x: np.ndarray, ssq: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """Weighted EM on bins (mean, within-bin square sum, count): means, variances, log-likelihood."""
+def _two_gaussians(x: np.ndarray, inner: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Weighted EM on bins (mean, squares about it, count): means, variances, log-likelihood."""
     n = w.sum()
     centre = np.array([x.min(), x.max()], float)
     for _ in range(50):  # two-means start
@@ -62,7 +74,7 @@ def _two_gaussians(x: np.ndarray, ssq: np.ndarray, w: np.ndarray) -> tuple[np.nd
     for _ in range(100):
         mass = (resp * w).sum(1) + 10 * np.finfo(float).eps
         mean = (resp * w * x).sum(1) / mass
-        var = (resp * (ssq - 2 * mean[:, None] * w * x + w * mean[:, None] ** 2)).sum(1) / mass
+        var = (resp * (inner + w * (x - mean[:, None]) ** 2)).sum(1) / mass
         var = np.maximum(var, 0) + 1e-6
         share = mass / n
         log = (np.log(share)[:, None] - 0.5 * np.log(2 * np.pi * var)[:, None]
@@ -77,19 +89,27 @@ def _two_gaussians(x: np.ndarray, ssq: np.ndarray, w: np.ndarray) -> tuple[np.nd
     return mean, var, float((w * norm).sum())
 
 
-def _first_minimum(x: np.ndarray, w: np.ndarray, low: float, high: float, sd: float) -> float | None:
-    """First strict interior minimum of the Gaussian density on a grid of 1000 points."""
-    n = w.sum()
-    width = sd * n ** (-0.2)
+def kernel_sums(grid: np.ndarray, x: np.ndarray, w: np.ndarray, var: np.ndarray, width: float) -> np.ndarray:
+    """Unscaled Gaussian density of bins at the grid points; a bin spreads its own variance besides the kernel's."""
+    order = np.argsort(x, kind="stable")
+    x, w, own = x[order], w[order], np.sqrt(width * width + var[order])
+    reach = 38 * own.max(initial=width)
+    out = np.empty(len(grid))
+    for i, g in enumerate(grid):
+        a, b = np.searchsorted(x, (g - reach, g + reach))
+        out[i] = (w[a:b] * (width / own[a:b]) * np.exp(-0.5 * ((g - x[a:b]) / own[a:b]) ** 2)).sum()
+    return out
+
+
+def _first_minimum(x: np.ndarray, w: np.ndarray, low: float, high: float, sd: float, upto: float = np.inf,
+                   var: np.ndarray | None = None) -> float | None:
+    """First strict interior minimum of the Gaussian density on a grid of 1000 points, if it lies at ``upto`` or below."""
+    width = sd * w.sum() ** (-0.2)
     if not width > 0:
         return None
     grid = np.linspace(low, high, GRID)
-    order = np.argsort(x)
-    x, w = x[order], w[order]
-    density = np.empty(GRID)
-    for i, g in enumerate(grid):
-        a, b = np.searchsorted(x, (g - 38 * width, g + 38 * width))
-        density[i] = (w[a:b] * np.exp(-0.5 * ((g - x[a:b]) / width) ** 2)).sum()
+    grid = grid[:min(int(np.searchsorted(grid, upto, "right")) + 1, GRID)]
+    density = kernel_sums(grid, x, w, np.zeros(len(x)) if var is None else var, width)
     dip = np.flatnonzero((density[1:-1] < density[:-2]) & (density[1:-1] < density[2:])) + 1
     return float(grid[dip[0]]) if len(dip) else None
 
@@ -97,59 +117,89 @@ def _first_minimum(x: np.ndarray, w: np.ndarray, low: float, high: float, sd: fl
 def gate_bins(pdf: pd.DataFrame) -> pd.DataFrame:
     w = pdf["n"].to_numpy(float)
     s, ssq = pdf["s"].to_numpy(float), pdf["ss"].to_numpy(float)
-    x = s / w
-    n, low, high = w.sum(), float(pdf["lo"].min()), float(pdf["hi"].max())
-    mean = s.sum() / n
-    var = max((w * (x - mean) ** 2).sum() + np.maximum(ssq - s * x, 0).sum(), 0) / n
+    # Moments about the bin's centre ``c``, which keeps large values from cancelling.
+    c = pdf["c"].to_numpy(float) if "c" in pdf else np.zeros(len(pdf))
+    x, inner = c + s / w, np.maximum(ssq - s * s / w, 0)
+    lo, hi = pdf["lo"].to_numpy(float), pdf["hi"].to_numpy(float)
+    n, low, high = w.sum(), float(lo.min()), float(hi.max())
+    mean = (w * x).sum() / n
+    var = ((w * (x - mean) ** 2).sum() + inner.sum()) / n
     one = -0.5 * n * (np.log(2 * np.pi * (var + 1e-6)) + var / (var + 1e-6))
     means, variances, components = np.array([mean]), np.array([var + 1e-6]), 1
     if high > low:
-        m2, v2, two = _two_gaussians(x, ssq, w)
+        m2, v2, two = _two_gaussians(x, inner, w)
         if -2 * two + 5 * np.log(n) < -2 * one + 2 * np.log(n):
             means, variances, components = m2, v2, 2
     sds = np.sqrt(np.maximum(variances, 1e-12))
     dark = int(np.argmin(means))
-    threshold = float(means[dark] + 2 * sds[dark])
+    threshold = edge = float(means[dark] + 2 * sds[dark])
+    fine, spread = True, float(sds[dark])
+    wide = hi - lo
+    if components == 2:
+        near = (hi >= means[dark] - 4 * sds[dark]) & (lo <= means[dark] + 4 * sds[dark])
+        fine = bool((wide[near] <= sds[dark] / 16).all())
     if high > low and n > 1:
-        dip = _first_minimum(x, w, low, high, np.sqrt(var * n / (n - 1)))
+        sd = np.sqrt(var * n / (n - 1))
+        dip = _first_minimum(x, w, low, high, sd, edge, inner / w)
         if dip is not None:
             threshold = min(threshold, dip)
+        kernel = sd * n ** (-0.2)
+        near = lo <= edge + kernel
+        if (wide[near] > kernel).any():
+            fine, spread = False, min(spread, float(kernel))
     return pd.DataFrame({"i": [int(pdf["i"].iloc[0])], "threshold": [threshold], "n_components": [components],
-                         "gmm_means": [means.tolist()], "gmm_stds": [sds.tolist()]})
-
+                         "gmm_means": [means.tolist()], "gmm_stds": [sds.tolist()], "centre": [float(means[dark])],
+                         "spread": [spread], "fine": [fine]})
 
-def bin_counts(low: float, high: float, n: int, sd: float) -> int:
-    """Bins narrow enough for the density's bandwidth, within a bound."""
-    width = sd * max(n, 1) ** (-0.2)
-    need = 4 * (high - low) / width if width > 0 else MIN_BINS
-    return int(min(max(need, MIN_BINS), MAX_BINS))
 
-
-def fit(df: DataFrame, features: list[str]) -> list[Gate]:
-    """Thresholds of every feature: a range pass, a binning pass, then work on bins only."""
-    cells = []
+def first_binnings(df: DataFrame, features: list[str], value_of=value_of) -> list[Binning]:
+    """Around the median, with the quartiles' distance (or the next wider one that is not 0) as the spread."""
+    out = []
+    at = [0.5, 0.25, 0.75, 0.1, 0.9, 0.01, 0.99]
     for part in chunks(features):
         row = df.agg(*[a for i, f in enumerate(part) for a in (
-            F.min(value_of(f)).alias(f"a{i}"), F.max(value_of(f)).alias(f"b{i}"),
+            F.percentile_approx(value_of(f), F.array(*[F.lit(p) for p in at]), F.lit(1000)).alias(f"q{i}"),
             F.stddev_samp(value_of(f)).alias(f"s{i}"))], F.count("*").alias("n")).first()
-        if not row["n"]:
-            return []
-        for i, f in enumerate(part):
-            low, high = row[f"a{i}"], row[f"b{i}"]
-            bins = bin_counts(low, high, row["n"], row[f"s{i}"] or 0.0)
-            step = (high - low) / bins or 1.0
-            value = F.col(f"__v{len(cells)}")
-            slot = F.least(F.floor((value - F.lit(low)) / F.lit(step)), F.lit(bins - 1)).cast("int")
-            # Exact zeros are many in dim channels: they keep a bin of their own.
-            cells.append(F.struct(F.lit(len(cells)).alias("i"), F.when(value == 0, F.lit(-1)).otherwise(slot).alias("bin"),
-                                  value.alias("v")))
+        for i in range(len(part)):
+            q, sd = row[f"q{i}"] or [0.0] * len(at), row[f"s{i}"] or 0.0
+            spans = [b - a for a, b in (q[1:3], q[3:5], q[5:7])] + [sd, 1.0]
+            spread = next(v for v in spans if np.isfinite(v) and v > 0)
+            kernel = sd * max(row["n"], 1) ** (-0.2)
+            out.append(Binning(q[0], spread, max(STEPS, min(4 * spread / kernel, 1 << 16) if kernel > 0 else 0)))
+    return out
+
+
+def sketch(df: DataFrame, features: list[str], binnings: list[Binning], value_of=value_of) -> DataFrame:
+    """i, bin, c, n, s, ss, lo, hi: counts, moments about ``c`` and range of each bin of each feature, in one scan."""
     values = df.select(*[value_of(f).alias(f"__v{i}") for i, f in enumerate(features)])
-    sketch = values.select(F.inline(F.array(*cells))).groupBy("i", "bin").agg(
-        F.count("*").alias("n"), F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("ss"),
+    cells = [F.struct(F.lit(i).alias("i"),
+                      # Exact zeros are many in dim channels: they keep a bin of their own.
+                      F.when(F.col(f"__v{i}") == 0, F.lit(ZERO)).otherwise(b.slot(F.col(f"__v{i}"))).alias("bin"),
+                      F.col(f"__v{i}").alias("v"), F.lit(float(b.centre)).alias("c")) for i, b in enumerate(binnings)]
+    away = F.col("v") - F.col("c")
+    return values.select(F.inline(F.array(*cells))).where("v is not null").groupBy("i", "bin", "c").agg(
+        F.count("*").alias("n"), F.sum(away).alias("s"), F.sum(away * away).alias("ss"),
         F.min("v").alias("lo"), F.max("v").alias("hi"))
-    rows = sketch.groupBy("i").applyInPandas(gate_bins, FITTED).collect()
-    return [Gate(features[r["i"]], r["threshold"], r["n_components"], tuple(r["gmm_means"]), tuple(r["gmm_stds"]))
-            for r in sorted(rows, key=lambda r: r["i"])]
+
+
+def fit(df: DataFrame, features: list[str]) -> list[Gate]:
+    """Thresholds of every feature: a pass for the binnings, a binning pass, and one for features to bin again."""
+    if not features or not df.limit(1).count():
+        return []
+    found: dict[str, object] = {}
+    todo, binnings = list(features), first_binnings(df, features)
+    for _ in range(ROUNDS):
+        rows = sketch(df, todo, binnings).groupBy("i").applyInPandas(gate_bins, FITTED).collect()
+        again = []
+        for r in rows:
+            found[todo[r["i"]]] = r
+            if not r["fine"]:
+                again.append((todo[r["i"]], Binning(r["centre"], max(r["spread"], 1e-12 * abs(r["centre"]), 1e-300), STEPS)))
+        if not again:
+            break
+        todo, binnings = [f for f, _ in again], [b for _, b in again]
+    return [Gate(f, found[f]["threshold"], found[f]["n_components"], tuple(found[f]["gmm_means"]), tuple(found[f]["gmm_stds"]))
+            for f in features]
 
 
 def apply(df: DataFrame, gates: list[Gate]) -> DataFrame:

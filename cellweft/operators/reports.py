@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellweft.functions.labels import sign_label
-from cellweft.functions.numeric import fill_zero
-from cellweft.operators import power, stats
+from cellweft.functions.numeric import fill_zero, finite_or_null
+from cellweft.operators import gating, power, stats
 from cellweft.operators.merging import inverted, probability_intensity
 from cellweft.operators.counts import crosstab
 from cellweft.operators.sampling import sample_exact
@@ -73,24 +74,27 @@ def value_pairs(df: DataFrame, fits: list[power.Fit], nucleus: str, fraction: fl
     return both.select("row_key", F.inline(F.array(*rows)))
 
 
-def density(df: DataFrame, features: list[str], points: int = 200, bins: int = 2048) -> DataFrame:
-    """(feature, x, density): Gaussian density on a grid, from bins rather than cells."""
-    import pandas as pd
-    binned = stats.histogram(df, [], features, bins)
-    moments = settle(stats.long_stats(df, [], features, {"total": F.count, "sd": F.stddev_samp}), "moments")
-    joined = attach(binned, moments, ["feature"])
+def density(df: DataFrame, features: list[str], points: int = 200) -> DataFrame:
+    """(feature, x, density): Gaussian density on a grid around the values, from bins that are fine where they are dense.
+
+    Missing and non-finite values take no part; a feature without values has no rows.
+    """
+    value = lambda f: finite_or_null(stats.number(f))
+    binned = gating.sketch(df, features, gating.first_binnings(df, features, value), value)
 
     def curve(pdf: pd.DataFrame) -> pd.DataFrame:
-        w = pdf["n"].to_numpy(float)
-        x = ((pdf["lo"] + pdf["hi"]) / 2).to_numpy(float)
-        n, sd = float(pdf["total"].iloc[0]), float(pdf["sd"].iloc[0] or 0)
+        w, s = pdf["n"].to_numpy(float), pdf["s"].to_numpy(float)
+        x, inner = pdf["c"].to_numpy(float) + s / w, np.maximum(pdf["ss"].to_numpy(float) - s * s / w, 0)
+        n, lo, hi = w.sum(), float(pdf["lo"].min()), float(pdf["hi"].max())
+        mean = (w * x).sum() / n
+        sd = np.sqrt(((w * (x - mean) ** 2).sum() + inner.sum()) / max(n - 1, 1))
         h = sd * n ** (-0.2) or 1.0
-        span = x.max() - x.min() or 1.0
-        grid = np.linspace(x.min() - 0.5 * span, x.max() + 0.5 * span, points)
-        y = np.exp(-0.5 * ((grid[:, None] - x) / h) ** 2) @ w / (n * h * np.sqrt(2 * np.pi))
-        return pd.DataFrame({"feature": [pdf["feature"].iloc[0]] * points, "x": grid, "density": y})
+        span = hi - lo or 1.0
+        grid = np.linspace(lo - 0.5 * span, hi + 0.5 * span, points)
+        y = gating.kernel_sums(grid, x, w, inner / w, h) / (n * h * np.sqrt(2 * np.pi))
+        return pd.DataFrame({"feature": [features[int(pdf["i"].iloc[0])]] * points, "x": grid, "density": y})
 
-    return joined.groupBy("feature").applyInPandas(curve, "feature string, x double, density double")
+    return binned.groupBy("i").applyInPandas(curve, "feature string, x double, density double")
 
 
 def boxcox_report(df: DataFrame, group: str, nucleus: str, object_type: str = "CellObject",

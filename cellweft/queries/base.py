@@ -75,9 +75,11 @@ def with_ctes(body: str, *names: str) -> str:
 
     for n in names:
         visit(n)
+    recursive = "recursive" in order
+    order = [n for n in order if n != "recursive"]
     if not order:
         return body
-    return "with " + ",\n".join(f"{n} as ({CTES[n]})" for n in order) + "\n" + body
+    return ("with recursive " if recursive else "with ") + ",\n".join(f"{n} as ({CTES[n]})" for n in order) + "\n" + body
 
 
 def query(name: str, sql: str | None = None, ctes: str = "cells"):

@@ -115,19 +115,87 @@ def gating_summary(spark, d):
     return rounded(gating.summary(cells(spark, d), FIXED).drop("gmm_means", "gmm_stds"))
 
 
-@query("tr_03_gating_fit")
+# The whole gate on every value: two means, expectation and maximisation until the mean log-likelihood moves by less than
+# 0.001 (100 rounds at most), choice by BIC, first minimum of the density on 1000 points. ``values`` names feature and v.
+def gate_sql(values: str) -> str:
+    near = "abs(v - c0) > abs(v - c1)"
+    ln = lambda k: f"(ln(s{k}) - 0.5 * ln(2 * pi() * v{k}) - 0.5 * (v - m{k}) * (v - m{k}) / v{k})"
+    top = f"greatest({ln(0)}, {ln(1)})"
+    norm = f"({top} + ln(exp({ln(0)} - {top}) + exp({ln(1)} - {top})))"
+    return f"""h as (select feature, v::double as v, count(*)::double as w from ({values}) group by 1, 2),
+t as (select feature, sum(w) as n, sum(w * v) / sum(w) as mean, min(v) as lo, max(v) as hi from h group by 1),
+u as (select t.*, (select sum(w * (v - t.mean) * (v - t.mean)) / t.n from h where h.feature = t.feature) as var from t),
+km as (select feature, 0 as k, lo as c0, hi as c1 from u union all
+  select feature, k + 1, coalesce(sum(w * v) filter (where not {near}) / sum(w) filter (where not {near}), c0),
+    coalesce(sum(w * v) filter (where {near}) / sum(w) filter (where {near}), c1)
+  from km join h using (feature) where k < 50 group by feature, k, c0, c1),
+k as (select feature, c0, c1 from km where k = 50),
+r as (select feature, v, w, n, case when {near} then 0e0 else 1e0 end as r0 from k join h using (feature) join u using (feature)),
+f as (select feature, n, sum(w * r0) + 2.220446049250313e-15 as a0, sum(w * (1 - r0)) + 2.220446049250313e-15 as a1,
+    sum(w * r0 * v) as b0, sum(w * (1 - r0) * v) as b1 from r group by all),
+em as (select feature, 1 as k, b0 / a0 as m0, b1 / a1 as m1,
+    greatest(sum(w * r0 * (v - b0 / a0) * (v - b0 / a0)) / a0, 0) + 1e-6 as v0,
+    greatest(sum(w * (1 - r0) * (v - b1 / a1) * (v - b1 / a1)) / a1, 0) + 1e-6 as v1, a0 / n as s0, a1 / n as s1,
+    null::double as bound, null::double as last from f join r using (feature, n) group by feature, n, a0, a1, b0, b1
+  union all select feature, k + 1, b0 / a0, b1 / a1, greatest(q0 / a0 - (b0 / a0 - m0) * (b0 / a0 - m0), 0) + 1e-6,
+    greatest(q1 / a1 - (b1 / a1 - m1) * (b1 / a1 - m1), 0) + 1e-6, a0 / n, a1 / n, likelihood / n, bound from (
+    select feature, k, m0, m1, n, bound, sum(w * p0) + 2.220446049250313e-15 as a0, sum(w * p1) + 2.220446049250313e-15 as a1,
+      sum(w * p0 * v) as b0, sum(w * p1 * v) as b1, sum(w * p0 * (v - m0) * (v - m0)) as q0,
+      sum(w * p1 * (v - m1) * (v - m1)) as q1, sum(w * norm) as likelihood from (
+        select *, exp({ln(0)} - norm) as p0, exp({ln(1)} - norm) as p1 from (
+          select em.*, h.v, h.w, u.n, {norm} as norm from em join h using (feature) join u using (feature)
+          where k <= 100 and not coalesce(abs(bound - last) < 1e-3, false)) a) b
+    group by feature, k, m0, m1, n, bound)),
+e as (select a.feature, a.m0, a.m1, a.v0, a.v1, b.bound * u.n as two, -0.5 * u.n * (ln(2 * pi() * (u.var + 1e-6))
+      + u.var / (u.var + 1e-6)) as one, u.* exclude (feature)
+  from em a join em b on b.feature = a.feature and b.k = a.k + 1 join u on u.feature = a.feature
+  where b.k = (select max(k) from em where em.feature = a.feature)),
+g as (select *, case when hi > lo and -2 * two + 5 * ln(n) < -2 * one + 2 * ln(n) then 2 else 1 end as n_components from e),
+d as (select *, case when n_components = 1 then mean when m0 <= m1 then m0 else m1 end as dark, sqrt(case
+    when n_components = 1 then var + 1e-6 when m0 <= m1 then v0 else v1 end) as sd from g),
+x as (select feature, i, lo + i * ((hi - lo) / 999) as x, sqrt(var * n / (n - 1)) * n ** -0.2 as width from d,
+  (select unnest(range(1000)) as i) where hi > lo and lo + greatest(i - 2, 0) * ((hi - lo) / 999) <= dark + 2 * sd),
+y as (select feature, i, x, (select sum(w * exp(-0.5 * ((x.x - v) / width) * ((x.x - v) / width))) from h
+    where h.feature = x.feature) as y from x),
+z as (select feature, min(x) as dip from (select *, lag(y) over (partition by feature order by i) as before,
+    lead(y) over (partition by feature order by i) as after from y) where y < before and y < after group by 1),
+gate as (select feature, least(dark + 2 * sd, coalesce(dip, dark + 2 * sd)) as threshold, n_components, dark, sd
+  from d left join z using (feature))"""
+
+
+def shown(df, gates):
+    """The summary with the lower Gaussian, rounded, as bins stand for values."""
+    own = F.create_map(*[F.lit(x) for g in gates for x in (g.feature, float(min(g.means)))])
+    dev = F.create_map(*[F.lit(x) for g in gates for x in (g.feature, float(min(zip(g.means, g.stds))[1]))])
+    out = gating.summary(df, gates).withColumns({"dark": own[F.col("feature")], "sd": dev[F.col("feature")]})
+    out = rounded(out.select("feature", "threshold", "n_components", "dark", "sd", "post_mean", "cells_gated", "percent_gated"), 3)
+    return out.withColumns({c: F.round(c, 1) + 0.0 for c in ("dark", "sd")})
+
+
+SHOWN = """select feature, round(threshold, 3) as threshold, n_components, round(dark, 1) as dark, round(sd, 1) as sd,
+    round(avg(greatest(v, threshold)), 3) as post_mean, count(*) filter (where v < threshold) as cells_gated,
+    round(count(*) filter (where v < threshold) * 100e0 / count(*), 3) as percent_gated"""
+
+
+@query("tr_03_gating_fit", ", " + gate_sql("select * from melted") + SHOWN + """
+    from gate join melted using (feature) group by feature, threshold, n_components, dark, sd""", "recursive melted")
 def gating_fit(spark, d):
     c = cells(spark, d)
-    return gating.summary(c, gating.fit(c, BASIC))
+    return shown(c, gating.fit(c, BASIC))
 
 
-@query("tr_03_gating_events")
+EVENT_VALUES = """select k as feature, case when event_type = k then coalesce(value, 0) else 0 end::double as v
+    from events, (select distinct event_type as k from events where event_type is not null)"""
+
+
+@query("tr_03_gating_events", f"with recursive m as ({EVENT_VALUES}), " + gate_sql("select * from m") + SHOWN + """
+    from gate join m using (feature) group by feature, threshold, n_components, dark, sd""", "")
 def gating_events(spark, d):
     """The skewed event values, one feature per event type."""
     e = table(spark, d, "events")
-    kinds = sorted(r[0] for r in e.select("event_type").distinct().collect())
+    kinds = sorted(r[0] for r in e.select("event_type").distinct().collect() if r[0] is not None)
     wide = e.select(*[F.when(F.col("event_type") == k, F.col("value")).alias(k) for k in kinds])
-    return gating.summary(wide, gating.fit(wide, kinds)).select("feature", "threshold", "n_components", "percent_gated")
+    return shown(wide, gating.fit(wide, kinds))
 
 
 @query("tr_04_gating_off", """select feature, cast(null as double) as threshold, 0 as n_components, round(avg(v), 6) as pre_mean,

@@ -64,17 +64,38 @@ def exact_gate(x):
     """The same gate on every value: mixture by EM, density by summing over all values."""
     n = len(x)
     one = pd.DataFrame({"i": 0, "n": np.ones(n), "s": x, "ss": x * x, "lo": x, "hi": x})
-    return float(gating.gate_bins(one)["threshold"].iloc[0])
+    return gating.gate_bins(one).iloc[0]
 
 
-def test_gate_on_bins_equals_gate_on_values(spark):
-    data = {"two": np.r_[RNG.normal(3, 1, 3000), RNG.normal(12, 2, 2000)],
-            "zeros": np.r_[np.zeros(2000), RNG.normal(8, 2, 3000)], "skew": RNG.lognormal(0, 1, 5000)}
-    gates = {g.feature: g for g in gating.fit(frame(spark, **data), list(data))}
-    for name, x in data.items():
-        width = (x.max() - x.min()) / 1000
-        assert abs(gates[name].threshold - exact_gate(x)) <= width
-    assert gates["two"].n_components == 2 and abs(gates["two"].means[0] - 3) < 0.3
+SHAPES = {"two": np.r_[RNG.normal(3, 1, 3000), RNG.normal(12, 2, 2000)],
+          "zeros": np.r_[np.zeros(2000), RNG.normal(8, 2, 3000)], "skew": RNG.lognormal(0, 1, 5000),
+          "very_skew": RNG.lognormal(0, 3, 5000), "saturated": np.minimum(RNG.lognormal(3, 1.5, 5000), 255.0),
+          "shifted": 1e6 + np.r_[RNG.normal(0, 1, 3000), RNG.normal(9, 1, 2000)],
+          "tight_and_wide": np.r_[RNG.normal(0.01, 0.001, 2000), RNG.normal(900, 200, 3000)],
+          "tiny": np.r_[RNG.normal(1e-6, 1e-7, 500), RNG.normal(5, 1, 4500)], "flat": np.full(5000, 4.0),
+          "negative": np.r_[-RNG.lognormal(1, 1, 2500), RNG.normal(50, 5, 2500)]}
+
+
+@pytest.fixture(scope="module")
+def shape_gates(spark):
+    return {g.feature: g for g in gating.fit(frame(spark, **SHAPES), list(SHAPES))}
+
+
+@pytest.mark.parametrize("name", SHAPES)
+def test_gate_on_bins_equals_gate_on_values(shape_gates, name):
+    x, want = SHAPES[name], exact_gate(SHAPES[name])
+    got = shape_gates[name]
+    step = (x.max() - x.min()) / 999  # the density's minimum lies on one of these grid points
+    close = lambda a, b: abs(a - b) <= max(0.01 * abs(b - (1e6 if name == "shifted" else 0)), 1e-9)
+    assert close(got.threshold, want["threshold"]) or abs(abs(got.threshold - want["threshold"]) - step) < 1e-9 * abs(step)
+    assert got.n_components == want["n_components"]
+    assert all(close(a, b) for a, b in zip(sorted(got.means), sorted(want["gmm_means"])))
+
+
+def test_bins_stay_few(spark):
+    """A tail of 13 powers of ten takes bins in proportion to its logarithm."""
+    df = frame(spark, a=RNG.lognormal(0, 5, 20000))
+    assert gating.sketch(df, ["a"], gating.first_binnings(df, ["a"])).count() < 20 * gating.STEPS
 
 
 def test_density_minimum_against_plain_sum():
