@@ -26,6 +26,8 @@ def dataset(tmp_path_factory):
     for name, rows in lines.items():
         (root / name).write_text("\n".join(rows) + "\n", encoding="utf-8")
     (root / "notes.txt").write_text("not a table")
+    (root / "empty.tsv").write_text("")
+    (root / "blank.tsv").write_text("\n\n")
     return str(root)
 
 
@@ -62,13 +64,53 @@ def test_missing_label_modes(spark, dataset):
         tables.read_quant(spark, dataset, missing_label="fail")
     t = tables.read_quant(spark, dataset)
     n = {r["file"]: r["label_count"] for r in counts.token_counts(t, files=tables.files_of(spark, dataset)).collect()}
-    assert n == {"s 1.tsv": 5, "a+b.tsv": 5, "nolabel.tsv": 0}
+    assert n == {"s 1.tsv": 5, "a+b.tsv": 5, "nolabel.tsv": 0, "empty.tsv": 0, "blank.tsv": 0}
     wide = {r["file"]: r.asDict() for r in counts.label_table(t).collect()}
     assert wide["nolabel.tsv"]["CD8+"] == 0 and wide["a+b.tsv"]["CD8+"] == 2
     assert "" not in wide["s 1.tsv"] and wide["s 1.tsv"]["A+"] == 1
     assert [c for c in counts.label_table(t).columns[1:]] == sorted(c for c in wide["s 1.tsv"] if c != "file")
 
 
+def test_keys_do_not_depend_on_splits(spark, tmp_path):
+    """Two files of some 2 MB with two headers, in one split each or in some twenty."""
+    for name, head, tail in (("a.tsv", "Image\tCD3: Cell: Median", "i"), ("b.tsv", "\nCD3: Cell: Median\tImage", "7")):
+        body = "\n".join(f"{tail}{i % 50}\t{i}" if name == "a.tsv" else f"{i}\t{tail}" for i in range(150_000))
+        (tmp_path / name).write_text(f"{head}\n{body}\n")
+    seen = []
+    for size in ("64m", "200k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+        t = tables.read_quant(spark, str(tmp_path))
+        seen.append((t.rdd.getNumPartitions(), t.agg(
+            F.count("*"), F.countDistinct("row_key"), F.sum(F.xxhash64("row_key", "source_file", "Image", F.col("`CD3: Cell: Median`"))
+                                                            .cast("decimal(38,0)"))).first()))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert seen[0][0] < seen[1][0] and seen[0][1] == seen[1][1] and seen[0][1][0] == seen[0][1][1] == 300_000
+
+
+def test_all_columns_are_kept(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text('Image\tTissue\tTissue\tArea px\tCD3: Cell: Median\tCD3: Cell: Median\t\ni\tcore A\t2\t5\t1\t2\tz\ni\tNA\t3\tNA\tbad\t4\tz\n')
+    (tmp_path / "b.tsv").write_text('Tissue\tImage\r\n"core ""B"""\tj\r\n\r\n')
+    rows = rows_of(tables.read_quant(spark, str(tmp_path)))
+    assert [r["Tissue"] for r in rows] == ["core A", None, 'core "B"'] and [r["Tissue.1"] for r in rows] == [2.0, 3.0, None]
+    assert [r["Area px"] for r in rows] == [5.0, None, None]
+    assert [r["CD3: Cell: Median"] for r in rows] == [1.0, None, None] and [r["CD3: Cell: Median.1"] for r in rows] == [2.0, 4.0, None]
+    assert [r["Image"] for r in rows] == ["i", "i", "j"] and "" not in rows[0].asDict()
+
+
+def test_header_names():
+    assert tables.header_names("a\ta\ta.1\t\ta") == ["a", "a.1", "a.1.1", "", "a.2"]
+
+
+def test_only_empty_files(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text("")
+    assert tables.read_quant(spark, str(tmp_path)).count() == 0
+    assert [tuple(r) for r in tables.files_of(spark, str(tmp_path)).collect()] == [("a.tsv", False)]
+    with pytest.raises(ValueError, match="missing"):
+        tables.read_quant(spark, str(tmp_path), missing_label="fail")
+
+
 def test_empty_directory(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         tables.read_quant(spark, str(tmp_path))
