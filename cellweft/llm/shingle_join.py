@@ -1,12 +1,14 @@
 """N-gram Jaccard join by signature trees.
 
 A document's set holds the 64-bit hashes of its distinct word n-grams. Equal sets are one class. Two classes can only
-link if they agree on one of the parts that the hash space is cut into: for sets in one size band, more parts are
-taken than hashes by which linked sets can differ, so one part is free of differences. Classes that share a part are
+link if they agree on one of the parts that the hash space is cut into: linked sets of a size band differ in d hashes
+at most, and d + 1 + s parts are taken, so s + 1 parts agree. A set with at most s empty parts leaves those out, as one of
+the parts it agrees on is not empty; a set with more keeps all its parts. So sets are never brought together by an empty part,
+unless both of them have next to no full ones. Classes that share a part are
 chained to its smallest one, the chains' components are candidate clusters, and all links lie within clusters.
 
-A cluster's classes, in order of size, are dealt to blocks of at most BLOCK classes and each pair of blocks is one
-task's work: both blocks get a signature tree whose nodes hold the OR of their members' token bitmaps and their
+A cluster's classes are dealt by hash to blocks of some BLOCK classes and BLOCK_HASHES hashes and each pair of blocks is one
+task's work, its classes in order of size: both blocks get a signature tree whose nodes hold the OR of their members' token bitmaps and their
 range of sizes, and a dual traversal leaves a pair of nodes when the greatest possible overlap is too small or when all
 their members are already linked through each other. Pairs of leaves are compared exactly. Links found by all tasks
 are closed into components. A class is a node of its own number, so texts that share a doc_id stay apart.
@@ -31,6 +33,8 @@ from cellweft.llm.registry import query
 from cellweft.session import attach, settle
 
 BLOCK = 2048         # classes of one block
+BLOCK_HASHES = 4_000_000
+SPARE = (4, 0.05)    # s: so many parts, and this share of a band's largest size
 LEAF = 16
 BITS = 1024          # of a node's bitmap
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -55,8 +59,8 @@ def shingles(text: str | None, n: int) -> np.ndarray:
     return np.unique(out)
 
 
-def bands(size: int, share: tuple[int, int]) -> list[tuple[int, int]]:
-    """(band, parts) of a set: its own size band and the next one, where larger partners count it too."""
+def bands(size: int, share: tuple[int, int]) -> list[tuple[int, int, int]]:
+    """(band, d, s) of a set: its own size band and the next one, where larger partners count it too."""
     up, down = share
     band, low = 0, 1
     while True:
@@ -66,24 +70,25 @@ def bands(size: int, share: tuple[int, int]) -> list[tuple[int, int]]:
             break
         band, low = band + 1, high + 1
     after = max(high + 1, (high + 1) * down // up)
-    out = []
-    for b, last in ((band, after), (band - 1, high)):
-        if b >= 0:
-            # |A| + |B| <= 2 * last, and linked sets differ by at most (down - up) / (down + up) of that.
-            out.append((b, (down - up) * 2 * last // (down + up) + 1))
-    return out
+    # |A| + |B| <= 2 * last, and linked sets differ by at most (down - up) / (down + up) of that.
+    return [(b, (down - up) * 2 * last // (down + up), SPARE[0] + int(np.ceil(SPARE[1] * last)))
+            for b, last in ((band, after), (band - 1, high)) if b >= 0]
 
 
 def part_keys(hashes: np.ndarray, share: tuple[int, int]) -> np.ndarray:
     out = []
     mixed = (hashes * MIX) >> np.uint64(32)
-    for band, parts in bands(len(hashes), share):
+    for band, differ, spare in bands(len(hashes), share):
+        parts = differ + 1 + spare
         own = (mixed % np.uint64(parts)).astype(np.int64)
         total = np.zeros(parts, np.uint64)
         with np.errstate(over="ignore"):
             spread = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
             np.add.at(total, own, spread)
             key = (total ^ (np.arange(parts, dtype=np.uint64) << np.uint64(20)) ^ np.uint64(band)) * MIX
+        full = np.bincount(own, minlength=parts) > 0
+        if parts - full.sum() <= spare:
+            key = key[full]
         out.append(key ^ (key >> np.uint64(32)))
     return np.concatenate(out).view(np.int64)
 
@@ -187,7 +192,8 @@ def jaccard_rows(docs: DataFrame, n: int, share: tuple[int, int], block: int = B
     every = settle(docs.withColumn("copy", row_hash()).mapInPandas(
         sets, "doc_id long, copy long, n_shingles long, class binary, keys array<long>"), "shingles")
     # One document stands for its class; only those in clusters have their sets built again, from their texts.
-    heads = every.where("n_shingles > 0 and doc_id is not null").groupBy("class").agg(F.min("doc_id").alias("head"))
+    heads = every.where("n_shingles > 0 and doc_id is not null").groupBy("class").agg(
+        F.min("doc_id").alias("head"), F.min("n_shingles").alias("size"))
     heads = settle(heads.withColumn("node", F.monotonically_increasing_id()), "heads")
     own_class = (F.col("doc_id") == F.col("head")) & (F.col("class") == F.col("c"))
     keys = every.join(heads.select("head", "node", F.col("class").alias("c")), own_class).select(
@@ -205,10 +211,10 @@ def jaccard_rows(docs: DataFrame, n: int, share: tuple[int, int], block: int = B
                 out = part[["node", "component", "blocks"]].assign(hashes=[s.tobytes() for s in own])
                 yield out[right]
 
-    placed = clusters.join(heads, "node").select("node", "head", "class", "component")
-    counts = placed.groupBy("component").agg(F.count("*").alias("members"))
-    placed = placed.join(counts, "component").withColumn(
-        "blocks", F.ceil(F.col("members") / F.lit(block)).cast("int"))
+    placed = clusters.join(heads, "node").select("node", "head", "class", "component", "size")
+    counts = placed.groupBy("component").agg(F.ceil(F.greatest(
+        F.count("*") / F.lit(block), F.sum("size") / F.lit(BLOCK_HASHES))).cast("int").alias("blocks"))
+    placed = placed.join(counts, "component")
     placed = docs.join(placed, F.col("doc_id") == F.col("head")).select(
         "node", "class", "component", "blocks", "text").mapInPandas(
         rebuilt, "node long, component long, blocks int, hashes binary").withColumn(
@@ -243,6 +249,21 @@ def jaccard_rows(docs: DataFrame, n: int, share: tuple[int, int], block: int = B
         F.when(linking, F.col("node")).alias("node"), "copy")
 
 
+def first_of_groups(docs: DataFrame, n: int = 5, share: tuple[int, int] = (4, 5)) -> DataFrame:
+    """``docs`` with one row of each group of near copies, of the smallest id; rows without an id or words stay."""
+    found = jaccard_rows(docs, n, share).where("node is not null")
+    contents = settle(found.groupBy("node", "component_id", "doc_id", "copy").agg(F.count("*").alias("n")), "contents")
+    kept = contents.where("doc_id = component_id").groupBy("node").agg(F.min("copy").alias("copy"))
+    gone = contents.join(kept, ["node", "copy"], "left_anti").select("doc_id", "copy", F.lit(False).alias("again"))
+    again = contents.where("n > 1").join(kept, ["node", "copy"], "left_semi").select(
+        "doc_id", "copy", F.lit(True).alias("again"))
+    marks = settle(gone.unionByName(again), "marks").withColumnsRenamed(
+        {"doc_id": "__id", "copy": "__copy", "again": "__again"})
+    marked = attach(docs.withColumns({"__id": F.col("doc_id"), "__copy": row_hash()}), marks, ["__id", "__copy"])
+    once = marked.where("__again").dropDuplicates(["__id", "__copy"])
+    return marked.where("__again is null").unionByName(once).select(*docs.columns)
+
+
 @query("op2_jaccard_join")
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"), 3, (90, 100))
