@@ -20,6 +20,8 @@ in no component and keeps a null one. An empty table gives no rows. Extra column
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +36,6 @@ from cellweft.session import attach, settle
 
 BLOCK = 2048         # classes of one block
 BLOCK_HASHES = 4_000_000
-SPARE = (4, 0.05)    # s: so many parts, and this share of a band's largest size
 LEAF = 16
 BITS = 1024          # of a node's bitmap
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -59,20 +60,39 @@ def shingles(text: str | None, n: int) -> np.ndarray:
     return np.unique(out)
 
 
+def spare_parts(low: int, differ: int) -> int:
+    """s: parts that a set of ``low`` hashes leaves empty, at most, but for some 1 in 30,000 (four deviations)."""
+    spare = 0
+    for _ in range(20):
+        parts = differ + 1 + spare
+        none = math.exp(-low / parts)
+        deviation = math.sqrt(parts * none * max(0.0, 1 - (1 + low / parts) * none))
+        need = math.ceil(parts * none + 4 * deviation)
+        if need <= spare:
+            break
+        spare = need
+    return spare
+
+
+@functools.lru_cache(100_000)
 def bands(size: int, share: tuple[int, int]) -> list[tuple[int, int, int]]:
-    """(band, d, s) of a set: its own size band and the next one, where larger partners count it too."""
+    """(band, d, s): a pair belongs to the size band of its smaller set, so a set may also count in the band before its own."""
     up, down = share
-    band, low = 0, 1
-    while True:
-        # The band holds sizes low .. high; sets of the next band may link with them.
-        high = max(low, low * down // up)
-        if size <= high:
-            break
+    band, low, high, before = 0, 1, 1, None
+    while size > high:
+        before = (band, low, high)
         band, low = band + 1, high + 1
-    after = max(high + 1, (high + 1) * down // up)
-    # |A| + |B| <= 2 * last, and linked sets differ by at most (down - up) / (down + up) of that.
-    return [(b, (down - up) * 2 * last // (down + up), SPARE[0] + int(np.ceil(SPARE[1] * last)))
-            for b, last in ((band, after), (band - 1, high)) if b >= 0]
+        high = max(low, low * down * down // (up * up))
+
+    def one(band: int, low: int, high: int) -> tuple[int, int, int]:
+        # The partner has at most high * down / up hashes; linked sets differ by a share of their summed sizes.
+        differ = (down - up) * (high + high * down // up) // (down + up)
+        return band, differ, spare_parts(low, differ)
+
+    out = [one(band, low, high)]
+    if before and size * up <= before[2] * down:
+        out.append(one(*before))
+    return out
 
 
 def part_keys(hashes: np.ndarray, share: tuple[int, int]) -> np.ndarray:
