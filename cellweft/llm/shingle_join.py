@@ -7,8 +7,8 @@ the parts it agrees on is not empty; a set with more keeps all its parts. So set
 unless both of them have next to no full ones. Classes that share a part are
 chained to its smallest one, the chains' components are candidate clusters, and all links lie within clusters.
 
-A cluster's classes are dealt by hash to blocks of some BLOCK classes and BLOCK_HASHES hashes and each pair of blocks is one
-task's work, its classes in order of size: both blocks get a signature tree whose nodes hold the OR of their members' token bitmaps and their
+A cluster's classes are dealt, in order of size, to blocks of some BLOCK classes and BLOCK_HASHES hashes. A class goes to the
+pairs of its own block with those that hold sizes it may link with, and each pair of blocks is one task's work: both blocks get a signature tree whose nodes hold the OR of their members' token bitmaps and their
 range of sizes, and a dual traversal leaves a pair of nodes when the greatest possible overlap is too small or when all
 their members are already linked through each other. Pairs of leaves are compared exactly. Links found by all tasks
 are closed into components. A class is a node of its own number, so texts that share a doc_id stay apart.
@@ -27,11 +27,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellweft.llm.common import LOWER, components, plain, table, utf8
 from cellweft.llm.registry import query
+from cellweft.operators.prefix import offsets
 from cellweft.session import attach, settle
 
 BLOCK = 2048         # classes of one block
@@ -195,6 +196,34 @@ def jaccard_classes(docs: DataFrame, n: int = 5, share: tuple[int, int] = (4, 5)
     return jaccard_rows(docs, n, share, block).select("doc_id", "n_shingles", "component_id")
 
 
+def deal(placed: DataFrame, share: tuple[int, int], block: int) -> DataFrame:
+    """component, size, n, cost, before_cost; near and far, the first and last block with sizes that may link with this one.
+
+    ``placed`` holds a row per class: component, size. A class costs one, or more if it is long; positions are summed costs
+    in order of size. A component's windows run over its distinct sizes.
+    """
+    up, down = share
+    cost = F.expr(f"(size - 1) div {max(1, BLOCK_HASHES // block)} + 1")
+    sizes = settle(placed.groupBy("component", "size").agg(F.count("*").alias("n")).withColumn("cost", cost).withColumn(
+        "total", F.col("n") * F.col("cost")), "sizes")
+    at = offsets(sizes, ["component"], "size", ["total"]).withColumnRenamed("before_total", "before_cost").withColumns({
+        "first": F.expr(f"cast(before_cost div {block} as int)"),
+        "last": F.expr(f"cast((before_cost + total - 1) div {block} as int)")})
+    at = settle(at.select("component", "size", "n", "cost", "before_cost", "first", "last"), "positions")
+
+    def reach(limit: Column, found: str, name: str, order: Column) -> DataFrame:
+        """``found`` of the last size up to the limit, in the given order: sizes and limits are sorted together."""
+        both = at.select("component", F.col("size").alias("v"), F.col(found), F.lit(None).cast("long").alias("size")).unionByName(
+            at.select("component", limit.alias("v"), F.lit(None).cast("int").alias(found), "size"))
+        window = Window.partitionBy("component").orderBy(order, F.col("size").asc_nulls_first()).rowsBetween(
+            Window.unboundedPreceding, 0)
+        return both.withColumn(name, F.last(found, True).over(window)).where("size is not null").select("component", "size", name)
+
+    far = reach(F.expr(f"size * {down} div {up}"), "last", "far", F.col("v").asc())
+    near = reach(F.expr(f"(size * {up} + {down - 1}) div {down}"), "first", "near", F.col("v").desc())
+    return at.drop("first", "last").join(near, ["component", "size"]).join(far, ["component", "size"])
+
+
 def jaccard_rows(docs: DataFrame, n: int, share: tuple[int, int], block: int = BLOCK) -> DataFrame:
     """jaccard_classes with copy, a hash of doc_id and text, and node, which is the component's own number (null for
     rows that take part in none); components of several texts of one id have the same component_id and different nodes."""
@@ -228,19 +257,18 @@ def jaccard_rows(docs: DataFrame, n: int, share: tuple[int, int], block: int = B
                 part = batch.iloc[at:at + 256]
                 own = [shingles(t, n) for t in part["text"]]
                 right = [xxhash.xxh128_digest(s.tobytes()) == c for s, c in zip(own, part["class"])]
-                out = part[["node", "component", "blocks"]].assign(hashes=[s.tobytes() for s in own])
+                out = part[["node", "component", "block", "near", "far"]].assign(hashes=[s.tobytes() for s in own])
                 yield out[right]
 
     placed = clusters.join(heads, "node").select("node", "head", "class", "component", "size")
-    counts = placed.groupBy("component").agg(F.ceil(F.greatest(
-        F.count("*") / F.lit(block), F.sum("size") / F.lit(BLOCK_HASHES))).cast("int").alias("blocks"))
-    placed = placed.join(counts, "component")
+    dealt = settle(deal(placed, share, block), "dealt")
+    placed = placed.join(dealt, ["component", "size"]).select(
+        "node", "head", "class", "component", "near", "far", F.expr(
+            f"cast((before_cost + pmod(xxhash64(node), n) * cost) div {block} as int)").alias("block"))
     placed = docs.join(placed, F.col("doc_id") == F.col("head")).select(
-        "node", "class", "component", "blocks", "text").mapInPandas(
-        rebuilt, "node long, component long, blocks int, hashes binary").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # A class goes to every pair of blocks that holds its own.
-    pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "node", "class", "component", "block", "near", "far", "text").mapInPandas(
+        rebuilt, "node long, component long, block int, near int, far int, hashes binary")
+    pairs = placed.withColumn("other", F.explode(F.sequence("near", "far"))).select(
         "component", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "node",
         "hashes")
 

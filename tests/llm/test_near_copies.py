@@ -77,3 +77,20 @@ def test_linked_sets_share_a_key():
         both = len(np.intersect1d(a, b))
         if 5 * both >= 4 * (len(a) + len(b) - both):
             assert set(shingle_join.part_keys(a, (4, 5)).tolist()) & set(shingle_join.part_keys(b, (4, 5)).tolist())
+
+
+def test_dealing_by_size(spark):
+    """Classes that may link meet in a pair of blocks; most pairs of blocks are never made."""
+    rng = np.random.default_rng(3)
+    sizes = np.r_[np.full(400, 50), rng.integers(1, 3000, 1600)]
+    placed = spark.createDataFrame([(int(i % 2), int(n)) for i, n in enumerate(sizes)], "component long, size long")
+    dealt = {(r["component"], r["size"]): r for r in shingle_join.deal(placed, (4, 5), 32).collect()}
+    blocks = lambda r: range(r["before_cost"] // 32, (r["before_cost"] + r["n"] * r["cost"] - 1) // 32 + 1)
+    sent = 0
+    for (c, a), x in dealt.items():
+        assert x["near"] <= min(blocks(x)) and max(blocks(x)) <= x["far"]
+        sent += x["n"] * (x["far"] - x["near"] + 1)
+        for (d, b), y in dealt.items():
+            if c == d and 4 * max(a, b) <= 5 * min(a, b):
+                assert set(blocks(y)) <= set(range(x["near"], x["far"] + 1))
+    assert sent < 0.5 * len(sizes) * max(r["far"] + 1 for r in dealt.values())
