@@ -2,7 +2,7 @@
 
 * ``first_per_key`` and ``top_per_key`` prune inside each map task before the shuffle.
 * ``hash_cut`` finds the value that splits off exactly k rows of a group in hash order.
-* ``running_totals`` makes prefix sums from per-bucket totals.
+* ``running_totals`` makes prefix sums from totals of ranges.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellweft.operators.prefix import offsets
 from cellweft.session import attach, col, settle
 
 ALL = "__all"
@@ -68,44 +69,29 @@ def hash_cut(df: DataFrame, groups: list[str], hash_column: str, wanted: Column,
     return found.unionByName(none)
 
 
-def bucket_bounds(df: DataFrame, value: str, buckets: int) -> list[float]:
-    """At most ``buckets - 1`` split points of about equal row counts, from a bounded sketch."""
-    steps = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(value, F.array(*[F.lit(s) for s in steps]), F.lit(10000)).alias("b")).first()
-    return sorted(set(row["b"] or []))
-
-
-def bucket_of(value: Column, bounds: list[float], offset: int = 0) -> Column:
-    """Index of the bucket of a value: a balanced tree of comparisons."""
-    if not bounds:
-        return F.lit(offset)
-    mid = len(bounds) // 2
-    return F.when(value <= bounds[mid], bucket_of(value, bounds[:mid], offset)).otherwise(
-        bucket_of(value, bounds[mid + 1:], offset + mid + 1))
+BUCKET_ROWS = 500_000  # rows that one window adds up
 
 
 def running_totals(df: DataFrame, groups: list[str], order: str, sums: list[str],
                    descending: bool = True, buckets: int | None = None) -> DataFrame:
     """Adds ``cum_<c>`` for each summed column: totals of rows before and at each row.
 
-    ``order`` must be unique within a group (aggregate by it first). Buckets are ranges of the
-    order column, more of them the more rows there are; the totals of earlier buckets come from a
-    table of groups x buckets rows.
+    ``order`` must be unique within a group (aggregate by it first). Rows are dealt to ranges of (group, order), as many
+    as their number asks for; the totals of earlier ranges are prefix sums of range totals, so no window holds a whole group.
     """
     data = settle(df, "ranked")
     if buckets is None:
-        buckets = int(min(max(data.count() // 500_000, 8), 256))
-    bounds = bucket_bounds(data, order, buckets)
-    data = data.withColumn("__bucket", bucket_of(F.col(order), bounds))
-    direction = F.col("__bucket").desc() if descending else F.col("__bucket").asc()
-    before = Window.partitionBy(*[col(g) for g in groups]).orderBy(direction).rowsBetween(
-        Window.unboundedPreceding, -1)
-    totals = data.groupBy(*[col(g) for g in groups], "__bucket").agg(*[F.sum(s).alias(s) for s in sums])
-    offsets = settle(totals.select(*[col(g) for g in groups], "__bucket", *[
-        F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"__off_{s}") for s in sums]), "offsets")
+        buckets = max(-(-data.count() // BUCKET_ROWS), 8)
+    ranged = data.repartitionByRange(buckets, *[col(g) for g in groups], col(order)).withColumn(
+        "__range", F.spark_partition_id().cast("long"))
+    data = settle(ranged.withColumn("__bucket", F.lit(buckets - 1) - F.col("__range") if descending else F.col("__range"))
+                  .drop("__range"), "ranges")
+    totals = settle(data.groupBy(*[col(g) for g in groups], "__bucket").agg(*[F.sum(s).alias(s) for s in sums]), "totals")
+    before = settle(offsets(totals, groups, "__bucket", sums).select(
+        *[col(g) for g in groups], "__bucket", *[F.col(f"before_{s}").alias(f"__off_{s}") for s in sums]), "offsets")
     inner = F.col(order).desc() if descending else F.col(order).asc()
     inside = Window.partitionBy(*[col(g) for g in groups], F.col("__bucket")).orderBy(inner).rowsBetween(
         Window.unboundedPreceding, 0)
-    placed = attach(data, offsets, groups + ["__bucket"], "left", salt_by=[order])
-    return placed.select(*df.columns, *[
+    placed = attach(data, before, [*groups, "__bucket"], "left", salt_by=[order])
+    return placed.select(*[col(c) for c in df.columns], *[
         (F.sum(s).over(inside) + F.col(f"__off_{s}")).alias(f"cum_{s}") for s in sums])

@@ -23,34 +23,39 @@ def missing_features(columns: list[str], model: MarkerModel) -> list[str]:
     return [f for f in model.features if f not in columns]
 
 
+def _kept(keep: list[str]) -> list:
+    """Kept columns as they came: a model's features are filled under their own names."""
+    return [F.col(f"__keep{i}").alias(k) for i, k in enumerate(keep)]
+
+
 def score(df: DataFrame, models: list[MarkerModel], keep: list[str]) -> DataFrame:
     """Long (keep..., marker, prediction, probability).
 
     A marker whose features are not all present gets NULL. Each cell is read once: models are
     chained as narrow transforms, then the columns are turned to rows; nothing is shuffled.
     """
-    out = df
+    out = df.withColumns({f"__keep{i}": col(k) for i, k in enumerate(keep)})
     for i, m in enumerate(models):
         if missing_features(df.columns, m):
             out = out.withColumns({f"__p{i}": F.lit(None).cast("int"), f"__s{i}": F.lit(None).cast("double")})
             continue
         filled = out.withColumns({f: F.coalesce(col(f).cast("double"), F.lit(0.0)) for f in m.features})
         out = transform(m.model, filled).withColumnsRenamed({"prediction": f"__p{i}", "probability": f"__s{i}"})
-    return out.select(*[col(k) for k in keep], F.inline(F.array(*[
+    return out.select(*_kept(keep), F.inline(F.array(*[
         F.struct(F.lit(m.marker).alias("marker"), F.col(f"__p{i}").alias("prediction"),
                  F.col(f"__s{i}").alias("probability")) for i, m in enumerate(models)])))
 
 
 def score_wide(df: DataFrame, models: list[MarkerModel], keep: list[str]) -> DataFrame:
     """One row per cell with ``Prediction_<marker>`` and ``Probability_<marker>``."""
-    out = df
+    out = df.withColumns({f"__keep{i}": col(k) for i, k in enumerate(keep)})
     for i, m in enumerate(models):
         if missing_features(df.columns, m):
             out = out.withColumns({f"__p{i}": F.lit(None).cast("int"), f"__s{i}": F.lit(None).cast("double")})
             continue
         filled = out.withColumns({f: F.coalesce(col(f).cast("double"), F.lit(0.0)) for f in m.features})
         out = transform(m.model, filled).withColumnsRenamed({"prediction": f"__p{i}", "probability": f"__s{i}"})
-    return out.select(*[col(k) for k in keep], *[c for i, m in enumerate(models) for c in (
+    return out.select(*_kept(keep), *[c for i, m in enumerate(models) for c in (
         F.col(f"__p{i}").alias(f"Prediction_{m.marker}"), F.col(f"__s{i}").alias(f"Probability_{m.marker}"))])
 
 

@@ -223,7 +223,20 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def write_by(df: DataFrame, path: str, *columns: str) -> None:
-    """One folder per value (marker, image). A hot value is spread over many files because rows
-    are written where they are, without a shuffle on the value."""
-    df.write.mode("overwrite").partitionBy(*columns).parquet(path)
+FILE_ROWS = 5_000_000  # rows of a file of one value
+
+
+def write_by(df: DataFrame, path: str, *columns: str, rows: int = FILE_ROWS) -> None:
+    """One folder per value (marker, image) with a file for every ``rows`` rows or part of them.
+
+    Values are counted first: a value's rows are dealt to as many tasks as it has files, so a hot value is not one
+    task's work and a rare one is not spread over a file per task.
+    """
+    sizes = settle(df.groupBy(*[col(c) for c in columns]).agg(
+        F.ceil(F.count("*") / F.lit(rows)).cast("int").alias("__files")), "sizes")
+    dealt = attach(df, sizes, list(columns), salt_by=[c for c in df.columns])
+    mixed = F.xxhash64(*[col(c) for c in df.columns if not df.schema[c].dataType.simpleString().startswith("map")])
+    dealt = dealt.withColumn("__file", F.pmod(mixed, F.col("__files")))
+    total = sizes.agg(F.sum("__files")).first()[0] or 1
+    dealt.repartition(total, *[col(c) for c in columns], F.col("__file")).drop("__file", "__files").write.mode(
+        "overwrite").partitionBy(*columns).parquet(path)

@@ -12,7 +12,7 @@ from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import functions as F
 
 from cellweft.functions.keys import seeded
-from cellweft.operators import gating, metrics, outliers, power, quantiles, ranks, reports, sampling, stats
+from cellweft.operators import gating, metrics, outliers, power, prefix, quantiles, ranks, reports, sampling, stats
 from cellweft.session import attach
 
 RNG = np.random.default_rng(7)
@@ -152,11 +152,21 @@ def test_running_totals_many_buckets(spark):
         assert list(part["cum_one"]) == list(range(1, len(part) + 1))
 
 
-def test_bucket_of(spark):
-    bounds = [1.0, 2.0, 5.0]
-    got = spark.createDataFrame([(v,) for v in (0.0, 1.0, 1.5, 2.0, 5.0, 9.0)], "v double").select(
-        ranks.bucket_of(F.col("v"), bounds).alias("b")).collect()
-    assert [r["b"] for r in got] == [0, 0, 1, 1, 2, 3]
+@pytest.mark.parametrize("fan", [2, 4, 4096])
+def test_offsets_of_buckets_of_buckets(spark, fan):
+    """A fan of 2 takes six levels of totals."""
+    rows = [(g, b, (b * 7 + 3) % 11, b % 3) for g in ("a", None) for b in range(60) if b % 7 != 2]
+    df = spark.createDataFrame(rows, "g string, b long, n long, m long")
+    got = {(r["g"], r["b"]): (r["before_n"], r["before_m"]) for r in prefix.offsets(df, ["g"], "b", ["n", "m"], fan).collect()}
+    assert got == {(g, b): (sum(x[2] for x in rows if x[0] == g and x[1] < b), sum(x[3] for x in rows if x[0] == g and x[1] < b))
+                   for g, b, _, _ in rows}
+
+
+def test_ordinals(spark):
+    df = spark.range(500).select(F.when(F.col("id") % 50 > 0, F.md5(F.col("id").cast("string"))).alias("v"), "id")
+    rows = prefix.ordinals(df, [F.col("v").asc_nulls_last(), F.col("id")], parts=7).orderBy("ordinal").collect()
+    want = sorted(df.collect(), key=lambda r: (r["v"] is None, r["v"] or "", r["id"]))
+    assert [r["ordinal"] for r in rows] == list(range(500)) and [r["id"] for r in rows] == [r["id"] for r in want]
 
 
 def test_perfect_and_constant_scores(spark):

@@ -161,6 +161,28 @@ def test_manifest(spark, tmp_path):
     assert twice.count() == 4 and "s1/a.ome.tif" in {r["key"] for r in twice.collect()}
 
 
+def test_files_per_value(spark, tmp_path):
+    df = spark.range(10_000, numPartitions=16).select(
+        F.when(F.col("id") % 10 < 7, "hot").when(F.col("id") % 10 < 9, "mid").alias("v"), "id")
+    tables.write_by(df, str(tmp_path / "t"), "v", rows=2000)
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "t").iterdir() if p.is_dir()}
+    # 7,000, 2,000 and 1,000 rows; equal hashes may leave a file out, never add one.
+    assert set(files) == {"v=hot", "v=mid", "v=__HIVE_DEFAULT_PARTITION__"}
+    assert 2 <= files["v=hot"] <= 4 and files["v=mid"] == 1 and files["v=__HIVE_DEFAULT_PARTITION__"] == 1
+    back = spark.read.parquet(str(tmp_path / "t"))
+    assert back.count() == 10_000 and back.where("v is null").count() == 1000
+
+
+def test_kept_features_stay_missing(spark):
+    """A kept column that is also a feature is filled for the model only."""
+    from cellweft.operators import scoring, search
+    df = spark.createDataFrame([(str(i), float(i) if i % 5 else None, float(i % 7 > 3)) for i in range(60)], "row_key string, a double, label double")
+    model = search._fit(df, "LogisticRegression", {"regParam": 1e-2, "maxIter": 5}, ["a"], 1, "mean", None)
+    models = [scoring.MarkerModel("CD3", model, ("a",)), scoring.MarkerModel("CD8", model, ("b",))]
+    for out in (scoring.score(df, models, ["row_key", "a"]).where("marker = 'CD3'"), scoring.score_wide(df, models, ["row_key", "a"])):
+        assert out.where("a is null").count() == 12 and out.count() == 60
+
+
 def test_sinks(spark, quant, tmp_path):
     small = quant.select("Image", F.array(F.lit(1.0)).alias("means")).limit(3)
     tables.write_csv(small, str(tmp_path / "c"))
