@@ -37,39 +37,50 @@ def duplicate_keys(df: DataFrame, key: Column, table: str = "table_name") -> Dat
 
 # Leading hex digits that make the buckets of the hash order.
 HASH_DIGITS = 3
+HASH_LENGTH = 32
+BUCKET_ROWS = 500_000  # rows that one window ranks or adds up
 
 
 def hash_cut(df: DataFrame, groups: list[str], hash_column: str, wanted: Column,
-             digits: int = HASH_DIGITS) -> DataFrame:
+             digits: int = HASH_DIGITS, rows: int | None = None) -> DataFrame:
     """(groups..., n, k, cut): ``hash <= cut`` holds for exactly ``k`` rows of the group.
 
-    ``wanted`` computes k from the group size ``n``. Rows are counted per (group, leading digits);
-    a running sum over those counts names the one bucket that holds the k-th row, and only that
-    bucket (1/4096 of a group) is ranked. ``cut`` is '' when k is 0.
+    ``wanted`` computes k from the group size ``n``. Rows are counted per (group, leading digits); a running sum over
+    those counts names the one bucket that holds the k-th row. While such a bucket has more than ``rows`` rows, they are
+    counted by their next digits, so only that many are ranked. ``cut`` is '' when k is 0.
     """
-    head = F.substring(F.col(hash_column), 1, digits)
-    counts = settle(df.groupBy(*[col(g) for g in groups], head.alias("__head"))
-                    .agg(F.count("*").cast("long").alias("__n")), "hash-counts")
-    over = Window.partitionBy(*[col(g) for g in groups])
-    ordered = over.orderBy("__head").rowsBetween(Window.unboundedPreceding, 0)
-    placed = (counts.withColumn("n", F.sum("__n").over(over)).withColumn("__upto", F.sum("__n").over(ordered))
-              .withColumn("k", wanted.cast("long")))
-    bucket = settle(
-        placed.filter((F.col("__upto") >= F.col("k")) & (F.col("__upto") - F.col("__n") < F.col("k")))
-        .select(*[col(g) for g in groups], "n", "k", F.col("__head").alias("__cut_head"),
-                (F.col("k") - F.col("__upto") + F.col("__n")).alias("__left")), "hash-bucket")
-    inside = attach(df.select(*[col(g) for g in groups], F.col(hash_column)), bucket, groups, "inner",
-                    salt_by=[hash_column]).filter(F.substring(F.col(hash_column), 1, digits) == F.col("__cut_head"))
-    ranked = inside.withColumn("__r", F.row_number().over(
-        Window.partitionBy(*[col(g) for g in groups]).orderBy(F.col(hash_column))))
-    found = ranked.filter(F.col("__r") == F.col("__left")).select(
-        *[col(g) for g in groups], "n", "k", F.col(hash_column).alias("cut"))
-    none = placed.filter(F.col("k") <= 0).select(*[col(g) for g in groups], "n", "k").distinct().withColumn(
-        "cut", F.lit(""))
-    return found.unionByName(none)
+    limit = BUCKET_ROWS if rows is None else rows
+    keys = [col(g) for g in groups]
+    over = Window.partitionBy(*keys)
 
+    def holding(counts: DataFrame, left: str, head: str) -> DataFrame:
+        """Of each group the bucket with the row number ``left``, and which row of the bucket that is."""
+        placed = counts.withColumn("__upto", F.sum("__n").over(over.orderBy(head).rowsBetween(Window.unboundedPreceding, 0)))
+        before = F.col("__upto") - F.col("__n")
+        return placed.filter((F.col("__upto") >= F.col(left)) & (before < F.col(left))).withColumn("__row", F.col(left) - before)
 
-BUCKET_ROWS = 500_000  # rows that one window adds up
+    head = F.substring(F.col(hash_column), 1, digits)
+    counts = settle(df.groupBy(*keys, head.alias("__head")).agg(F.count("*").cast("long").alias("__n")), "hash-counts")
+    sized = counts.withColumn("n", F.sum("__n").over(over)).withColumn("k", wanted.cast("long"))
+    bucket = settle(holding(sized, "k", "__head").select(
+        *keys, "n", "k", F.col("__head").alias("__cut_head"), F.col("__row").alias("__left"), "__n"), "hash-bucket")
+    seen = digits
+    while True:
+        own = df.select(*keys, F.col(hash_column))
+        inside = attach(own, bucket.drop("__n"), groups, "inner", salt_by=[hash_column]).filter(
+            F.substring(F.col(hash_column), 1, seen) == F.col("__cut_head"))
+        most = bucket.agg(F.max("__n")).first()[0]
+        if (most or 0) <= limit or seen >= HASH_LENGTH:
+            break
+        finer = inside.groupBy(*keys, "n", "k", "__cut_head", "__left", F.substring(F.col(hash_column), seen + 1, digits).alias(
+            "__next")).agg(F.count("*").cast("long").alias("__n"))
+        bucket = settle(holding(finer, "__left", "__next").select(
+            *keys, "n", "k", F.concat("__cut_head", "__next").alias("__cut_head"), F.col("__row").alias("__left"), "__n"), "hash-bucket")
+        seen += digits
+    ranked = inside.withColumn("__r", F.row_number().over(over.orderBy(F.col(hash_column))))
+    found = ranked.filter(F.col("__r") == F.col("__left")).select(*keys, "n", "k", F.col(hash_column).alias("cut"))
+    none = sized.filter(F.col("k") <= 0).select(*keys, "n", "k").distinct().withColumn("cut", F.lit(""))
+    return found.unionByName(none)
 
 
 def running_totals(df: DataFrame, groups: list[str], order: str, sums: list[str],

@@ -143,6 +143,17 @@ def test_hash_cut_counts(spark, fraction):
         assert out[g]["k"] == k and df.filter((F.col("g") == g) & (F.col("h") <= out[g]["cut"])).count() == k
 
 
+def test_hash_cut_narrows_by_digits(spark, monkeypatch):
+    """One digit at a time and at most 3 rows ranked: several levels of counts, the same cut."""
+    df = frame(spark, g=np.repeat(["hot", "mid", "one"], [3000, 100, 1])).withColumn(
+        "h", F.md5(F.monotonically_increasing_id().cast("string"))).cache()
+    for fraction in (0.001, 0.37, 1.0):
+        wanted = F.ceil(F.col("n") * fraction)
+        want = {r["g"]: (r["n"], r["k"], r["cut"]) for r in ranks.hash_cut(df, ["g"], "h", wanted).collect()}
+        got = {r["g"]: (r["n"], r["k"], r["cut"]) for r in ranks.hash_cut(df, ["g"], "h", wanted, 1, 3).collect()}
+        assert got == want
+
+
 def test_running_totals_many_buckets(spark):
     df = spark.range(5000).select((F.col("id") % 2).alias("g"), (F.pmod(F.col("id") * 7919, F.lit(5000)) / 10).alias("s"),
                                   F.lit(1).alias("one"))
