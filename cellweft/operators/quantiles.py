@@ -2,7 +2,8 @@
 
 A first pass keeps a bounded quantile sketch per group and feature. Its error bound gives, for
 each wanted rank, an interval that must hold it. The second pass counts what lies below the
-interval and keeps distinct values inside it, which is some 4/accuracy of the rows.
+interval and keeps distinct values inside it, which is some 4/accuracy of the rows. Where even those are many, they are
+added up in ranges, not in one window.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellweft.operators.ranks import BUCKET_ROWS, running_totals
 from cellweft.session import attach, col, settle
 
 ACCURACY = 10_000
@@ -17,7 +19,7 @@ ALL = "__all"
 
 
 def exact_percentiles(df: DataFrame, groups: list[str], values: list[str], probabilities: list[float],
-                      accuracy: int = ACCURACY) -> DataFrame:
+                      accuracy: int = ACCURACY, rows: int = BUCKET_ROWS) -> DataFrame:
     """Long (groups..., feature, p, n, value): the linear-interpolation percentile.
 
     NULL and NaN values do not count; a feature without values gets NULL.
@@ -55,9 +57,15 @@ def exact_percentiles(df: DataFrame, groups: list[str], values: list[str], proba
     # Everything below the interval folds into one NULL-valued row per map task.
     counted = hit.groupBy(*[col(k) for k in keys], "slot", "n",
                           F.when(~F.col("below"), F.col("v")).alias("v")).agg(F.count("*").alias("c"))
-    part = Window.partitionBy(*[col(k) for k in keys], F.col("slot"), F.col("n"))
-    upto = counted.withColumn("cum", F.sum("c").over(
-        part.orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)))
+    counted = settle(counted, "near-values")
+    if counted.count() <= rows:
+        part = Window.partitionBy(*[col(k) for k in keys], F.col("slot"), F.col("n"))
+        upto = counted.withColumn("cum", F.sum("c").over(
+            part.orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)))
+    else:
+        # Too many for one window: ranges of them are added up apart, each range of ``rows`` at most.
+        upto = running_totals(counted, [*keys, "slot", "n"], "v", ["c"], False, -(-counted.count() // rows)).withColumnRenamed(
+            "cum_c", "cum")
     p_of = F.array(*[F.lit(float(p)) for _, p in slots])[F.col("slot")]
     f_of = F.array(*[F.lit(values[i]) for i, _ in slots])[F.col("slot")]
     rank = p_of * (F.col("n") - 1)

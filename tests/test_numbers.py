@@ -134,6 +134,18 @@ def test_exact_percentile_of_a_large_skewed_group(spark):
     assert [r["value"] for r in got] == pytest.approx(list(want))
 
 
+def test_exact_percentile_in_ranges(spark):
+    """At most 50 values a range: hundreds of ranges, a spike at the start of one group, a feature without values."""
+    df = spark.range(20_000).select((F.col("id") % 2).alias("g"), F.when(F.col("id") % 5 == 0, 3.0).otherwise(
+        F.sqrt(F.col("id"))).alias("v"), F.lit(None).cast("double").alias("none"))
+    how = dict(accuracy=200)
+    want = quantiles.exact_percentiles(df, ["g"], ["v", "none"], [0.0, 0.12, 0.5, 1.0], **how)
+    got = quantiles.exact_percentiles(df, ["g"], ["v", "none"], [0.0, 0.12, 0.5, 1.0], rows=50, **how)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    own = df.where("g = 1").toPandas()["v"]
+    assert got.where("g = 1 and feature = 'v' and p = 0.12").first()["value"] == pytest.approx(np.percentile(own, 12))
+
+
 @pytest.mark.parametrize("fraction", [0.0, 0.1, 0.5, 1.0])
 def test_hash_cut_counts(spark, fraction):
     df = frame(spark, g=np.repeat(["hot", "mid", "one"], [5000, 100, 1])).withColumn("h", seeded(1))
