@@ -98,6 +98,12 @@ def prediction_name(marker: str, index: int) -> str:
     return f"Prediction_{marker}_{index}"
 
 
+def prediction_table(table: DataFrame, marker: str, index: int, key: tuple[str, ...] = CELL_KEY) -> DataFrame:
+    """The keys of one marker's table and its prediction, which is the fourth column; the text NA where there is none."""
+    value = col(table.columns[3]) if len(table.columns) > 3 else F.lit("NA")
+    return table.select(*[col(k) for k in key if k in table.columns], value.alias(prediction_name(marker, index)))
+
+
 def inverted(df: DataFrame, value: str, group: list[str], name: str) -> DataFrame:
     """Group maximum minus the value: the maximum is an aggregate joined back, not a window, so a
     hot image is never sorted."""

@@ -68,3 +68,12 @@ def test_scans_are_pruned(stored):
 def test_projections_stay_in_generated_code(stored):
     text = plan(stored.select(F.inline(F.array(*[F.struct(F.lit(b).alias("f"), F.col(b).alias("v")) for b in BASIC]))))
     assert "[codegen id" in text
+
+
+def test_table_without_a_prediction(spark):
+    from cellweft.operators import merging
+    df = spark.createDataFrame([("i", 1.0, 2.0, 1)], "Image string, x double, y double, pred int")
+    key = ("Image", "x", "y")
+    assert merging.prediction_table(df, "CD3", 0, key).first().asDict() == {"Image": "i", "x": 1.0, "y": 2.0, "Prediction_CD3_0": 1}
+    short = merging.prediction_table(df.drop("pred"), "CD8", 1, key)
+    assert short.first().asDict() == {"Image": "i", "x": 1.0, "y": 2.0, "Prediction_CD8_1": "NA"}
