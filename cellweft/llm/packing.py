@@ -13,8 +13,11 @@ gives no rows. Extra columns are ignored.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -29,32 +32,82 @@ from cellweft.session import settle
 CAPACITY = 2048
 GRAIN = 64
 END = 1
-CACHE = 300_000
+END_BYTES = END.to_bytes(4, "little")
+RUN = 1_000_000      # characters of texts whose new words are encoded together
+CACHE = 600_000      # chunks, and words, whose ids a worker process keeps
+# The vocabulary's words, and the same for lower-case ASCII.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x09-\x0d a-z0-9]+")
 SHARDS = 64
 
 
+@lru_cache(4)
 def encoder(path: str):
-    """text -> ids. Spaces bound the vocabulary's words, so each distinct chunk between them is encoded once."""
+    """texts -> ids of each, kept by a worker process for all its tasks.
+
+    Spaces bound the vocabulary's words, so each distinct chunk between them is encoded once. The new words of new ASCII
+    chunks are encoded in one call, told apart by the ids that end a word; other new chunks in a second one, told apart
+    by zeros put between them, as a digit is a word of its own. Chunks that hold a zero or may hold a special token, and
+    all chunks of a vocabulary with other words, go one by one.
+    """
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(path)
-    known: dict[str, list[int]] = {}
-
-    def ids(text: str | None) -> np.ndarray:
-        chunks = (text or "").split(" ")
-        if len(known) > CACHE:
-            known.clear()
-        fresh = [c for c in set(chunks) if c not in known]
+    with open(path, encoding="utf-8") as spec:
+        shared = WORDS in [x.get("pattern", {}).get("Regex") for x in
+                           (json.load(spec).get("pre_tokenizer") or {}).get("pretokenizers", [])]
+    last = np.zeros(tok.get_vocab_size() + 1, bool)
+    last[[i for token, i in tok.get_vocab().items() if token.endswith("</w>")]] = True
+    zero = tok.token_to_id("0</w>")
+    words: dict[str, bytes] = {}
+    known: dict[str, bytes] = {}
+
+    def flat(texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(fresh: set[str]) -> None:
+        ascii_, mixed, odd = [], [], []
+        for c in fresh:
+            (odd if not shared or "<|" in c else ascii_ if c.isascii() else odd if "0" in c else mixed).append(c)
+        cut = [ASCII_WORDS.findall(c.lower()) for c in ascii_]
+        new = list({w for own in cut for w in own}.difference(words))
+        for i in range(0, len(new), 5000):
+            ids, = flat([" ".join(new[i:i + 5000])])
+            ends, raw = (4 * (np.flatnonzero(last[ids]) + 1)).tolist(), ids.tobytes()
+            words.update(zip(new[i:i + 5000], [raw[j:k] for j, k in zip([0, *ends], ends)], strict=True))
+        known.update(zip(ascii_, [b"".join([words[w] for w in own]) for own in cut]))
+        for i in range(0, len(mixed), 5000):
+            ids, = flat([" 0 ".join(mixed[i:i + 5000])])
+            raw, at = ids.tobytes(), (4 * np.flatnonzero(ids == zero)).tolist()
+            known.update(zip(mixed[i:i + 5000], [raw[j:k] for j, k in zip([0, *[x + 4 for x in at]], [*at, len(raw)])],
+                             strict=True))
+        if odd:
+            known.update(zip(odd, [ids.tobytes() for ids in flat(odd)]))
+
+    def ids(texts: list[str | None]) -> list[np.ndarray]:
+        chunks = [(text or "").split(" ") for text in texts]
+        for cache in (known, words):
+            if len(cache) > CACHE:
+                cache.clear()
+        fresh = set().union(*chunks).difference(known)
         if fresh:
-            for c, e in zip(fresh, tok.encode_batch(fresh, add_special_tokens=False)):
-                known[c] = e.ids
-        out: list[int] = []
-        for c in chunks:
-            out += known[c]
-        out.append(END)
-        return np.array(out, "<u4")
+            learn(fresh)
+        return [np.frombuffer(b"".join([*map(known.__getitem__, own), END_BYTES]), "<u4") for own in chunks]
     return ids
 
 
+def runs(texts: Iterable[str | None], size: int = RUN) -> Iterator[list[str | None]]:
+    """The texts in runs of about ``size`` characters; a longer text is a run of its own."""
+    run, held = [], 0
+    for text in texts:
+        run.append(text)
+        held += len(text or "")
+        if held >= size:
+            yield run
+            run, held = [], 0
+    if run:
+        yield run
+
+
 def cuts(n: int, capacity: int = CAPACITY, grain: int = GRAIN) -> list[int]:
     rest = n % capacity
     return [capacity] * (n // capacity) + [x for x in (rest - rest % grain, rest % grain) if x]
@@ -65,8 +118,9 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, grain: int
         ids_of = encoder(tokenizer)
         for batch in batches:
             rows = []
-            for doc, text in zip(batch["doc_id"], batch["text"]):
-                ids, at = ids_of(text), 0
+            encoded = (ids for run in runs(batch["text"]) for ids in ids_of(run))
+            for doc, ids in zip(batch["doc_id"], encoded):
+                at = 0
                 for size in cuts(len(ids), capacity, grain):
                     rows.append((doc, at, size, zlib.crc32(ids[at:at + size].tobytes()), len(ids)))
                     at += size
