@@ -2,8 +2,9 @@
 
 Texts are cut into pre-tokens; a block of texts keeps its distinct pre-tokens once and, per text, their positions as
 indexes into that list. The pre-tokens of all blocks are dealt to buckets by their hash, many to a row, encoded once
-each there, sent back to their blocks, and each block's texts are put together by position. Decoding joins the token-byte
-table, one broadcast row of the vocabulary's size. A block holds a bounded number of text bytes (one longer text is a block of its own), so no task gathers more.
+each there, sent back to their blocks, which are stored in buckets and so are not shuffled themselves, and each block's
+texts are put together by position. Decoding joins the token-byte table, one broadcast row of the vocabulary's size. A
+block holds a bounded number of text bytes (one longer text is a block of its own), so no task gathers more.
 
 Null texts count as empty and give no ids. Repeated ids and rows stay rows. An empty table gives no rows. Extra
 columns are ignored.
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -27,9 +29,9 @@ from pyspark.sql import functions as F
 
 from cellweft.llm.common import plain, table
 from cellweft.llm.registry import query
-from cellweft.session import settle
+from cellweft.session import scratch_path
 
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 16_000_000
 LEAST_BUCKETS, MOST_BUCKETS = 512, 2048
 KNOWN = 500_000      # words whose ids a task keeps
 DEFAULT = "byte_bpe_multi_50k.tiktoken"
@@ -123,12 +125,24 @@ def gather(starts: np.ndarray, sizes: np.ndarray, spots: np.ndarray) -> np.ndarr
     return np.repeat(starts[spots] - ends + own, own) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
+def stored_blocks(blocks: DataFrame) -> DataFrame:
+    """The blocks stored in buckets of their number, as many as shuffles have partitions: words sent back to a block by
+    a shuffle on that number meet its positions where they lie, so these are written once and never shuffled."""
+    spark = blocks.sparkSession
+    name, n = f"bpe_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks.write.format("parquet").option("path", scratch_path(spark, "bpe")).bucketBy(n, "block").saveAsTable(name)
+    stored = spark.table(name)
+    stored.schema  # resolved here: the table's name is needed no longer, its files stay
+    spark.sql(f"DROP TABLE {name}")
+    return stored
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizers.PATTERN,
            block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """block, doc_ids, offsets (ids of each text end there), ids (pressed) and vocabulary of every text."""
-    blocks = settle(plain(docs, "doc_id", "text").mapInPandas(
+    blocks = stored_blocks(plain(docs, "doc_id", "text").mapInPandas(
         lambda it: blocks_of(it, pattern, block_bytes),
-        "block long, doc_ids array<long>, offsets array<long>, positions binary, words binary"), "bpe")
+        "block long, doc_ids array<long>, offsets array<long>, positions binary, words binary"))
     buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, blocks.count()))
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -164,7 +178,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizers.PA
     known = dealt.repartition("bucket").mapInPandas(
         encode_words, "block long, slots binary, sizes binary, word_ids binary")
     back = known.groupBy("block").agg(F.collect_list(F.struct("slots", "sizes", "word_ids")).alias("lexicon"))
-    joined = blocks.drop("words").join(back, "block", "left")
+    # The words sent back grow with the corpus, so they are never broadcast.
+    joined = blocks.drop("words").join(back.hint("merge"), "block", "left")
 
     def assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
