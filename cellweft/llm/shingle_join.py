@@ -1,11 +1,12 @@
 """N-gram Jaccard join by signature trees.
 
-A document's set holds the 64-bit hashes of its distinct word n-grams. Equal sets are one class. Two classes can only
-link if they agree on one of the parts that the hash space is cut into: linked sets of a size band differ in d hashes
-at most, and d + 1 + s parts are taken, so s + 1 parts agree. A set with at most s empty parts leaves those out, as one of
-the parts it agrees on is not empty; a set with more keeps all its parts. So sets are never brought together by an empty part,
-unless both of them have next to no full ones. Classes that share a part are
-chained to its smallest one, the chains' components are candidate clusters, and all links lie within clusters.
+A document's set holds the 64-bit hashes of its distinct word n-grams. Equal sets are one class. All n-grams of all
+documents are counted in a sketch of CELLS cells, which orders n-grams from rare to common (ties by hash). Two linked sets
+share one of the first size - least overlap + 1 n-grams of both, whatever the order, so each of those, together with the
+size band, is a key of its class. As passages that many documents share come last in the order, they bring together only
+documents that hold little else; where more n-grams than cells are counted the order blurs, which makes clusters
+larger and loses no link. Classes that share a key are chained to its smallest one, the chains' components are
+candidate clusters, and all links lie within clusters.
 
 A cluster's classes are dealt, in order of size, to blocks of some BLOCK classes and BLOCK_HASHES hashes. A class goes to the
 pairs of its own block with those that hold sizes it may link with, and each pair of blocks is one task's work: both blocks get a signature tree whose nodes hold the OR of their members' token bitmaps and their
@@ -21,7 +22,6 @@ in no component and keeps a null one. An empty table gives no rows. Extra column
 from __future__ import annotations
 
 import functools
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +39,10 @@ BLOCK = 2048         # classes of one block
 BLOCK_HASHES = 4_000_000
 LEAF = 16
 BITS = 1024          # of a node's bitmap
+CELL_BITS = 24       # of the sketch that orders n-grams
+CELLS = 1 << CELL_BITS
+SLICES, SPREAD = 64, 32
+TALLY = 8_000_000    # n-grams a task counts before it sends them
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -61,59 +65,89 @@ def shingles(text: str | None, n: int) -> np.ndarray:
     return np.unique(out)
 
 
-def spare_parts(low: int, differ: int) -> int:
-    """s: parts that a set of ``low`` hashes leaves empty, at most, but for some 1 in 30,000 (four deviations)."""
-    spare = 0
-    for _ in range(20):
-        parts = differ + 1 + spare
-        none = math.exp(-low / parts)
-        deviation = math.sqrt(parts * none * max(0.0, 1 - (1 + low / parts) * none))
-        need = math.ceil(parts * none + 4 * deviation)
-        if need <= spare:
-            break
-        spare = need
-    return spare
-
-
 @functools.lru_cache(100_000)
-def bands(size: int, share: tuple[int, int]) -> list[tuple[int, int, int]]:
-    """(band, d, s): a pair belongs to the size band of its smaller set, so a set may also count in the band before its own."""
+def bands(size: int, share: tuple[int, int]) -> tuple[int, ...]:
+    """A pair belongs to the size band of its smaller set, so a set may also count in the band before its own."""
     up, down = share
-    band, low, high, before = 0, 1, 1, None
+    band, low, high, before = 0, 1, 1, 0
     while size > high:
-        before = (band, low, high)
+        before = high
         band, low = band + 1, high + 1
         high = max(low, low * down * down // (up * up))
+    return (band, band - 1) if band and size * up <= before * down else (band,)
+
+
+def cells_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
-    def one(band: int, low: int, high: int) -> tuple[int, int, int]:
-        # The partner has at most high * down / up hashes; linked sets differ by a share of their summed sizes.
-        differ = (down - up) * (high + high * down // up) // (down + up)
-        return band, differ, spare_parts(low, differ)
-
-    out = [one(band, low, high)]
-    if before and size * up <= before[2] * down:
-        out.append(one(*before))
-    return out
-
-
-def part_keys(hashes: np.ndarray, share: tuple[int, int]) -> np.ndarray:
-    out = []
-    mixed = (hashes * MIX) >> np.uint64(32)
-    for band, differ, spare in bands(len(hashes), share):
-        parts = differ + 1 + spare
-        own = (mixed % np.uint64(parts)).astype(np.int64)
-        total = np.zeros(parts, np.uint64)
-        with np.errstate(over="ignore"):
-            spread = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
-            np.add.at(total, own, spread)
-            key = (total ^ (np.arange(parts, dtype=np.uint64) << np.uint64(20)) ^ np.uint64(band)) * MIX
-        full = np.bincount(own, minlength=parts) > 0
-        if parts - full.sum() <= spare:
-            key = key[full]
-        out.append(key ^ (key >> np.uint64(32)))
+
+def rare_keys(hashes: np.ndarray, common: np.ndarray, share: tuple[int, int]) -> np.ndarray:
+    """Keys of a set; ``common`` has a byte a cell, higher for cells that count more n-grams."""
+    up, down = share
+    order = np.lexsort((hashes * MIX, common[cells_of(hashes)]))
+    first = hashes[order[:len(hashes) - -(-len(hashes) * up // down) + 1]]
+    out = [(first ^ (np.uint64(band) << np.uint64(20))) * MIX for band in bands(len(hashes), share)]
     return np.concatenate(out).view(np.int64)
 
 
+def tally(docs: DataFrame, n: int) -> np.ndarray:
+    """A byte a cell, from the logarithm of the number of n-grams of all documents that fall on it.
+
+    Tasks count up to TALLY n-grams at a time, 255 a cell at most, and send the cells they met as bits and counts, in
+    SLICES slices. Slices are summed in two steps of streamed partials, so no task holds more than its slices' cells.
+    """
+    width = CELLS // SLICES
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def flush() -> pd.DataFrame:
+            counts = np.bincount(np.concatenate(held), minlength=CELLS).reshape(SLICES, width)
+            return pd.DataFrame([(k, np.packbits(own > 0).tobytes(), np.minimum(own[own > 0], 255).astype(
+                np.uint8).tobytes()) for k, own in enumerate(counts) if own.any()], columns=["slice", "met", "counts"])
+
+        held, size = [], 0
+        for batch in batches:
+            for text in batch["text"]:
+                held.append(cells_of(shingles(text, n)).astype(np.int32))
+                size += len(held[-1])
+                if size >= TALLY:
+                    yield flush()
+                    held, size = [], 0
+        if size:
+            yield flush()
+
+    def total(dtype: str):
+        def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            sums: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for k, met, counts in zip(batch["slice"], batch["met"], batch["counts"]):
+                    own = np.unpackbits(np.frombuffer(met, np.uint8)).astype(bool)
+                    sums.setdefault(k, np.zeros(width, np.int64))[own] += np.frombuffer(counts, dtype)
+            yield pd.DataFrame([(k, np.packbits(own > 0).tobytes(), own[own > 0].astype("<i8").tobytes())
+                                for k, own in sums.items()], columns=["slice", "met", "counts"])
+        return fold
+
+    schema = "slice int, met binary, counts binary"
+    parts = docs.select("text").mapInPandas(partial, schema).withColumn("spread", F.pmod(F.spark_partition_id(), F.lit(SPREAD)))
+    halves = parts.repartition("slice", "spread").select("slice", "met", "counts").mapInPandas(total("u1"), schema)
+    sums = halves.repartition("slice").mapInPandas(total("<i8"), schema)
+
+    def ranked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for k, met, counts in zip(batch["slice"], batch["met"], batch["counts"]):
+                out = np.zeros(width, np.uint8)
+                out[np.unpackbits(np.frombuffer(met, np.uint8)).astype(bool)] = np.minimum(
+                    255, 8 * np.log2(1 + np.frombuffer(counts, "<i8")))
+                rows.append((k, out.tobytes()))
+            yield pd.DataFrame(rows, columns=["slice", "ranks"])
+
+    # One byte a cell comes to the driver: CELLS bytes, whatever the input.
+    common = np.zeros((SLICES, width), np.uint8)
+    for row in sums.mapInPandas(ranked, "slice int, ranks binary").collect():
+        common[row["slice"]] = np.frombuffer(row["ranks"], np.uint8)
+    return common.reshape(-1)
+
+
 class Tree:
     """Signature tree over sets in order of size; node i has the children 2i+1, 2i+2 unless it is a leaf."""
 
@@ -235,9 +269,11 @@ def jaccard_rows(docs: DataFrame, n: int, share: tuple[int, int], block: int = B
                 yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "copy": part["copy"],
                                     "n_shingles": [len(s) for s in own],
                                     "class": [xxhash.xxh128_digest(s.tobytes()) for s in own],
-                                    "keys": [part_keys(s, share) if len(s) else np.empty(0, np.int64) for s in own]})
+                                    "keys": [rare_keys(s, common.value, share) if len(s) else np.empty(0, np.int64)
+                                             for s in own]})
 
     docs = plain(docs, "doc_id", "text")
+    common = docs.sparkSession.sparkContext.broadcast(tally(docs, n))
     every = settle(docs.withColumn("copy", row_hash()).mapInPandas(
         sets, "doc_id long, copy long, n_shingles long, class binary, keys array<long>"), "shingles")
     # One document stands for its class; only those in clusters have their sets built again, from their texts.

@@ -43,8 +43,14 @@ def test_blocks_by_size(spark, monkeypatch):
     assert sorted(map(tuple, shingle_join.jaccard_classes(docs).collect()), key=str) == brute_classes(rows, 5, 4, 5)
 
 
+def ranks(sets):
+    counts = np.bincount(np.concatenate([shingle_join.cells_of(s) for s in sets]), minlength=shingle_join.CELLS)
+    return np.minimum(255, 8 * np.log2(1 + counts)).astype(np.uint8)
+
+
 def clusters(sets, share):
     """Sizes of the clusters that shared keys chain together."""
+    common = ranks(sets)
     root = list(range(len(sets)))
 
     def find(i):
@@ -54,7 +60,7 @@ def clusters(sets, share):
 
     first = {}
     for i, s in enumerate(sets):
-        for k in shingle_join.part_keys(s, share).tolist():
+        for k in shingle_join.rare_keys(s, common, share).tolist():
             root[find(i)] = find(first.setdefault(k, i))
     return Counter(find(i) for i in range(len(sets)))
 
@@ -66,8 +72,25 @@ def test_unlike_texts_share_no_key():
         assert max(clusters(sets, share).values()) == 1
 
 
+def test_shared_passage_chains_nothing():
+    rows = [t for _, t in corpus()[-60:]]
+    sets = [shingle_join.shingles(t, 5) for t in rows]
+    # Of the shortest the passage is most; the others have rarer n-grams enough.
+    assert max(clusters(sets, (4, 5)).values()) <= 15
+
+
+def test_tally(spark, monkeypatch):
+    monkeypatch.setattr(shingle_join, "TALLY", 2000)
+    rows = [(t,) for _, t in corpus(6)] + [(None,), ("",)] + [("a b c d e f g",)] * 300
+    docs = spark.createDataFrame(rows, "text string").repartition(5)
+    assert (shingle_join.tally(docs, 5) == ranks([shingle_join.shingles(t, 5) for t, in rows])).all()
+    assert not shingle_join.tally(docs.limit(0), 5).any()
+
+
 def test_linked_sets_share_a_key():
     rng = np.random.default_rng(2)
+    # Any order will do, so also that of a sketch which counted other things.
+    common = rng.integers(0, 256, shingle_join.CELLS).astype(np.uint8)
     for _ in range(3000):
         n = int(rng.integers(1, 60))
         a = rng.integers(0, 1 << 63, n, np.uint64)
@@ -76,7 +99,8 @@ def test_linked_sets_share_a_key():
         a = np.unique(a)
         both = len(np.intersect1d(a, b))
         if 5 * both >= 4 * (len(a) + len(b) - both):
-            assert set(shingle_join.part_keys(a, (4, 5)).tolist()) & set(shingle_join.part_keys(b, (4, 5)).tolist())
+            assert set(shingle_join.rare_keys(a, common, (4, 5)).tolist()) & set(
+                shingle_join.rare_keys(b, common, (4, 5)).tolist())
 
 
 def test_dealing_by_size(spark):
