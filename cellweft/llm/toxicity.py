@@ -1,10 +1,12 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-A text is cut into windows of WINDOW words, STEP apart, so that they overlap and cover all of it. A word's input is a
+A text is cut into windows of WINDOW words, STEP apart, so that each overlaps half of the next and any STEP + 1 words in a
+row lie whole in one; words longer than LETTERS bytes count as several that overlap by half. A word's input is a
 hashed word embedding, whose first component starts from the word's smoothed log-odds among the training documents,
 beside the mean of the embeddings of its character grams (beginnings and trigrams) and the highest of their log-odds. Two gated recurrent layers read the window in both directions,
 attention pools their states, and the document's score is that of its highest window. Training knows document labels
-only: each round takes every document's highest window and steps on those (multiple-instance learning).
+only: each round takes every document's highest window and steps on those (multiple-instance learning). Every REVIEW
+rounds the windows that compete are chosen anew among all windows of the sample: the highest HARDEST and as many at random.
 
 Texts that are null, empty or without words get the bias of an empty window. Rows of labels with nulls are left out,
 repeated labels of a document count once, and without any label every score is 0. Repeated rows stay rows. An empty
@@ -23,14 +25,14 @@ from cellweft.llm.quality import kept_rows, scored, training_rows
 from cellweft.llm.registry import query
 
 SAMPLE = 3000        # labelled documents learned from, at most, chosen by a hash of their id
-WINDOW, STEP = 24, 20
+WINDOW, STEP = 24, 12
 BUCKETS, GRAMS = 16384, 16384
 PREFIXES, TRIGRAMS, LETTERS = (3, 4, 5, 6, 7), 3, 48
 SPELLED = len(PREFIXES) + TRIGRAMS
 P = np.uint64(0x9E3779B97F4A7C15)
 WORD, CHAR, HIDDEN = 8, 4, 8
 ROUNDS, BATCH, RATE, DECAY = 16, 128, 0.01, 1e-4
-HARDEST = 3
+HARDEST, REVIEW = 3, 4
 TOGETHER = 1024      # windows scored together
 KNOWN = 300_000
 THRESHOLD = 0.3
@@ -61,6 +63,15 @@ def word_codes(words: list[bytes]) -> np.ndarray:
     return out
 
 
+def units_of(text: str | None) -> list[bytes]:
+    """The words of a text; longer ones than LETTERS bytes in pieces, each half of which is in the next."""
+    out = words_of(text)
+    if any(len(w) > LETTERS for w in out):
+        half = LETTERS // 2
+        out = [w[i:i + LETTERS] for w in out for i in range(0, max(1, len(w) - half), half)]
+    return out
+
+
 def windows_of(n: int) -> np.ndarray:
     return np.arange(0, max(1, n - WINDOW + STEP), STEP) if n > WINDOW else np.zeros(1, int)
 
@@ -177,7 +188,7 @@ def gradients(m: dict, codes: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray
 def index_texts(texts: list[str | None], lexicon: dict[bytes, int], codes: list[np.ndarray]):
     """Windows of all texts as word indexes, and the text each belongs to."""
     spots, owner = [], []
-    every = [words_of(text) for text in texts]
+    every = [units_of(text) for text in texts]
     fresh = sorted({w for own in every for w in own}.difference(lexicon))
     lexicon.update(zip(fresh, range(len(codes), len(codes) + len(fresh))))
     codes.extend(word_codes(fresh))
@@ -199,7 +210,7 @@ def fit(texts: list[str | None], y: np.ndarray, rounds: int = ROUNDS, seed: int
     code, m = np.array(codes), start_model(seed)
     held, parts = np.zeros((2, BUCKETS)), np.zeros((2, GRAMS))
     for label, text in zip(y, texts):
-        own = code[[lexicon[w] for w in set(words_of(text))]].reshape(-1, 1 + SPELLED)
+        own = code[[lexicon[w] for w in set(units_of(text))]].reshape(-1, 1 + SPELLED)
         held[int(label), np.unique(own[:, 0])] += 1
         parts[int(label), np.unique(own[:, 1:])] += 1
 
@@ -211,21 +222,30 @@ def fit(texts: list[str | None], y: np.ndarray, rounds: int = ROUNDS, seed: int
     m["word"][0], m["odds"][0] = 0, 0
     first, second = ({k: np.zeros_like(v) for k, v in m.items()} for _ in range(2))
     rng, step, y = np.random.default_rng(seed), 0, y.astype(np.float32)
-    # Windows to learn from: of each document the HARDEST by log-odds, and as many at random.
+    # Before anything is learned windows rank by log-odds.
     strength = np.maximum(m["word"][code[:, 0], 0], m["odds"][code[:, 1:]].max(1))
     rank = np.sort(strength[spots], 1)[:, -3:] @ np.array([0.1, 0.2, 1.0])
-    place = np.empty(len(owner), int)
-    keep = np.zeros(len(owner), bool)
-    for key in (-rank, rng.random(len(owner))):
-        order = np.lexsort((key, owner))
-        place[order] = np.arange(len(owner)) - np.searchsorted(owner, owner)[order]
-        keep |= place < HARDEST
-    spots, owner, rank = spots[keep], owner[keep], rank[keep]
-    for _ in range(rounds):
+
+    def competing() -> np.ndarray:
+        """Of each document the HARDEST windows, and as many at random."""
+        keep = np.zeros(len(owner), bool)
+        for key in (-rank, rng.random(len(owner))):
+            order = np.lexsort((key, owner))
+            keep[order[np.arange(len(owner)) - np.searchsorted(owner, owner) < HARDEST]] = True
+        return np.flatnonzero(keep)
+
+    for turn in range(rounds):
+        if turn % REVIEW == 0:
+            if turn:
+                rank = logits(m, project(m, code), spots)
+            mine = competing()
+        elif turn:
+            rank[mine] = logits(m, project(m, code), spots[mine])
+        held_by, best = owner[mine], rank[mine]
         # Each document's highest window, and for label 0 a second one at random, so that all its windows count.
-        order = np.lexsort((rank, owner))
-        top = order[np.flatnonzero(np.r_[owner[order][1:] != owner[order][:-1], True])]
-        extra = rng.permutation(np.flatnonzero(y[owner] == 0))[:len(y)]
+        order = np.lexsort((best, held_by))
+        top = mine[order[np.flatnonzero(np.r_[held_by[order][1:] != held_by[order][:-1], True])]]
+        extra = rng.permutation(mine[y[held_by] == 0])[:len(y)]
         chosen = rng.permutation(np.concatenate([top, extra]))
         for at in range(0, len(chosen), BATCH):
             own = chosen[at:at + BATCH]
@@ -237,7 +257,6 @@ def fit(texts: list[str | None], y: np.ndarray, rounds: int = ROUNDS, seed: int
                 first[k] = 0.9 * first[k] + 0.1 * g
                 second[k] = 0.99 * second[k] + 0.01 * g * g
                 m[k] -= RATE * (first[k] / (1 - 0.9 ** step)) / (np.sqrt(second[k] / (1 - 0.99 ** step)) + 1e-6)
-        rank = logits(m, project(m, code), spots)
     return m
 
 
