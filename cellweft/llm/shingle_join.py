@@ -39,10 +39,10 @@ BLOCK = 2048         # classes of one block
 BLOCK_HASHES = 4_000_000
 LEAF = 16
 BITS = 1024          # of a node's bitmap
-CELL_BITS = 24       # of the sketch that orders n-grams
+CELL_BITS = 22       # of the sketch that orders n-grams
 CELLS = 1 << CELL_BITS
 SLICES, SPREAD = 64, 32
-TALLY = 8_000_000    # n-grams a task counts before it sends them
+TALLY = 2_000_000    # n-grams a task counts before it sends them
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -115,35 +115,29 @@ def tally(docs: DataFrame, n: int) -> np.ndarray:
         if size:
             yield flush()
 
-    def total(dtype: str):
+    def total(dtype: str, last: bool):
+        def packed(k: int, own: np.ndarray) -> tuple:
+            if last:
+                return k, np.minimum(255, 8 * np.log2(1 + own)).astype(np.uint8).tobytes(), b""
+            return k, np.packbits(own > 0).tobytes(), own[own > 0].astype("<i8").tobytes()
+
         def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             sums: dict[int, np.ndarray] = {}
             for batch in batches:
                 for k, met, counts in zip(batch["slice"], batch["met"], batch["counts"]):
                     own = np.unpackbits(np.frombuffer(met, np.uint8)).astype(bool)
                     sums.setdefault(k, np.zeros(width, np.int64))[own] += np.frombuffer(counts, dtype)
-            yield pd.DataFrame([(k, np.packbits(own > 0).tobytes(), own[own > 0].astype("<i8").tobytes())
-                                for k, own in sums.items()], columns=["slice", "met", "counts"])
+            yield pd.DataFrame([packed(k, own) for k, own in sums.items()], columns=["slice", "met", "counts"])
         return fold
 
     schema = "slice int, met binary, counts binary"
     parts = docs.select("text").mapInPandas(partial, schema).withColumn("spread", F.pmod(F.spark_partition_id(), F.lit(SPREAD)))
-    halves = parts.repartition("slice", "spread").select("slice", "met", "counts").mapInPandas(total("u1"), schema)
-    sums = halves.repartition("slice").mapInPandas(total("<i8"), schema)
-
-    def ranked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for k, met, counts in zip(batch["slice"], batch["met"], batch["counts"]):
-                out = np.zeros(width, np.uint8)
-                out[np.unpackbits(np.frombuffer(met, np.uint8)).astype(bool)] = np.minimum(
-                    255, 8 * np.log2(1 + np.frombuffer(counts, "<i8")))
-                rows.append((k, out.tobytes()))
-            yield pd.DataFrame(rows, columns=["slice", "ranks"])
+    halves = parts.repartition("slice", "spread").select("slice", "met", "counts").mapInPandas(total("u1", False), schema)
+    sums = halves.repartition("slice").mapInPandas(total("<i8", True), schema)
 
     # One byte a cell comes to the driver: CELLS bytes, whatever the input.
     common = np.zeros((SLICES, width), np.uint8)
-    for row in sums.mapInPandas(ranked, "slice int, ranks binary").collect():
+    for row in sums.select("slice", F.col("met").alias("ranks")).collect():
         common[row["slice"]] = np.frombuffer(row["ranks"], np.uint8)
     return common.reshape(-1)
 
