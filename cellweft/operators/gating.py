@@ -3,12 +3,13 @@
 The threshold is the mean of the lower of one or two Gaussians (chosen by BIC) plus two standard
 deviations, lowered to the first minimum of a kernel density. Cells are reduced to bins of counts
 and moments in one scan; the mixture and the density are computed per feature on the bins, so their
-cost does not grow with the number of cells.
+cost does not grow with the number of cells. A bin that the two-means start would cut is binned again
+around the cut, as a bin that goes to one side whole moves the start and with it the mixture.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -24,12 +25,16 @@ STEPS = 512      # bins in one spread at the centre
 ROUNDS = 8       # of binning a feature again
 GRID = 1000
 ZERO = -(1 << 62)  # bin of the exact zeros
+CUT_BINS = 4096  # on either side of the two-means cut, within its reach
+CUT_FIRST = 1 << 61
+CUT_SHARE = 1e-8  # of the rows that a cut bin may hold
 
 FITTED = T.StructType([
     T.StructField("i", T.IntegerType()), T.StructField("threshold", T.DoubleType()),
     T.StructField("n_components", T.IntegerType()), T.StructField("gmm_means", T.ArrayType(T.DoubleType())),
     T.StructField("gmm_stds", T.ArrayType(T.DoubleType())), T.StructField("centre", T.DoubleType()),
-    T.StructField("spread", T.DoubleType()), T.StructField("fine", T.BooleanType())])
+    T.StructField("spread", T.DoubleType()), T.StructField("fine", T.BooleanType()),
+    T.StructField("cut", T.DoubleType()), T.StructField("reach", T.DoubleType())])
 
 
 @dataclass(frozen=True)
@@ -46,9 +51,16 @@ class Binning:
     centre: float
     spread: float
     steps: float
+    cut: float = 0.0
+    reach: float = 0.0    # 0: no finer bins around the cut
 
     def slot(self, value):
-        return F.floor(F.asinh((value - F.lit(self.centre)) / F.lit(self.spread)) * F.lit(self.steps)).cast("long")
+        wide = F.floor(F.asinh((value - F.lit(self.centre)) / F.lit(self.spread)) * F.lit(self.steps)).cast("long")
+        if not self.reach > 0:
+            return wide
+        away = value - F.lit(float(self.cut))
+        near = F.lit(CUT_FIRST) + F.floor(away / F.lit(float(self.reach)) * F.lit(float(CUT_BINS))).cast("long")
+        return F.when(F.abs(away) <= F.lit(float(self.reach)), near).otherwise(wide)
 
 
 def value_of(name: str):
@@ -56,8 +68,8 @@ def value_of(name: str):
     return finite_or_zero(col(name).cast("double"))
 
 
-def _two_gaussians(x: np.ndarray, inner: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """Weighted EM on bins (mean, squares about it, count): means, variances, log-likelihood."""
+def _two_gaussians(x: np.ndarray, inner: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, float, np.ndarray]:
+    """Weighted EM on bins (mean, squares about it, count): means, variances, log-likelihood, centres of the start."""
     n = w.sum()
     centre = np.array([x.min(), x.max()], float)
     for _ in range(50):  # two-means start
@@ -86,7 +98,15 @@ def _two_gaussians(x: np.ndarray, inner: np.ndarray, w: np.ndarray) -> tuple[np.
         if abs(bound - last) < 1e-3:
             break
         last = bound
-    return mean, var, float((w * norm).sum())
+    return mean, var, float((w * norm).sum()), centre
+
+
+def _cut_bin(centre: np.ndarray, lo: np.ndarray, hi: np.ndarray, w: np.ndarray) -> tuple[float, float]:
+    """The two-means cut and how far around it to bin again; 0 if the cut leaves its bin whole or nearly empty."""
+    over = lambda v: np.abs(v - centre[0]) > np.abs(v - centre[1])
+    both = np.flatnonzero(over(lo) != over(hi))
+    both = both[w[both] > CUT_SHARE * w.sum()]
+    return float(centre.mean()), float(8 * (hi[both] - lo[both]).max()) if len(both) else 0.0
 
 
 def kernel_sums(grid: np.ndarray, x: np.ndarray, w: np.ndarray, var: np.ndarray, width: float) -> np.ndarray:
@@ -126,8 +146,10 @@ def gate_bins(pdf: pd.DataFrame) -> pd.DataFrame:
     var = ((w * (x - mean) ** 2).sum() + inner.sum()) / n
     one = -0.5 * n * (np.log(2 * np.pi * (var + 1e-6)) + var / (var + 1e-6))
     means, variances, components = np.array([mean]), np.array([var + 1e-6]), 1
+    cut = reach = 0.0
     if high > low:
-        m2, v2, two = _two_gaussians(x, inner, w)
+        m2, v2, two, start = _two_gaussians(x, inner, w)
+        cut, reach = _cut_bin(start, lo, hi, w)
         if -2 * two + 5 * np.log(n) < -2 * one + 2 * np.log(n):
             means, variances, components = m2, v2, 2
     sds = np.sqrt(np.maximum(variances, 1e-12))
@@ -149,7 +171,7 @@ def gate_bins(pdf: pd.DataFrame) -> pd.DataFrame:
             fine, spread = False, min(spread, float(kernel))
     return pd.DataFrame({"i": [int(pdf["i"].iloc[0])], "threshold": [threshold], "n_components": [components],
                          "gmm_means": [means.tolist()], "gmm_stds": [sds.tolist()], "centre": [float(means[dark])],
-                         "spread": [spread], "fine": [fine]})
+                         "spread": [spread], "fine": [fine], "cut": [cut], "reach": [reach]})
 
 
 def first_binnings(df: DataFrame, features: list[str], value_of=value_of) -> list[Binning]:
@@ -193,8 +215,13 @@ def fit(df: DataFrame, features: list[str]) -> list[Gate]:
         again = []
         for r in rows:
             found[todo[r["i"]]] = r
+            old = binnings[r["i"]]
             if not r["fine"]:
-                again.append((todo[r["i"]], Binning(r["centre"], max(r["spread"], 1e-12 * abs(r["centre"]), 1e-300), STEPS)))
+                old = Binning(r["centre"], max(r["spread"], 1e-12 * abs(r["centre"]), 1e-300), STEPS, old.cut, old.reach)
+            if r["reach"] > 0:
+                old = replace(old, cut=r["cut"], reach=r["reach"])
+            if not r["fine"] or r["reach"] > 0:
+                again.append((todo[r["i"]], old))
         if not again:
             break
         todo, binnings = [f for f, _ in again], [b for _, b in again]

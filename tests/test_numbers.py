@@ -107,6 +107,16 @@ def test_density_minimum_against_plain_sum():
     assert gating._first_minimum(x, np.ones(len(x)), x.min(), x.max(), x.std(ddof=1)) == pytest.approx(grid[dips[0]])
 
 
+def test_gate_start_cuts_within_a_bin(spark):
+    """Even values: the two-means cut falls into a full bin, which is binned again around it."""
+    x = np.round(np.linspace(0.9, 105.0, 200_003) ** 1.01, 5)
+    want = exact_gate(x)
+    got = gating.fit(frame(spark, even=x), ["even"])[0]
+    assert got.n_components == want["n_components"] == 2
+    assert got.means == pytest.approx(tuple(want["gmm_means"]), abs=2e-4)
+    assert got.stds == pytest.approx(tuple(want["gmm_stds"]), abs=2e-4)
+
+
 def test_gate_nonfinite_counts_as_zero(spark):
     df = spark.createDataFrame([(float("inf"),), (float("nan"),), (None,), (5.0,)], "a double")
     gates = gating.fit(df, ["a"])
