@@ -239,6 +239,28 @@ def test_lof_against_all_pairs(spark, leaf_rows, top_leaves):
     assert got["lof"].idxmax() == len(x) - 1
 
 
+@pytest.mark.parametrize("rows", [16_384, 50])
+def test_lof_in_many_features_visits_no_boxes(spark, monkeypatch, rows):
+    """With many features blocks of points meet once; a ball would reach every box and send a point to each."""
+    x = np.r_[RNG.normal(0, 1, (250, 12)), RNG.normal(9, .2, (150, 12)), np.full((1, 12), 30.0)]
+    names = [f"f{i}" for i in range(12)]
+    df = frame(spark, i=np.arange(len(x)), **{n: x[:, i] for i, n in enumerate(names)})
+    monkeypatch.setattr(outliers, "neighbours", None)
+    pairs = outliers.all_pairs
+    monkeypatch.setattr(outliers, "all_pairs", lambda points, k, n: pairs(points, k, n, rows))
+    got = outliers.local_outlier_factor(df, names, 12).orderBy("i").toPandas()
+    assert got["lof"].to_numpy() == pytest.approx(lof_by_hand(x, 12), rel=1e-6)
+
+
+def test_neighbours_are_one_row_a_point(spark):
+    x = RNG.normal(0, 1, (300, 2))
+    points = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "pid long, x array<double>, m long")
+    got = outliers.neighbours(points, 7, leaf_rows=20).orderBy("p").toPandas()
+    far = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    np.fill_diagonal(far, np.inf)
+    assert len(got) == 300 and np.stack(got["o"]).tolist() == np.argsort(far, axis=1)[:, :7].tolist()
+
+
 def test_lof_with_a_pile_of_copies(spark):
     x = np.r_[np.zeros(400), RNG.normal(5, 1, 100)]
     df = frame(spark, a=x, i=np.arange(500))
