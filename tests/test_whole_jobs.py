@@ -63,3 +63,19 @@ def test_registry_score(spark, monkeypatch):
     flip = F.when(F.substring("row_key", 1, 1) < "4", 1 - F.col("label")).otherwise(F.col("label"))
     monkeypatch.setattr(models, "labelled", lambda *a: right(*a).withColumn("label", flip))
     assert 0 < QUERIES["snk_05_model_registry"](spark, SF).first()["f1"] < 1
+
+
+def test_cluster_search_leaves_the_rows_to_the_fits(spark, monkeypatch):
+    """A fit over a cached table decodes every row in every round; over an uncached one it keeps the vectors."""
+    from pyspark.ml.clustering import GaussianMixture, KMeans
+
+    from cellweft.operators import clustering
+
+    levels = []
+    for maker in (KMeans, GaussianMixture):
+        fit = maker.fit
+        monkeypatch.setattr(maker, "fit", lambda self, data, fit=fit: (levels.append(data.storageLevel), fit(self, data))[1])
+    rows = spark.range(300).selectExpr("id % 3 as label", "(id % 3) * 10 + rand(1) as a", "rand(2) as b")
+    found = clustering.search(rows, ["a", "b"], "label", kmeans=(2, 3), mixtures=(2,)).collect()
+    assert len(found) == 3 and len(levels) == 3 and not any(level.useMemory for level in levels)
+    assert found[0]["k"] == 3 and found[0]["ARI"] == 1
