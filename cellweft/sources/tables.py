@@ -230,13 +230,17 @@ def write_by(df: DataFrame, path: str, *columns: str, rows: int = FILE_ROWS) ->
     """One folder per value (marker, image) with a file for every ``rows`` rows or part of them.
 
     Values are counted first: a value's rows are dealt to as many tasks as it has files, so a hot value is not one
-    task's work and a rare one is not spread over a file per task.
+    task's work and a rare one is not spread over a file per task. Files are numbered and a task writes the file of its
+    number: by hash several files would meet in one task, more of them the more files there are.
     """
     sizes = settle(df.groupBy(*[col(c) for c in columns]).agg(
         F.ceil(F.count("*") / F.lit(rows)).cast("int").alias("__files")), "sizes")
+    # One row per folder.
+    before = Window.orderBy(*[col(c) for c in columns]).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = settle(sizes.withColumn("__first", F.coalesce(F.sum("__files").over(before), F.lit(0)).cast("int")), "sizes")
     dealt = attach(df, sizes, list(columns), salt_by=[c for c in df.columns])
     mixed = F.xxhash64(*[col(c) for c in df.columns if not df.schema[c].dataType.simpleString().startswith("map")])
-    dealt = dealt.withColumn("__file", F.pmod(mixed, F.col("__files")))
+    dealt = dealt.withColumn("__file", (F.col("__first") + F.pmod(mixed, F.col("__files"))).cast("int"))
     total = sizes.agg(F.sum("__files")).first()[0] or 1
-    dealt.repartition(total, *[col(c) for c in columns], F.col("__file")).drop("__file", "__files").write.mode(
+    dealt.repartitionById(total, F.col("__file")).drop("__file", "__files", "__first").write.mode(
         "overwrite").partitionBy(*columns).parquet(path)

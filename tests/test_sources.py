@@ -173,6 +173,15 @@ def test_files_per_value(spark, tmp_path):
     assert back.count() == 10_000 and back.where("v is null").count() == 1000
 
 
+def test_a_task_writes_one_file(spark, tmp_path):
+    df = spark.range(40_000, numPartitions=8).select((F.col("id") % 8).alias("v"), "id")
+    tables.write_by(df, str(tmp_path / "t"), "v", rows=1000)
+    # Part files are named by their task.
+    tasks = [p.name.split("-")[1] for p in (tmp_path / "t").rglob("part-*.parquet")]
+    assert len(tasks) == len(set(tasks)) == 40
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 40_000
+
+
 def test_kept_features_stay_missing(spark):
     """A kept column that is also a feature is filled for the model only."""
     from cellweft.operators import scoring, search
