@@ -21,13 +21,14 @@ from cellweft.sources import catalog
 # A table is one `x.tsv` file, or a folder `x.tsv` of part files as Spark writes them, with an
 # optional `key=` in front of the folder name.
 TABLE_NAME = r"([^/=]+\.tsv)(/part-[^/]*)?$"
+IS_TABLE = r"[^/=]\.tsv(/part-[^/]*)?$"  # true for the same paths, with a look at each character only: it is asked for every line
 FILES = "{*.tsv,part-*}"
 SMALLEST_SPLIT = 4 << 20  # Spark's cost of opening a file: splits are no smaller
 
 
 @dataclass
 class Dataset:
-    """A directory of tables: ``splits`` has path, block, first_id, before (lines), number (of the header), header_id."""
+    """A directory of tables: ``splits`` has path, block, first_id, before (lines), number (of the header), header_id, source_file."""
     files: DataFrame          # path, source_file, size, number (null: no header)
     headers: list[list[str]]  # distinct headers, as clean and distinct names
     splits: DataFrame
@@ -60,7 +61,7 @@ def lines(spark: SparkSession, directory: str) -> DataFrame:
     """value, path, block (start of the split), id (rising within a split) of all lines of all tables."""
     raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", FILES).text(directory)
     return raw.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
-                      F.monotonically_increasing_id().alias("id")).where(F.col("path").rlike(TABLE_NAME))
+                      F.monotonically_increasing_id().alias("id")).where(F.col("path").rlike(IS_TABLE))
 
 
 def header_names(header: str, drop_parentheses: bool = False) -> list[str]:
@@ -102,7 +103,8 @@ def open_dataset(spark: SparkSession, directory: str, drop_parentheses: bool = F
     numbered = settle(attach(top, spark.createDataFrame(list(zip(kinds, range(len(kinds)))), "value string, number int"), ["value"])
                       .drop("value"), "numbered")
     files = attach(listed, numbered, ["path"]).drop("header_id")
-    splits = settle(attach(counted.select("path", "block", "first_id", "before"), numbered, ["path"], salt_by=["block"]), "splits")
+    splits = settle(attach(counted.select("path", "block", "first_id", "before"), numbered, ["path"], salt_by=["block"])
+                    .withColumn("source_file", table_name(F.col("path"))), "splits")
     return Dataset(files, [header_names(k, drop_parentheses) for k in kinds], splits, bound)
 
 
@@ -156,8 +158,8 @@ def read_quant(spark: SparkSession, directory: str, columns: list[str] | None =
         F.col("before") + F.col("id") - F.col("first_id"))
     fields = F.from_csv("value", ", ".join(f"c{i} string" for i in range(width)), {"sep": "\t", "escape": '"', "mode": "PERMISSIVE"})
     rows = found.where("trim(value) <> '' and id <> header_id").select(
-        "path", line.alias("line"), "number", fields.alias("fields"))
-    table = rows.select(table_name(F.col("path")).alias("source_file"),
+        "path", "source_file", line.alias("line"), "number", fields.alias("fields"))
+    table = rows.select("source_file",
                         F.concat_ws("-", "path", F.lpad("line", 20, "0")).alias("ordinal"),
                         *[_pick(p).alias(n) for n, p in places.items()])
     unsure = [n for n in places if not catalog.is_metadata(n) and ":" not in n]

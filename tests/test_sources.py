@@ -173,6 +173,16 @@ def test_files_per_value(spark, tmp_path):
     assert back.count() == 10_000 and back.where("v is null").count() == 1000
 
 
+def test_paths_are_named_by_split_not_by_line(spark, tmp_path):
+    import re
+    paths = ["/d/a.tsv", "/d/k=a b.tsv", "/d/k=a.tsv/part-0.csv", "/d/a.tsv/x.csv", "/d/.tsv", "/d/k=.tsv", "/d/a.tsv/p/part-1", "/a.tsv.gz"]
+    assert [bool(re.search(tables.IS_TABLE, p)) for p in paths] == [bool(re.search(tables.TABLE_NAME, p)) for p in paths]
+    (tmp_path / "a b.tsv").write_text("Image\tROI\nx\ty\n")
+    data = tables.open_dataset(spark, str(tmp_path))
+    assert [r["source_file"] for r in data.splits.collect()] == ["a b.tsv"]
+    assert tables.read_quant(spark, str(tmp_path)).first()["source_file"] == "a b.tsv"
+
+
 def test_a_task_writes_one_file(spark, tmp_path):
     df = spark.range(40_000, numPartitions=8).select((F.col("id") % 8).alias("v"), "id")
     tables.write_by(df, str(tmp_path / "t"), "v", rows=1000)
