@@ -30,6 +30,7 @@ SEARCH_ROWS = 50_000         # labelled rows a search looks at
 SEARCH_VALUES = 16_000_000   # rows x features it looks at
 BINS = 32                    # of a feature in a forest
 ENTRIES = 250_000            # entries x trees that a unit holds
+DRAWN = 1_000_000            # rows of a bootstrap that are drawn one by one; of more the entries' counts are drawn
 FORESTS = ("RandomForest", "ForestNoBootstrap")
 UNIT = "family string, fold int, params string, first int, last int, draws string"
 PART = "family string, draw int, fold int, trees int, sums array<double>, score double"
@@ -57,6 +58,7 @@ class Fold:
     held_bins: np.ndarray
     pos: np.ndarray     # held-out rows of each held entry
     neg: np.ndarray
+    merged: tuple | None = None  # first row and size of the entries of equal rows, for the linear fits
 
 
 def take_rows(train: DataFrame, folds: list[str], features: list[str], weight: str | None, limit: int = SEARCH_ROWS) -> Rows:
@@ -117,8 +119,10 @@ def class_factors(y: np.ndarray, count: np.ndarray, kind: str | None) -> np.ndar
     return np.where(sizes > 0, sizes.sum() / np.maximum(2 * sizes, 1), 1.0)
 
 
-def subset_size(kind: str, features: int) -> int:
+def subset_size(kind: str | int, features: int) -> int:
     """Features tried at a node."""
+    if isinstance(kind, int):
+        return kind
     size = {"sqrt": features ** 0.5, "log2": np.log2(max(features, 1)), "all": features}[kind]
     return max(1, int(size))
 
@@ -142,17 +146,29 @@ def impurity(kind: str, ones: np.ndarray, total: np.ndarray) -> np.ndarray:
         return total * entropy
 
 
-def grow(fold: Fold, family: str, params: dict, first: int, last: int, depths: list[int], seed: object) -> np.ndarray:
-    """Sums over trees [first, last) of the held entries' probability of class 1, for each depth limit of ``depths``."""
+def bootstrap(count: np.ndarray, seed: int) -> np.ndarray:
+    """How often the rows of each entry are drawn, as many draws as rows."""
+    rng, n = np.random.default_rng(seed), int(count.sum())
+    if n > DRAWN:
+        return rng.multinomial(n, count / n)
+    of_row = np.repeat(np.arange(len(count)), count)
+    return np.bincount(of_row[rng.integers(0, n, n)], minlength=len(count))
+
+
+def grow(fold: Fold, family: str, params: dict, first: int, last: int, depths: list[int], seed: object,
+         levels: list | None = None) -> np.ndarray:
+    """Sums over trees [first, last) of the held entries' probability of class 1, for each depth limit of ``depths``.
+
+    ``levels`` takes the trees themselves: of every level the nodes' feature, bin, number of the pair of children (-1 for
+    leaves) and probability.
+    """
     trees, entries, held = last - first, len(fold.count), len(fold.pos)
     out = np.zeros((len(depths), held))
-    if not entries or not held:
+    if not entries or (not held and levels is None):
         return out
     seeds = [int.from_bytes(hashlib.md5(f"{seed}-{family}-{t}".encode()).digest()[:8], "little") for t in range(first, last)]
     if family == "RandomForest":
-        of_row = np.repeat(np.arange(entries), fold.count)
-        count = np.stack([np.bincount(of_row[np.random.default_rng(s).integers(0, len(of_row), len(of_row))], minlength=entries)
-                          for s in seeds])
+        count = np.stack([bootstrap(fold.count, s) for s in seeds])
     else:
         count = np.tile(fold.count, (trees, 1))
     each = params.get("classWeight") == "balanced_subsample"
@@ -179,6 +195,9 @@ def grow(fold: Fold, family: str, params: dict, first: int, last: int, depths: l
             for k, d in enumerate(depths):
                 if d > depth:
                     out[k] = value.reshape(trees, held).sum(0)
+            if nodes and levels is not None:
+                end = np.full(nodes, -1)
+                levels.append((end, end, end, ones / np.maximum(total, 1e-300)))
             break
         open_ = (n >= 2 * leaf) & (ones > 0) & (ones < total)
         chosen = shuffled(tree, path, features)
@@ -207,6 +226,8 @@ def grow(fold: Fold, family: str, params: dict, first: int, last: int, depths: l
         split = np.flatnonzero(split_f >= 0)
         number = np.full(nodes, -1)
         number[split] = np.arange(len(split))
+        if levels is not None:
+            levels.append((split_f, split_b, number, ones / np.maximum(total, 1e-300)))
 
         def down(node: np.ndarray, rows: np.ndarray, bins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             stay = np.flatnonzero(number[node] >= 0)
@@ -280,15 +301,19 @@ def newton(x: np.ndarray, y: np.ndarray, w: np.ndarray, l1: float, l2: float, lo
 
 def linear(fold: Fold, family: str, params: dict) -> np.ndarray:
     """Scores of the held-out rows, above 0 for class 1."""
-    w = fold.weight * class_factors(fold.y, np.ones(len(fold.y)), params.get("classWeight"))[fold.y]
+    if fold.merged is None:
+        fold.merged = same([fold.x, fold.y[:, None], fold.weight[:, None]])[::2]
+    first, count = fold.merged
+    x, y = fold.x[first], fold.y[first]
+    w = count * fold.weight[first] * class_factors(y, count, params.get("classWeight"))[y]
     penalty = 1 / (params["C"] * w.sum())
     mix = params.get("elasticNetParam", 0.0)
     if family == "LogisticRegression":
-        b = newton(fold.x, fold.y, w, penalty * mix, penalty * (1 - mix), logistic_loss, params["tol"], params["maxIter"])
+        b = newton(x, y, w, penalty * mix, penalty * (1 - mix), logistic_loss, params["tol"], params["maxIter"])
     else:
         b = None
         for width in (2.0, 0.5, 0.1, 0.03):  # every row lies on the first corner at the start
-            b = newton(fold.x, fold.y, w, 0.0, penalty, hinge_loss, 1e-6, params["maxIter"], width, b)
+            b = newton(x, y, w, 0.0, penalty, hinge_loss, 1e-6, params["maxIter"], width, b)
     return fold.held_x @ b[:-1] + b[-1]
 
 

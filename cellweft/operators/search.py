@@ -2,7 +2,7 @@
 
 Draws are seeded parameter lists; a draw that cannot be expressed here is not made. All draws of all families are scored on
 all folds by ``grid`` in one job over a bounded sample of the labelled rows; the best draw of each family is then fitted by
-Spark on all training rows.
+Spark on all training rows: linear ones on the counts of equal rows, forests on those of equal binned rows (``forests``).
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import random
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -19,7 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweft.operators import grid, metrics, sampling
+from cellweft.operators import forests, grid, metrics, sampling
 from cellweft.operators.scaling import numeric_stages
 from cellweft.session import col, settle
 
@@ -94,7 +95,8 @@ class Fitted:
 def _weigh(rows: DataFrame, params: dict, weight: str | None) -> tuple[DataFrame, str | None, float]:
     """Rows with the draw's class weights multiplied in, the weight column and its sum.
 
-    Weights drawn per tree ("balanced_subsample") are balanced over all rows here, since Spark's forests take one weight a row.
+    Weights drawn per tree ("balanced_subsample") are balanced over all rows here, since Spark's forests take one weight a row;
+    forests grown from entries (``forests``) balance each bootstrap.
     """
     sizes = rows.groupBy("label").agg(F.count("*").alias("n"), F.sum(col(weight) if weight else F.lit(1.0)).alias("w")).collect()
     n = sum(r["n"] for r in sizes)
@@ -110,22 +112,36 @@ def _weigh(rows: DataFrame, params: dict, weight: str | None) -> tuple[DataFrame
 
 def _fit(rows: DataFrame, family: str, params: dict, features: list[str], seed: int, strategy: str,
          weight: str | None):
+    if family in grid.FORESTS:
+        model = forests.fit(rows, family, params, features, seed, strategy, weight)
+        if model is not None:
+            return model
     rows, weight, total = _weigh(rows, params, weight)
-    stages = numeric_stages(features, strategy) + [classifier(family, params, seed, weight, total, len(features))]
-    model = Pipeline(stages=stages).fit(rows)
+    if family in grid.FORESTS:
+        stages = numeric_stages(features, strategy) + [classifier(family, params, seed, weight, total, len(features))]
+        return Pipeline(stages=stages).fit(rows)
+    # A linear loss is a sum over rows: equal rows are one row with their number as its weight.
+    prepared = Pipeline(stages=numeric_stages(features, strategy)).fit(rows)
+    own = F.col("__rows") * col(weight) if weight else F.col("__rows").cast("double")
+    keys = list(dict.fromkeys([*features, "label", *([weight] if weight else [])]))
+    merged = settle(rows.groupBy(*[col(k) for k in keys]).agg(F.count("*").alias("__rows")), "merged").withColumn("__own", own)
+    fitted = classifier(family, params, seed, "__own", total, len(features)).fit(prepared.transform(merged))
+    model = PipelineModel(stages=[*prepared.stages, fitted])
     if family != "LinearSVC":
         return model
     # Margins become probabilities through a one-feature logistic regression.
-    margin = model.transform(rows).withColumn("margin", vector_to_array("rawPrediction")[1])
+    margin = model.transform(merged).withColumn("margin", vector_to_array("rawPrediction")[1])
     stages = [VectorAssembler(inputCols=["margin"], outputCol="margin_vector"),
-              LogisticRegression(featuresCol="margin_vector", labelCol="label", predictionCol="calibrated",
+              LogisticRegression(featuresCol="margin_vector", labelCol="label", predictionCol="calibrated", weightCol="__rows",
                                  probabilityCol="calibrated_probability", rawPredictionCol="calibrated_raw")]
-    calibration = Pipeline(stages=stages).fit(margin.select("margin", "label"))
+    calibration = Pipeline(stages=stages).fit(margin.select("margin", "label", F.col("__rows").cast("double")))
     return model, calibration
 
 
 def transform(fitted_model, df: DataFrame) -> DataFrame:
     """Adds ``prediction`` (int) and ``probability`` (double, class 1)."""
+    if isinstance(fitted_model, forests.ForestModel):
+        return fitted_model.transform(df)
     if isinstance(fitted_model, tuple):
         model, calibration = fitted_model
         out = calibration.transform(model.transform(df).withColumn("margin", vector_to_array("rawPrediction")[1]))
@@ -218,7 +234,8 @@ def train_marker(rows: DataFrame, features: list[str], draws: int = 100, splits:
     """
     from cellweft.functions.labels import is_positive
     data = rows.select("row_key", "key_label", *[F.coalesce(col(f).cast("double"), F.lit(0.0)).alias(f) for f in features])
-    data = data.withColumn("label", is_positive(F.col("key_label")).cast("double"))
+    # Stored once: every counting pass of the splits would parse the cells again.
+    data = settle(data.withColumn("label", is_positive(F.col("key_label")).cast("double")), "labelled")
     data = sampling.stratified_split(data, "key_label", 0.3, 42)
     data = settle(sampling.shuffle_splits(data, "key_label", splits, 0.1, 911), "training")
     train, test = data.filter("not is_test"), data.filter("is_test")
@@ -227,7 +244,9 @@ def train_marker(rows: DataFrame, features: list[str], draws: int = 100, splits:
 
 
 def save_model(fitted: Fitted, path: str) -> None:
-    if isinstance(fitted.model, tuple):
+    if isinstance(fitted.model, forests.ForestModel):
+        fitted.model.save(path)
+    elif isinstance(fitted.model, tuple):
         fitted.model[0].write().overwrite().save(f"{path}/model")
         fitted.model[1].write().overwrite().save(f"{path}/calibration")
     else:
@@ -235,6 +254,11 @@ def save_model(fitted: Fitted, path: str) -> None:
 
 
 def load_model(path: str, family: str):
+    if family in grid.FORESTS:
+        try:
+            return forests.load(SparkSession.active(), path)
+        except AnalysisException:  # a forest that Spark fitted
+            pass
     model = PipelineModel.load(f"{path}/model")
     return (model, PipelineModel.load(f"{path}/calibration")) if family == "LinearSVC" else model
 
