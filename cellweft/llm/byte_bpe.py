@@ -33,7 +33,7 @@ from cellweft.session import scratch_path
 
 BLOCK_BYTES = 16_000_000
 LEAST_BUCKETS, MOST_BUCKETS = 512, 2048
-KNOWN = 500_000      # words whose ids a task keeps
+SLICE = 1_000_000    # ids that are put together at once
 DEFAULT = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -125,6 +125,17 @@ def gather(starts: np.ndarray, sizes: np.ndarray, spots: np.ndarray) -> np.ndarr
     return np.repeat(starts[spots] - ends + own, own) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
+def gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, spots: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """The stretches ``spots`` of ``flat``, one after another; ``cuts`` are their ends after a 0. Slices of some SLICE ids
+    bound the indexes at hand."""
+    out, a = np.empty(int(cuts[-1]), flat.dtype), 0
+    while a < len(spots):
+        b = max(a + 1, int(np.searchsorted(cuts, cuts[a] + SLICE, "right")) - 1)
+        out[cuts[a]:cuts[b]] = flat[gather(starts, sizes, spots[a:b])]
+        a = b
+    return out
+
+
 def stored_blocks(blocks: DataFrame) -> DataFrame:
     """The blocks stored in buckets of their number, as many as shuffles have partitions: words sent back to a block by
     a shuffle on that number meet its positions where they lie, so these are written once and never shuffled."""
@@ -157,16 +168,16 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizers.PA
                                    columns=["bucket", "block", "slots", "words"])
 
     def encode_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ranks, known = read_ranks(ranks_path), {}
+        ranks, known, at = read_ranks(ranks_path), {}, None
         for batch in batches:
             rows = []
-            for block, slots, data in zip(batch["block"], batch["slots"], batch["words"]):
+            for bucket, block, slots, data in zip(batch["bucket"], batch["block"], batch["slots"], batch["words"]):
+                if bucket != at:  # no word of one bucket is in another
+                    known, at = {}, bucket
                 own = []
                 for w in unpacked_words(data):
                     ids = known.get(w)
                     if ids is None:
-                        if len(known) >= KNOWN:
-                            known.clear()
                         ids = known[w] = np.array(merge_word(w, ranks), "<i4").tobytes()
                     own.append(ids)
                 rows.append((block, slots, pressed(np.array([len(x) // 4 for x in own])),
@@ -175,7 +186,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizers.PA
 
     # All blocks' uses of a word meet in one bucket, a block's at most once; they are encoded once there.
     dealt = blocks.select("block", "words").mapInPandas(deal, "bucket int, block long, slots binary, words binary")
-    known = dealt.repartition("bucket").mapInPandas(
+    known = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(
         encode_words, "block long, slots binary, sizes binary, word_ids binary")
     back = known.groupBy("block").agg(F.collect_list(F.struct("slots", "sizes", "word_ids")).alias("lexicon"))
     # The words sent back grow with the corpus, so they are never broadcast.
@@ -193,7 +204,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizers.PA
                     starts[slots], sizes[slots] = np.cumsum(each) - each, each
                 cuts = np.concatenate([[0], np.cumsum(sizes[spots])]).astype(np.int64)
                 yield pd.DataFrame({"block": [row.block], "doc_ids": [row.doc_ids], "offsets": [cuts[ends].tolist()],
-                                    "ids": [pressed(flat[gather(starts, sizes, spots)])], "vocabulary": [ranks_path]})
+                                    "ids": [pressed(gathered(flat, starts, sizes, spots, cuts))], "vocabulary": [ranks_path]})
 
     return joined.mapInPandas(
         assemble, "block long, doc_ids array<long>, offsets array<long>, ids binary, vocabulary string")
@@ -218,9 +229,9 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
                 if not part:
                     part = dict(zip(unpressed(row.token_ids).tolist(), unpacked_words(row.tokens)))
                     text = {i: str(i) for i in part}
-                ids, rows = unpressed(row.ids).tolist(), []
+                ids, rows = unpressed(row.ids), []
                 for doc, a, b in zip(row.doc_ids, row.offsets[:-1], row.offsets[1:]):
-                    own = ids[a:b]
+                    own = ids[a:b].tolist()  # numbers of one text at a time
                     rows.append((doc, b - a, hashlib.sha256(",".join([text[i] for i in own]).encode()).hexdigest(),
                                  hashlib.sha256(b"".join([part[i] for i in own])).hexdigest()))
                 yield pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]).astype(
