@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import functools
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,9 +43,9 @@ BITS = 1024          # of a node's bitmap
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingles(text: str | None, n: int) -> np.ndarray:
+def shingles(text: str | bytes | None, n: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the n-grams of words."""
-    words = utf8(text).translate(LOWER).split()
+    words = (text if isinstance(text, bytes) else utf8(text)).translate(LOWER).split()
     if not words:
         return np.empty(0, np.uint64)
     if len(words) < n:
@@ -251,14 +252,11 @@ def jaccard_rows(docs: DataFrame, n: int, share: tuple[int, int], block: int = B
     chained = keys.join(first, "key").where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b"))
     clusters = components(chained)
 
-    def rebuilt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # A deflated text is a third of its set, whose hashes don't shrink; so texts are sent and sets built where they meet.
+    def deflated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.iloc[at:at + 256]
-                own = [shingles(t, n) for t in part["text"]]
-                right = [xxhash.xxh128_digest(s.tobytes()) == c for s, c in zip(own, part["class"])]
-                out = part[["node", "component", "block", "near", "far"]].assign(hashes=[s.tobytes() for s in own])
-                yield out[right]
+            yield batch[["node", "component", "block", "near", "far", "class"]].assign(
+                text=[zlib.compress(utf8(t), 1) for t in batch["text"]])
 
     placed = clusters.join(heads, "node").select("node", "head", "class", "component", "size")
     dealt = settle(deal(placed, share, block), "dealt")
@@ -267,20 +265,23 @@ def jaccard_rows(docs: DataFrame, n: int, share: tuple[int, int], block: int = B
             f"cast((before_cost + pmod(xxhash64(node), n) * cost) div {block} as int)").alias("block"))
     placed = docs.join(placed, F.col("doc_id") == F.col("head")).select(
         "node", "class", "component", "block", "near", "far", "text").mapInPandas(
-        rebuilt, "node long, component long, block int, near int, far int, hashes binary")
+        deflated, "node long, component long, block int, near int, far int, class binary, text binary")
     pairs = placed.withColumn("other", F.explode(F.sequence("near", "far"))).select(
         "component", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "node",
-        "hashes")
+        "class", "text")
 
     def link(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        # A repeated row of a node is the same set again.
-        pdf = pdf.drop_duplicates("node")
+        if key[1] != key[2] and pdf["block"].nunique() < 2:
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        # Another text under the head's id is of another class; a repeated row of a node is the same set again.
+        pdf = pdf.assign(hashes=[shingles(zlib.decompress(t), n) for t in pdf["text"]]).drop(columns="text")
+        pdf = pdf[[xxhash.xxh128_digest(s.tobytes()) == c for s, c in zip(pdf["hashes"], pdf["class"])]].drop_duplicates("node")
         pdf = pdf.assign(size=pdf["hashes"].map(len)).sort_values(["size", "node"])
         sides = [pdf[pdf["block"] == key[1]], pdf[pdf["block"] == key[2]]] if key[1] != key[2] else [pdf]
         sides = [s for s in sides if len(s)]
         if key[1] != key[2] and len(sides) < 2:
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        own = [[np.frombuffer(h, "<u8") for h in s["hashes"]] for s in sides]
+        own = [list(s["hashes"]) for s in sides]
         names = np.concatenate([s["node"].to_numpy() for s in sides])
         found = np.array(dual_links(own[0], own[1] if len(own) > 1 else None, share), int).reshape(-1, 2)
         return pd.DataFrame({"a": names[found[:, 0]], "b": names[found[:, 1]]})
