@@ -11,15 +11,14 @@ from cellweft.queries.fixtures import KEY
 from cellweft.session import scratch_path, settle
 from cellweft.sources.cells import BASIC, cells
 
-def labelled(spark, d, marker="CD8"):
+def labelled(spark, d, marker="CD8", keep=("row_key", "source_file", *BASIC)):
     """Cells with a parsed label of the marker, as training rows."""
-    c = cells(spark, d).select("row_key", "source_file", L.parse_marker(F.col("Classification"), marker).cast("double")
-                               .alias("label"), *BASIC)
+    c = cells(spark, d).select(L.parse_marker(F.col("Classification"), marker).cast("double").alias("label"), *keep)
     return settle(c.filter("label is not null"), "labelled")
 
 
 def fit_one(spark, d, family, params, marker="CD8", features=("cd3_cell_median", "cd8_cell_median", "cd31_cell_median")):
-    rows = labelled(spark, d, marker)
+    rows = labelled(spark, d, marker, features)  # no row key: its hash costs more than the fit's passes
     return rows, search._fit(rows, family, params, list(features), 421, "mean", None)
 
 
