@@ -7,6 +7,11 @@ the parts it agrees on is not empty; a set with more keeps all its parts. So set
 unless both of them have next to no full ones. Classes that share a part are
 chained to its smallest one, the chains' components are candidate clusters, and all links lie within clusters.
 
+Where a lower share leaves parts of few n-grams, which passages of many texts fill alone, the keys are a set's rarest n-grams
+instead (``rare``): in any one order of all n-grams, linked sets of up / down have one in common among the first
+size - ceil(size * up / down) + 1 of both. The order is by a sketch of how many texts hold an n-gram, which may count too many
+but never too few; so the order only decides how many candidates there are, and an n-gram counted once needs no key.
+
 A cluster's classes are dealt, in order of size, to blocks of some BLOCK classes and BLOCK_HASHES hashes. A class goes to the
 pairs of its own block with those that hold sizes it may link with, and each pair of blocks is one task's work: both blocks get a signature tree whose nodes hold the OR of their members' token bitmaps and their
 range of sizes, and a dual traversal leaves a pair of nodes when the greatest possible overlap is too small or when all
@@ -40,6 +45,8 @@ BLOCK = 2048         # classes of one block
 BLOCK_HASHES = 4_000_000
 LEAF = 16
 BITS = 1024          # of a node's bitmap
+CELLS = 1 << 26      # of the sketch, a byte each
+CHUNK = 1 << 20      # cells that are summed in one task
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -115,6 +122,48 @@ def part_keys(hashes: np.ndarray, share: tuple[int, int]) -> np.ndarray:
     return np.concatenate(out).view(np.int64)
 
 
+def cell_of(hashes: np.ndarray, cells: int) -> np.ndarray:
+    return ((hashes * MIX) >> np.uint64(20)).astype(np.int64) % cells
+
+
+def text_counts(docs: DataFrame, n: int, cells: int) -> dict[int, bytes]:
+    """Deflated chunks of the sketch: in how many texts the n-grams of a cell stand, up to 255; empty chunks are left out."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = np.zeros(cells, np.uint8)
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                own = [cell_of(shingles(t, n), cells) for t in batch["text"].iloc[at:at + 256]]
+                found, more = np.unique(np.concatenate(own), return_counts=True)
+                seen[found] = np.minimum(seen[found] + more, 255)
+        for at in range(0, cells, CHUNK):
+            if seen[at:at + CHUNK].any():
+                yield pd.DataFrame({"chunk": [at // CHUNK], "counts": [zlib.compress(seen[at:at + CHUNK].tobytes(), 1)]})
+
+    def total(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = np.zeros(min(cells, CHUNK), np.uint8)
+        for part in pdf["counts"]:
+            out = np.minimum(out.astype(np.uint16) + np.frombuffer(zlib.decompress(part), np.uint8), 255).astype(np.uint8)
+        return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1], "counts": [zlib.compress(out.tobytes(), 1)]})
+
+    form = "chunk int, counts binary"
+    return {r["chunk"]: bytes(r["counts"]) for r in docs.select("text").mapInPandas(count, form).groupBy(
+        "chunk").applyInPandas(total, form).collect()}
+
+
+def inflated(chunks: dict[int, bytes], cells: int) -> np.ndarray:
+    out = np.zeros(cells, np.uint8)
+    for chunk, counts in chunks.items():
+        out[chunk * CHUNK:(chunk + 1) * CHUNK] = np.frombuffer(zlib.decompress(counts), np.uint8)
+    return out
+
+
+def rare_keys(hashes: np.ndarray, counts: np.ndarray, share: tuple[int, int]) -> np.ndarray:
+    up, down = share
+    own = counts[cell_of(hashes, len(counts))]
+    first = np.argsort(own, kind="stable")[:len(hashes) + 1 + -len(hashes) * up // down]  # ties by hash, as hashes are sorted
+    return hashes[first[own[first] > 1]].view(np.int64)
+
+
 class Tree:
     """Signature tree over sets in order of size; node i has the children 2i+1, 2i+2 unless it is a leaf."""
 
@@ -225,22 +274,31 @@ def deal(placed: DataFrame, share: tuple[int, int], block: int) -> DataFrame:
     return at.drop("first", "last").join(near, ["component", "size"]).join(far, ["component", "size"])
 
 
-def jaccard_rows(docs: DataFrame, n: int, share: tuple[int, int], block: int = BLOCK) -> DataFrame:
+def jaccard_rows(docs: DataFrame, n: int, share: tuple[int, int], block: int = BLOCK, rare: bool = False) -> DataFrame:
     """jaccard_classes with copy, a hash of doc_id and text, and node, which is the component's own number (null for
-    rows that take part in none); components of several texts of one id have the same component_id and different nodes."""
+    rows that take part in none); components of several texts of one id have the same component_id and different nodes.
+    ``rare``: keys are rare n-grams instead of parts."""
+    docs = plain(docs, "doc_id", "text")
+    cells = CELLS
+    shared = docs.sparkSession.sparkContext.broadcast(text_counts(docs, n, cells)) if rare else None
+
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = inflated(shared.value, cells) if rare else None
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.iloc[at:at + 256]
                 own = [shingles(t, n) for t in part["text"]]
+                keys = [rare_keys(s, counts, share) if rare else part_keys(s, share) if len(s) else np.empty(0, np.int64)
+                        for s in own]
                 yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "copy": part["copy"],
                                     "n_shingles": [len(s) for s in own],
                                     "class": [xxhash.xxh128_digest(s.tobytes()) for s in own],
-                                    "keys": [part_keys(s, share) if len(s) else np.empty(0, np.int64) for s in own]})
+                                    "keys": keys})
 
-    docs = plain(docs, "doc_id", "text")
     every = settle(docs.withColumn("copy", row_hash()).mapInPandas(
         sets, "doc_id long, copy long, n_shingles long, class binary, keys array<long>"), "shingles")
+    if rare:
+        shared.unpersist()
     # One document stands for its class; only those in clusters have their sets built again, from their texts.
     heads = every.where("n_shingles > 0 and doc_id is not null").groupBy("class").agg(
         F.min("doc_id").alias("head"), F.min("n_shingles").alias("size"))
@@ -300,7 +358,7 @@ def jaccard_rows(docs: DataFrame, n: int, share: tuple[int, int], block: int = B
 
 def first_of_groups(docs: DataFrame, n: int = 5, share: tuple[int, int] = (4, 5)) -> DataFrame:
     """``docs`` with one row of each group of near copies, of the smallest id; rows without an id or words stay."""
-    found = jaccard_rows(docs, n, share).where("node is not null")
+    found = jaccard_rows(docs, n, share, rare=True).where("node is not null")
     contents = settle(found.groupBy("node", "component_id", "doc_id", "copy").agg(F.count("*").alias("n")), "contents")
     kept = contents.where("doc_id = component_id").groupBy("node").agg(F.min("copy").alias("copy"))
     gone = contents.join(kept, ["node", "copy"], "left_anti").select("doc_id", "copy", F.lit(False).alias("again"))
