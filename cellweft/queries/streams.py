@@ -15,7 +15,8 @@ from cellweft.streaming import feeds
 def _stream(spark, d):
     path = scratch_path(spark, "feed")
     data = cells(spark, d).drop("row_key")
-    tables.write_tsv(data, path, ["source_file"])
+    # A batch takes three files: were they one a task and table, batches would grow with the tasks that write.
+    tables.write_tsv(data, path, ["source_file"], rows=tables.FILE_ROWS)
     names = [c for c in data.columns if c != "source_file"]
     return feeds.table_stream(spark, path, names, per_trigger=3)
 

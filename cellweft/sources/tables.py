@@ -49,7 +49,8 @@ def list_tables(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def table_name(path: Column) -> Column:
-    return decode_name(F.regexp_extract(path, TABLE_NAME, 1))
+    # A name lies in the last two parts; the pattern would be tried at every character of those before, for every row of a stream.
+    return decode_name(F.regexp_extract(F.substring_index(path, "/", -2), TABLE_NAME, 1))
 
 
 def source_name() -> Column:
@@ -208,7 +209,10 @@ def _text(name: str, kind: str) -> Column:
     return (F.to_json(col(name)) if nested else col(name)).alias(name)
 
 
-def write_tsv(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+def write_tsv(df: DataFrame, path: str, partition_by: list[str] | None = None, rows: int | None = None) -> None:
+    """``rows``: each folder of ``partition_by`` gets a file for every so many rows, as ``write_by`` does, not one a task."""
+    if rows and partition_by:
+        df = _dealt(df, partition_by, rows)
     writer = (df.select(*[_text(n, k) for n, k in df.dtypes]).write.mode("overwrite")
               .option("sep", "\t").option("header", True).option("emptyValue", "")
               .option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
@@ -228,21 +232,25 @@ def write_json(df: DataFrame, path: str) -> None:
 FILE_ROWS = 5_000_000  # rows of a file of one value
 
 
-def write_by(df: DataFrame, path: str, *columns: str, rows: int = FILE_ROWS) -> None:
-    """One folder per value (marker, image) with a file for every ``rows`` rows or part of them.
+def _dealt(df: DataFrame, columns: list[str], rows: int) -> DataFrame:
+    """``df`` with the rows of each value of ``columns`` in as many tasks as it has files.
 
-    Values are counted first: a value's rows are dealt to as many tasks as it has files, so a hot value is not one
-    task's work and a rare one is not spread over a file per task. Files are numbered and a task writes the file of its
-    number: by hash several files would meet in one task, more of them the more files there are.
+    Values are counted first, so a hot value is not one task's work and a rare one is not spread over a file per task.
+    Files are numbered and a task writes the file of its number: by hash several files would meet in one task, more of
+    them the more files there are.
     """
     sizes = settle(df.groupBy(*[col(c) for c in columns]).agg(
         F.ceil(F.count("*") / F.lit(rows)).cast("int").alias("__files")), "sizes")
     # One row per folder.
     before = Window.orderBy(*[col(c) for c in columns]).rowsBetween(Window.unboundedPreceding, -1)
     sizes = settle(sizes.withColumn("__first", F.coalesce(F.sum("__files").over(before), F.lit(0)).cast("int")), "sizes")
-    dealt = attach(df, sizes, list(columns), salt_by=[c for c in df.columns])
+    dealt = attach(df, sizes, columns, salt_by=[c for c in df.columns])
     mixed = F.xxhash64(*[col(c) for c in df.columns if not df.schema[c].dataType.simpleString().startswith("map")])
     dealt = dealt.withColumn("__file", (F.col("__first") + F.pmod(mixed, F.col("__files"))).cast("int"))
     total = sizes.agg(F.sum("__files")).first()[0] or 1
-    dealt.repartitionById(total, F.col("__file")).drop("__file", "__files", "__first").write.mode(
-        "overwrite").partitionBy(*columns).parquet(path)
+    return dealt.repartitionById(total, F.col("__file")).drop("__file", "__files", "__first")
+
+
+def write_by(df: DataFrame, path: str, *columns: str, rows: int = FILE_ROWS) -> None:
+    """One folder per value (marker, image) with a file for every ``rows`` rows or part of them."""
+    _dealt(df, list(columns), rows).write.mode("overwrite").partitionBy(*columns).parquet(path)

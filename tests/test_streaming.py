@@ -40,3 +40,31 @@ def test_other_header_fails(spark, tmp_path):
         spark, str(tmp_path / "in"), ["Image", "Classification"])), str(tmp_path / "o"), str(tmp_path / "s"))
     with pytest.raises(Exception):
         q.awaitTermination()
+
+
+def test_feed_has_files_by_rows(spark, tmp_path):
+    """Files of a table grow with its rows, not with the tasks that write them: a batch takes a fixed number of files."""
+    rows = spark.range(0, 4000, 1, 16).selectExpr("concat('b', id % 4, '.tsv') as source_file", "concat('a|', id) as Classification")
+    tables.write_tsv(rows, str(tmp_path / "in"), ["source_file"], rows=500)
+    files = list((tmp_path / "in").rglob("part-*.csv"))
+    assert len(files) == 8
+    got = drain(spark, feeds.running_label_counts(feeds.table_stream(spark, str(tmp_path / "in"), ["Classification"], 3)),
+                tmp_path, "labels").where("label = 'a'")
+    assert sorted(map(tuple, got.collect())) == [(f"b{i}.tsv", "a", 1000) for i in range(4)]
+
+
+def test_query_feed_is_few_files(spark, monkeypatch):
+    from cellweft.queries import streams
+    seen = []
+    monkeypatch.setattr(feeds, "table_stream", lambda s, path, *a, **k: seen.append(path))
+    wide = streams.cells
+    monkeypatch.setattr(streams, "cells", lambda s, d: wide(s, d).repartition(16))
+    streams._stream(spark, "/root/testdata/sf0.001")
+    assert spark.read.format("binaryFile").option("recursiveFileLookup", True).load(seen[0]).count() == 4
+
+
+@pytest.mark.parametrize("path, name", [
+    ("file:/d.tsv/k=v/x.tsv/part-0-c000.csv", "x.tsv"), ("file:/d/source_file=x%20y.tsv/part-0.csv", "x y.tsv"), ("x.tsv", "x.tsv"),
+    ("/d/a.tsv/part-0.tsv", "a.tsv"), ("/d/b.csv/part-0.tsv", "part-0.tsv"), ("/a.tsv/b/part-0", ""), ("/a=b.tsv", "b.tsv")])
+def test_table_name(spark, path, name):
+    assert spark.createDataFrame([(path,)], "p string").select(tables.table_name(F.col("p"))).first()[0] == name
