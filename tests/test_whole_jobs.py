@@ -79,3 +79,21 @@ def test_cluster_search_leaves_the_rows_to_the_fits(spark, monkeypatch):
     found = clustering.search(rows, ["a", "b"], "label", kmeans=(2, 3), mixtures=(2,)).collect()
     assert len(found) == 3 and len(levels) == 3 and not any(level.useMemory for level in levels)
     assert found[0]["k"] == 3 and found[0]["ARI"] == 1
+
+
+def test_boxes_make_only_the_boxes(spark, monkeypatch):
+    """Box-Cox boxes: the report's samples and densities are no part of them; passes read the values once derived."""
+    from cellweft.operators import reports
+    from cellweft.queries import QUERIES
+    from cellweft.queries.reports import _named
+    whole = reports.boxcox_report(_named(spark, "/root/testdata/sf0.001"), "Image", "NA2")
+    assert list(whole) == ["record", "means", "before", "after", "pairs", "density_before", "density_after"]
+    want = [tuple(r) for stage in ("before", "after") for r in whole[stage].collect()]
+
+    def other(*_, **__):
+        raise AssertionError("not a box")
+
+    monkeypatch.setattr(reports, "value_pairs", other)
+    monkeypatch.setattr(reports, "density", other)
+    got = QUERIES["rep_03_boxcox_boxes"](spark, "/root/testdata/sf0.001")
+    assert sorted(tuple(r)[:-1] for r in got.collect()) == sorted(want)
