@@ -17,15 +17,16 @@ MARKERS = {"cd3_cell_median": "CD3", "cd8_cell_median": "CD8", "cd31_cell_median
 CELL_OPTIONS = Options(context_columns=KEY)
 
 
-def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Synthetic predictions of two markers, long; CD8 lacks some cells."""
+def scored(spark: SparkSession, sf_dir: str, intensity: bool = False) -> DataFrame:
+    """Synthetic predictions of two markers, long; CD8 lacks some cells. ``intensity`` adds the value each is made from."""
     c = cells(spark, sf_dir)
 
     def one(marker: str, value: str, centre: float, width: float) -> DataFrame:
         v = F.col(value)
         return c.select("row_key", "source_file", *KEY, F.lit(marker).alias("marker"),
                         F.round(1 / (1 + F.exp(-(v - centre) / width)), 6).alias("probability"),
-                        F.when(v >= centre, 1).otherwise(0).alias("prediction"), "na2_cell_median")
+                        F.when(v >= centre, 1).otherwise(0).alias("prediction"), "na2_cell_median",
+                        *([v.alias("intensity")] if intensity else []))
 
     return one("CD3", "cd3_cell_median", 25, 8).unionByName(
         one("CD8", "cd8_cell_median", 50, 20).filter("na2_cell_median <> 3")).drop("na2_cell_median")

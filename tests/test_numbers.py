@@ -333,3 +333,30 @@ def test_attach_shuffled_equals_broadcast(spark):
         a = attach(rows, table, ["k"], how)
         b = attach(rows, table, ["k"], how, max_values=1)
         assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())) and b.count() == 2000
+
+
+def test_curve_rounds_read_counts_of_equal_rows(spark, monkeypatch):
+    """Fits of repeated rows pass over each distinct one, and give the same curve as the rows themselves."""
+    rows = [("a", float(i % 9), (i * 7 % 11) / 11) for i in range(400)] + [("b", 3.0, 0.25)] * 5 + [("a", None, 0.5)]
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    stored = {}
+    keep = reports.settle
+
+    def spy(table, name="table", *more):
+        out = keep(table, name, *more)
+        stored.setdefault(name, out)
+        return out
+
+    monkeypatch.setattr(reports, "settle", spy)
+    got = {r["g"]: r for r in reports.logistic_curves(df, ["g"], "x", "y").collect()}
+    assert max(t.count() for t in stored.values()) == len({r for r in rows if r[1] is not None})
+    x, y = (np.array([r[i] for r in rows[:400]]) for i in (1, 2))
+    a = b = 0.0
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-(a + b * x)))
+        w = p * (1 - p)
+        step = np.linalg.solve([[w.sum(), (w * x).sum()], [(w * x).sum(), (w * x * x).sum()]], [(y - p).sum(), ((y - p) * x).sum()])
+        a, b = a + step[0], b + step[1]
+    assert got["a"]["n"] == 400 and got["b"]["n"] == 5 and got["b"]["slope"] == 0
+    assert abs(got["a"]["intercept"] - a) < 1e-6 and abs(got["a"]["slope"] - b) < 1e-6
+    assert abs(got["b"]["intercept"] - np.log(1 / 3)) < 1e-4
