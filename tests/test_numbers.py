@@ -360,3 +360,21 @@ def test_curve_rounds_read_counts_of_equal_rows(spark, monkeypatch):
     assert got["a"]["n"] == 400 and got["b"]["n"] == 5 and got["b"]["slope"] == 0
     assert abs(got["a"]["intercept"] - a) < 1e-6 and abs(got["a"]["slope"] - b) < 1e-6
     assert abs(got["b"]["intercept"] - np.log(1 / 3)) < 1e-4
+
+
+def test_forest_steps_equal_single_walks():
+    """Points that step down all trees together reach the leaves that each reaches alone; missing and infinite values too."""
+    rng = np.random.default_rng(8)
+    x = np.c_[rng.integers(0, 20, 400) / 3, rng.normal(size=400)]
+    trees = [outliers._grow(x[rng.choice(400, 64, False)], np.random.default_rng(i)) for i in range(12)]
+    trees.append(outliers._grow(np.ones((5, 2)), np.random.default_rng(0)))
+    x[:5, 0], x[5:9, 1], x[9, 0] = np.nan, np.inf, -np.inf
+
+    def walk(tree, point):
+        at = 0
+        while tree["feature"][at] >= 0:
+            at = tree["left" if point[tree["feature"][at]] <= tree["split"][at] else "right"][at]
+        return tree["split"][at]
+
+    got = outliers._depths([outliers._steps(t) for t in trees], np.ascontiguousarray(x.T))
+    assert got.tolist() == [sum(walk(t, p) for t in trees) for p in x]
