@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,11 @@ def utf8(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
+def give_back() -> None:
+    """At the end of a task: its worker process lives on, and Arrow's pool would keep what the task has freed."""
+    pa.default_memory_pool().release_unused()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """node, component (the smallest node reachable) of an undirected graph, by alternating stars.
 

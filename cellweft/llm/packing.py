@@ -18,6 +18,7 @@ import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -25,7 +26,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cellweft.llm.common import plain, table
+from cellweft.llm.common import give_back, plain, table
 from cellweft.llm.registry import query
 from cellweft.session import settle
 
@@ -34,7 +35,7 @@ GRAIN = 64
 END = 1
 END_BYTES = END.to_bytes(4, "little")
 RUN = 1_000_000      # characters of texts whose new words are encoded together
-CACHE = 600_000      # chunks, and words, whose ids a worker process keeps
+CACHE = 300_000      # chunks, and words, whose ids a worker process keeps, at most
 # The vocabulary's words, and the same for lower-case ASCII.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x09-\x0d a-z0-9]+")
@@ -48,7 +49,8 @@ def encoder(path: str):
     Spaces bound the vocabulary's words, so each distinct chunk between them is encoded once. The new words of new ASCII
     chunks are encoded in one call, told apart by the ids that end a word; other new chunks in a second one, told apart
     by zeros put between them, as a digit is a word of its own. Chunks that hold a zero or may hold a special token, and
-    all chunks of a vocabulary with other words, go one by one.
+    all chunks of a vocabulary with other words, go one by one. Of more than CACHE the later half goes: those met first are the
+    commonest.
     """
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(path)
@@ -85,13 +87,16 @@ def encoder(path: str):
 
     def ids(texts: list[str | None]) -> list[np.ndarray]:
         chunks = [(text or "").split(" ") for text in texts]
-        for cache in (known, words):
-            if len(cache) > CACHE:
-                cache.clear()
         fresh = set().union(*chunks).difference(known)
         if fresh:
             learn(fresh)
-        return [np.frombuffer(b"".join([*map(known.__getitem__, own), END_BYTES]), "<u4") for own in chunks]
+        out = [np.frombuffer(b"".join([*map(known.__getitem__, own), END_BYTES]), "<u4") for own in chunks]
+        for cache in (known, words):
+            if len(cache) > CACHE:
+                first = list(islice(cache.items(), CACHE // 2))
+                cache.clear()
+                cache.update(first)
+        return out
     return ids
 
 
@@ -126,6 +131,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, grain: int
                     at += size
             yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"]).astype(
                 {"doc_id": "Int64"})
+        batch = None
+        give_back()
     return plain(docs, "doc_id", "text").mapInPandas(
         cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 

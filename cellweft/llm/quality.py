@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweft.llm.common import plain, table, utf8
+from cellweft.llm.common import give_back, plain, table, utf8
 from cellweft.llm.registry import query
 
 SAMPLE = 3000       # labelled documents, at most, chosen by a hash of their id
@@ -124,6 +124,9 @@ def scored(docs: DataFrame, score, modulus: int, held: int, threshold: float, bl
             for at in range(0, len(batch), block):
                 part = batch.iloc[at:at + block]
                 yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "score": score(list(part["text"]))})
+        batch = part = None
+        give_back()
+
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
     return plain(docs, "doc_id", "text").mapInPandas(run, "doc_id long, score double").select(
         "doc_id", F.coalesce(fold == held, F.lit(False)).alias("held_out"), "score",
@@ -137,6 +140,9 @@ def kept_rows(docs: DataFrame, score, keep, block: int = BLOCK) -> DataFrame:
             for at in range(0, batch.num_rows, block):
                 part = batch.slice(at, block)
                 yield part.filter(pa.array(keep(score(part.column("text").to_pylist()))))
+        batch = part = None
+        give_back()
+
     return docs.mapInArrow(run, docs.schema)
 
 

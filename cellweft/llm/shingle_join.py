@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cellweft.llm.common import LOWER, components, plain, table, utf8
+from cellweft.llm.common import LOWER, components, give_back, plain, table, utf8
 from cellweft.llm.registry import query
 from cellweft.operators.prefix import offsets
 from cellweft.session import attach, settle
@@ -138,6 +138,8 @@ def text_counts(docs: DataFrame, n: int, cells: int) -> dict[int, bytes]:
         for at in range(0, cells, CHUNK):
             if seen[at:at + CHUNK].any():
                 yield pd.DataFrame({"chunk": [at // CHUNK], "counts": [zlib.compress(seen[at:at + CHUNK].tobytes(), 1)]})
+        batch = None
+        give_back()
 
     def total(pdf: pd.DataFrame) -> pd.DataFrame:
         out = np.zeros(min(cells, CHUNK), np.uint8)
@@ -294,6 +296,8 @@ def jaccard_rows(docs: DataFrame, n: int, share: tuple[int, int], block: int = B
                                     "n_shingles": [len(s) for s in own],
                                     "class": [xxhash.xxh128_digest(s.tobytes()) for s in own],
                                     "keys": keys})
+        batch = part = None
+        give_back()
 
     every = settle(docs.withColumn("copy", row_hash()).mapInPandas(
         sets, "doc_id long, copy long, n_shingles long, class binary, keys array<long>"), "shingles")
@@ -315,6 +319,8 @@ def jaccard_rows(docs: DataFrame, n: int, share: tuple[int, int], block: int = B
         for batch in batches:
             yield batch[["node", "component", "block", "near", "far", "class"]].assign(
                 text=[zlib.compress(utf8(t), 1) for t in batch["text"]])
+        batch = None
+        give_back()
 
     placed = clusters.join(heads, "node").select("node", "head", "class", "component", "size")
     dealt = settle(deal(placed, share, block), "dealt")

@@ -34,7 +34,7 @@ WORD, CHAR, HIDDEN = 8, 4, 8
 ROUNDS, BATCH, RATE, DECAY = 16, 128, 0.01, 1e-4
 HARDEST, REVIEW = 3, 4
 TOGETHER = 1024      # windows scored together
-KNOWN = 300_000
+KNOWN = 50_000       # words whose inputs are kept from one list of texts to the next, at most
 THRESHOLD = 0.3
 
 
@@ -276,14 +276,14 @@ class Scorer:
         if self.model is None:
             return np.zeros(len(texts))
         out = np.full(len(texts), -np.inf)
-        if len(self.codes) > KNOWN:
-            self.forget()
         spots, owner = index_texts(texts, self.lexicon, self.codes)
         done = len(self.pre["f"])
         if done < len(self.codes):
             fresh = project(self.model, np.array(self.codes[done:]))
             self.pre = {way: np.concatenate([self.pre[way], fresh[way]]) for way in "fb"}
         np.maximum.at(out, owner, logits(self.model, self.pre, spots))
+        if len(self.codes) > KNOWN:
+            self.forget()
         return sigmoid(out)
 
 
