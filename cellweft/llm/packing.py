@@ -35,7 +35,7 @@ GRAIN = 64
 END = 1
 END_BYTES = END.to_bytes(4, "little")
 RUN = 1_000_000      # characters of texts whose new words are encoded together
-CACHE = 300_000      # chunks, and words, whose ids a worker process keeps, at most
+CACHE = 600_000      # chunks, and words, whose ids a task keeps, at most; a quarter stays with the worker process
 # The vocabulary's words, and the same for lower-case ASCII.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x09-\x0d a-z0-9]+")
@@ -49,8 +49,8 @@ def encoder(path: str):
     Spaces bound the vocabulary's words, so each distinct chunk between them is encoded once. The new words of new ASCII
     chunks are encoded in one call, told apart by the ids that end a word; other new chunks in a second one, told apart
     by zeros put between them, as a digit is a word of its own. Chunks that hold a zero or may hold a special token, and
-    all chunks of a vocabulary with other words, go one by one. Of more than CACHE the later half goes: those met first are the
-    commonest.
+    all chunks of a vocabulary with other words, go one by one. Of more than CACHE the first quarter stays, and of
+    what a task leaves: those met first are the commonest.
     """
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(path)
@@ -85,18 +85,22 @@ def encoder(path: str):
         if odd:
             known.update(zip(odd, [ids.tobytes() for ids in flat(odd)]))
 
+    def keep(most: int) -> None:
+        for cache in (known, words):
+            if len(cache) > most:
+                first = list(islice(cache.items(), CACHE // 4))
+                cache.clear()
+                cache.update(first)
+
     def ids(texts: list[str | None]) -> list[np.ndarray]:
         chunks = [(text or "").split(" ") for text in texts]
         fresh = set().union(*chunks).difference(known)
         if fresh:
             learn(fresh)
         out = [np.frombuffer(b"".join([*map(known.__getitem__, own), END_BYTES]), "<u4") for own in chunks]
-        for cache in (known, words):
-            if len(cache) > CACHE:
-                first = list(islice(cache.items(), CACHE // 2))
-                cache.clear()
-                cache.update(first)
+        keep(CACHE)
         return out
+    ids.keep = keep
     return ids
 
 
@@ -132,6 +136,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, grain: int
             yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"]).astype(
                 {"doc_id": "Int64"})
         batch = None
+        ids_of.keep(CACHE // 4)
         give_back()
     return plain(docs, "doc_id", "text").mapInPandas(
         cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
