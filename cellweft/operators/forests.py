@@ -126,30 +126,49 @@ def tried(params: dict, features: int) -> int | None:
     return max(1, int(np.ceil(spark_sizes[kind]))) if kind in spark_sizes else None
 
 
-def fit(rows: DataFrame, family: str, params: dict, features: list[str], seed: int, strategy: str = "mean",
-        weight: str | None = None, limit: int = ENTRY_LIMIT, prune: bool = True) -> ForestModel | None:
-    """The forest of all rows (label, features, weight), or None where the binned rows make more than ``limit`` entries."""
-    size = tried(params, len(features))
-    if size is None:
-        return None
-    spark = rows.sparkSession
+def prepared(rows: DataFrame, features: list[str], strategy: str) -> PipelineModel:
+    """Fills and bins of the rows."""
     filled = [f"{f}__filled" for f in features]
     imputer = Imputer(strategy=strategy, inputCols=features, outputCols=filled).fit(rows)
     cuts = cut_points(imputer.transform(rows), filled)
     bucketizer = Bucketizer(splitsArray=[[-np.inf, *c, np.inf] for c in cuts], inputCols=filled,
                             outputCols=[binned_name(f) for f in features])
-    prepare = Pipeline(stages=[imputer, bucketizer]).fit(rows)
+    return Pipeline(stages=[imputer, bucketizer]).fit(rows)
+
+
+def counted(rows: DataFrame, prepare: PipelineModel, features: list[str], weight: str | None, limit: int) -> pd.DataFrame | None:
+    """b0.. (bins), y, w, n of equal binned rows; None where they are more than ``limit``."""
     names = [f"b{i}" for i in range(len(features))]
     entries = settle(prepare.transform(rows).groupBy(
         *[col(binned_name(f)).cast("int").alias(n) for f, n in zip(features, names)],
         (F.col("label") > 0).cast("int").alias("y"), (col(weight) if weight else F.lit(1.0)).alias("w")).agg(
         F.count("*").alias("n")), "entries")
-    if entries.count() > limit:
+    return None if entries.count() > limit else entries.toPandas().sort_values([*names, "y", "w"], kind="stable")
+
+
+def fold_of(own: pd.DataFrame, features: list[str], held: pd.DataFrame | None = None) -> grid.Fold:
+    """Entries of training and of held-out rows for ``grid.grow``."""
+    names, none = [f"b{i}" for i in range(len(features))], np.zeros(0)
+    bins, pos, neg = np.zeros((0, len(names)), np.uint8), none, none
+    if held is not None:
+        both = held.assign(pos=held["n"] * held["y"], neg=held["n"] * (1 - held["y"])).groupby(names, as_index=False)[["pos", "neg"]].sum()
+        bins, pos, neg = both[names].to_numpy(np.uint8), both["pos"].to_numpy(float), both["neg"].to_numpy(float)
+    return grid.Fold(none, none, none, none, none, own[names].to_numpy(np.uint8), own["y"].to_numpy(np.int8),
+                     own["w"].to_numpy(float), own["n"].to_numpy(np.int64), bins, pos, neg)
+
+
+def fit(rows: DataFrame, family: str, params: dict, features: list[str], seed: int, strategy: str = "mean",
+        weight: str | None = None, limit: int = ENTRY_LIMIT, prune: bool = True) -> ForestModel | None:
+    """The forest of all rows (label, features, weight), or None where the binned rows make more than ``limit`` entries."""
+    size = tried(params, len(features))
+    if size is None:
+        return None
+    spark = rows.sparkSession
+    prepare = prepared(rows, features, strategy)
+    own = counted(rows, prepare, features, weight, limit)
+    if own is None:
         return None
-    own = entries.toPandas().sort_values([*names, "y", "w"], kind="stable")
-    none = np.zeros(0)
-    fold = grid.Fold(none, none, none, none, none, own[names].to_numpy(np.uint8), own["y"].to_numpy(np.int8),
-                     own["w"].to_numpy(float), own["n"].to_numpy(np.int64), np.zeros((0, len(names)), np.uint8), none, none)
+    fold = fold_of(own, features)
     shared = spark.sparkContext.broadcast(fold)
     params = params | {"featureSubset": size}
 

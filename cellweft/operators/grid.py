@@ -1,7 +1,8 @@
-"""Many fits of one bounded training table side by side: the draws of a hyper-parameter search, spread over the cluster.
+"""Many fits of one training table side by side: the draws of a hyper-parameter search, spread over the cluster.
 
-The labelled rows of a search (at most SEARCH_ROWS, a parameter; a hash sample beyond it) go to every executor once. What is
+All labelled rows take part: Spark counts equal ones, and these entries with their counts go to every executor once. What is
 distributed are the fits: each row of a table of units names a family, a fold and a range of trees, or one linear fit.
+Where the entries are too many for that (``whole_rows`` gives None), ``search`` fits from tables instead.
 
 * Forests whose draws differ only in depth and number of trees are prefixes of one another, as a tree's choices depend on
   its own number and on the path to a node alone. So a unit grows a range of trees once, to the deepest draw, and gives
@@ -24,10 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellweft.operators.sampling import sample_rows
-from cellweft.session import col
+from cellweft.session import col, settle
 
-SEARCH_ROWS = 50_000         # labelled rows a search looks at
-SEARCH_VALUES = 16_000_000   # rows x features it looks at
+SEARCH_ROWS = 50_000         # rows of ``take_rows``
+SEARCH_VALUES = 16_000_000   # rows x features of ``take_rows``
+HELD_VALUES = 4_000_000      # values of the entries that a driver and a task hold
 BINS = 32                    # of a feature in a forest
 ENTRIES = 250_000            # entries x trees that a unit holds
 DRAWN = 1_000_000            # rows of a bootstrap that are drawn one by one; of more the entries' counts are drawn
@@ -42,6 +44,7 @@ class Rows:
     y: np.ndarray
     weight: np.ndarray
     held: np.ndarray    # rows x folds: held out in that fold
+    n: np.ndarray | None = None  # how many equal rows an entry stands for; None is one each
 
 
 @dataclass
@@ -59,28 +62,59 @@ class Fold:
     pos: np.ndarray     # held-out rows of each held entry
     neg: np.ndarray
     merged: tuple | None = None  # first row and size of the entries of equal rows, for the linear fits
+    n: np.ndarray | None = None       # equal rows that a row of x stands for
+    held_n: np.ndarray | None = None  # and one of held_x
+
+
+def whole_rows(train: DataFrame, folds: list[str], features: list[str], weight: str | None, most: int | None = None,
+               ) -> Rows | None:
+    """All rows of a search as entries with counts, or None where these are more than ``most`` or hold over HELD_VALUES values."""
+    own = train.select(*[col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)],
+                       F.col("label").cast("double").alias("y"), (col(weight) if weight else F.lit(1.0)).cast("double").alias("w"),
+                       *[col(f).alias(f"h{i}") for i, f in enumerate(folds)])
+    entries = settle(own.groupBy(*own.columns).agg(F.count("*").alias("n")), "entries")
+    limit = HELD_VALUES // len(entries.columns)
+    if entries.count() > (limit if most is None else min(most, limit)):
+        return None
+    held = entries.toPandas().sort_values(own.columns, kind="stable")
+    return _rows(held, len(features), len(folds), held["n"].to_numpy(np.int64))
+
+
+def _rows(own: pd.DataFrame, features: int, folds: int, n: np.ndarray | None = None) -> Rows:
+    part = lambda tag, n: np.column_stack([own[f"{tag}{i}"].to_numpy() for i in range(n)])
+    return Rows(part("x", features).astype(float), (own["y"].to_numpy() > 0).astype(np.int8),
+                own["w"].to_numpy(float), part("h", folds).astype(bool), n)
 
 
 def take_rows(train: DataFrame, folds: list[str], features: list[str], weight: str | None, limit: int = SEARCH_ROWS) -> Rows:
-    """The rows of a search, at most ``limit`` of them and SEARCH_VALUES values, by hash of the row key."""
+    """At most ``limit`` rows and SEARCH_VALUES values, by hash of the row key. Searches do not use it: they see all rows."""
     limit = max(1, min(limit, SEARCH_VALUES // max(1, len(features))))
     if train.count() > limit:
         train = sample_rows(train, limit)
     own = train.select("row_key", *[col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)],
                        F.col("label").cast("double").alias("y"), (col(weight) if weight else F.lit(1.0)).alias("w"),
                        *[col(f).alias(f"h{i}") for i, f in enumerate(folds)]).toPandas()
-    own = own.sort_values("row_key", kind="stable")
-    part = lambda tag, n: np.column_stack([own[f"{tag}{i}"].to_numpy() for i in range(n)])
-    return Rows(part("x", len(features)).astype(float), (own["y"].to_numpy() > 0).astype(np.int8),
-                own["w"].to_numpy(float), part("h", len(folds)).astype(bool))
+    return _rows(own.sort_values("row_key", kind="stable"), len(features), len(folds))
+
+
+def quantiles(x: np.ndarray, n: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """As np.quantile of the values x, each n times."""
+    order = np.argsort(x, kind="stable")
+    values, upto = x[order], n[order].cumsum()
+    place = shares * (upto[-1] - 1)
+    low = np.floor(place).astype(np.int64)
+    t = place - low
+    a = values[np.searchsorted(upto, low, side="right")]
+    b = values[np.searchsorted(upto, np.minimum(low + 1, upto[-1] - 1), side="right")]
+    return np.where(t < 0.5, a + (b - a) * t, b - (b - a) * (1 - t))
 
 
-def cuts(x: np.ndarray) -> np.ndarray:
+def cuts(x: np.ndarray, n: np.ndarray | None = None) -> np.ndarray:
     """At most BINS - 1 split points: between all values if they are few, else quantiles."""
     values = np.unique(x)
     if len(values) <= BINS:
         return (values[1:] + values[:-1]) / 2
-    return np.unique(np.quantile(x, np.arange(1, BINS) / BINS))
+    return np.unique(quantiles(x, np.ones(len(x), np.int64) if n is None else n, np.arange(1, BINS) / BINS))
 
 
 def same(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -95,20 +129,30 @@ def same(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def make_fold(rows: Rows, i: int, strategy: str) -> Fold:
     """What fold i trains on and is scored on. Everything fitted (fills, scales, bins) is of its training rows."""
     out = rows.held[:, i]
-    own = rows.x[~out]
+    n = np.ones(len(rows.x), np.int64) if rows.n is None else rows.n
+    own, times = rows.x[~out], n[~out]
     known = ~np.isnan(own)
-    middle = np.nanmedian if strategy == "median" else np.nanmean
-    fill = np.array([middle(own[known[:, j], j]) if known[:, j].any() else 0.0 for j in range(own.shape[1])])
+
+    def middle(j: int) -> float:
+        v, of = own[known[:, j], j], times[known[:, j]]
+        if not len(v):
+            return 0.0
+        return float(quantiles(v, of, np.array([0.5]))[0] if strategy == "median" else np.average(v, weights=of))
+
+    fill = np.array([middle(j) for j in range(own.shape[1])])
     x = np.where(np.isnan(rows.x), fill, rows.x)
-    mean, spread = x[~out].mean(0), x[~out].std(0)
+    mean = np.average(x[~out], axis=0, weights=times) if len(times) else np.zeros(x.shape[1])
+    spread = np.sqrt(np.average((x[~out] - mean) ** 2, axis=0, weights=times)) if len(times) else np.ones(x.shape[1])
     scaled = (x - mean) / np.where(spread > 0, spread, 1)
-    bins = np.column_stack([np.searchsorted(cuts(x[~out, j]), x[:, j]).astype(np.uint8) for j in range(x.shape[1])])
+    bins = np.column_stack([np.searchsorted(cuts(x[~out, j], times), x[:, j]).astype(np.uint8) for j in range(x.shape[1])])
     b, y, w = bins[~out], rows.y[~out], rows.weight[~out]
-    first, _, count = same([b, y[:, None], w[:, None]])
+    first, at, _ = same([b, y[:, None], w[:, None]])
+    count = np.bincount(at, times, len(first)).astype(np.int64)
     h_first, h_at, _ = same([bins[out]])
-    pos = np.bincount(h_at, rows.y[out], len(h_first))
-    neg = np.bincount(h_at, 1 - rows.y[out], len(h_first))
-    return Fold(scaled[~out], y, w, scaled[out], rows.y[out], b[first], y[first], w[first], count, bins[out][h_first], pos, neg)
+    pos = np.bincount(h_at, n[out] * rows.y[out], len(h_first))
+    neg = np.bincount(h_at, n[out] * (1 - rows.y[out]), len(h_first))
+    return Fold(scaled[~out], y, w, scaled[out], rows.y[out], b[first], y[first], w[first], count, bins[out][h_first], pos, neg,
+                n=times, held_n=n[out])
 
 
 def class_factors(y: np.ndarray, count: np.ndarray, kind: str | None) -> np.ndarray:
@@ -302,7 +346,8 @@ def newton(x: np.ndarray, y: np.ndarray, w: np.ndarray, l1: float, l2: float, lo
 def linear(fold: Fold, family: str, params: dict) -> np.ndarray:
     """Scores of the held-out rows, above 0 for class 1."""
     if fold.merged is None:
-        fold.merged = same([fold.x, fold.y[:, None], fold.weight[:, None]])[::2]
+        first, at, count = same([fold.x, fold.y[:, None], fold.weight[:, None]])
+        fold.merged = first, count if fold.n is None else np.bincount(at, fold.n, len(first))
     first, count = fold.merged
     x, y = fold.x[first], fold.y[first]
     w = count * fold.weight[first] * class_factors(y, count, params.get("classWeight"))[y]
@@ -351,19 +396,21 @@ def units(drawn: dict[str, list[dict]], folds: int, step: int) -> list[tuple]:
     return out
 
 
-def grid_scores(spark, rows: Rows, drawn: dict[str, list[dict]], scoring: str, strategy: str, seed: object) -> dict[tuple[str, int], list[float]]:
-    """The score of every draw on every fold, by (family, number of the draw)."""
+def grid_scores(spark, rows: Rows | list[Fold], drawn: dict[str, list[dict]], scoring: str, strategy: str, seed: object) -> dict[tuple[str, int], list[float]]:
+    """The score of every draw on every fold, by (family, number of the draw). Folds that are given are for forests only."""
     shared = spark.sparkContext.broadcast(rows)
-    folds = rows.held.shape[1]
+    folds = rows.held.shape[1] if isinstance(rows, Rows) else len(rows)
     made: dict[int, Fold] = {}
 
     def fold_of(i: int) -> Fold:
+        if isinstance(shared.value, list):
+            return shared.value[i]
         if i not in made:
             made.clear()
             made[i] = make_fold(shared.value, i, strategy)
         return made[i]
 
-    entries = max([1, *[len(make_fold(rows, i, strategy).count) for i in range(min(1, folds))]])
+    entries = max([1, *[len((make_fold(rows, i, strategy) if isinstance(rows, Rows) else rows[i]).count) for i in range(min(1, folds))]])
     table = units(drawn, folds, min(max(ENTRIES // entries, 4), 100))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -377,7 +424,8 @@ def grid_scores(spark, rows: Rows, drawn: dict[str, list[dict]], scoring: str, s
                                        columns=["family", "draw", "fold", "trees", "sums", "score"])
                 else:
                     s, y = linear(fold, u.family, params), fold.held_y.astype(float)
-                    value = f1(s, 0.0, y, 1 - y) if scoring == "f1" else average_precision(s, y, 1 - y)
+                    pos, neg = fold.held_n * y, fold.held_n * (1 - y)
+                    value = f1(s, 0.0, pos, neg) if scoring == "f1" else average_precision(s, pos, neg)
                     yield pd.DataFrame([[u.family, wanted[0][0], u.fold, 0, None, value]],
                                        columns=["family", "draw", "fold", "trees", "sums", "score"])
 

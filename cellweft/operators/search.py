@@ -1,8 +1,10 @@
 """Random hyper-parameter search, evaluation and choice of binary classifiers.
 
 Draws are seeded parameter lists; a draw that cannot be expressed here is not made. All draws of all families are scored on
-all folds by ``grid`` in one job over a bounded sample of the labelled rows; the best draw of each family is then fitted by
-Spark on all training rows: linear ones on the counts of equal rows, forests on those of equal binned rows (``forests``).
+all folds and all labelled rows, by ``grid`` in one job over the counts of equal rows. Where equal rows are too few to hold
+their counts in a task, forests are scored on the counts of equal binned rows, other draws each by a fit of Spark's. The best
+draw of each family is then fitted by Spark on all training rows: linear ones on the counts of equal rows, forests on those
+of equal binned rows (``forests``).
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 
 from cellweft.operators import forests, grid, metrics, sampling
 from cellweft.operators.scaling import numeric_stages
-from cellweft.session import col, settle
+from cellweft.session import col, release, settle
 
 FAMILIES = ("RandomForest", "ForestNoBootstrap", "LogisticRegression")
 RECOVERY_FAMILIES = FAMILIES + ("LinearSVC",)
@@ -153,22 +155,59 @@ def transform(fitted_model, df: DataFrame) -> DataFrame:
                       score.alias("__s")).withColumnsRenamed({"__p": "prediction", "__s": "probability"})
 
 
+def _table_scores(train: DataFrame, folds: list[str], drawn: dict[str, list[dict]], features: list[str], scoring: str,
+                  strategy: str, weight: str | None, seed: int, parallelism: int) -> dict[tuple[str, int], list[float]]:
+    """As ``grid.grid_scores``, for rows that no task can hold: nothing but counts of binned rows leaves the cluster."""
+    keep = list(dict.fromkeys(["label", *features, *([weight] if weight else [])]))
+    out: dict[tuple[str, int], list[float]] = {(f, d): [] for f, draws in drawn.items() for d in range(len(draws))}
+    trees = {f: draws for f, draws in drawn.items() if f in grid.FORESTS}
+    for name in folds:
+        held = F.coalesce(col(name), F.lit(False))
+        parts = [settle(train.where(side).select(*[col(k) for k in keep]), "fold") for side in (~held, held)]
+        found: dict[tuple[str, int], list[float]] = {}
+        if trees:
+            prepare = forests.prepared(parts[0], features, strategy)
+            counts = [forests.counted(part, prepare, features, weight, forests.ENTRY_LIMIT) for part in parts]
+            if all(c is not None for c in counts):
+                fold = forests.fold_of(counts[0], features, counts[1])
+                found = grid.grid_scores(train.sparkSession, [fold], trees, scoring, strategy, seed)
+
+        def score(draw: tuple[str, int]) -> list[float]:
+            model = _fit(parts[0], draw[0], drawn[draw[0]][draw[1]], features, seed, strategy, weight)
+            scored = settle(transform(model, parts[1]).select("label", "prediction", "probability"), "scored")
+            row = (metrics.binary_scores(scored, "label", "prediction") if scoring == "f1"
+                   else metrics.ranking_scores(scored, "label", "probability")).first()
+            release(scored)
+            return [float((row["f1" if scoring == "f1" else "pr_auc"] if row else None) or 0.0)]
+
+        rest = [key for key in out if key not in found]
+        with ThreadPoolExecutor(parallelism) as pool:
+            found |= dict(zip(rest, pool.map(score, rest)))
+        for key, own in out.items():
+            own += found[key]
+        release(*parts)
+    return out
+
+
 def search_families(train: DataFrame, folds: list[str], draws: dict[str, int], features: list[str], seed: int,
                     scoring: str = "f1", strategy: str = "mean", weight: str | None = None, wide: bool = False,
-                    rows: int = grid.SEARCH_ROWS, parallelism: int = 4) -> list[Fitted]:
+                    rows: int | None = None, parallelism: int = 4) -> list[Fitted]:
     """The best draw of each family of ``draws`` (how many to make) by mean fold score, fitted on all training rows.
 
-    ``folds`` are boolean columns: true marks the held-out rows of that fold. The search itself sees at most ``rows`` rows.
+    ``folds`` are boolean columns: true marks the held-out rows of that fold. The search sees all rows; those that are equal
+    are counted, and with more than ``rows`` different ones (or too many values to hold) it fits from tables.
     Of equal draws the earlier one wins. A family whose fit fails keeps its error.
     """
     drawn = {}
     for family, n in draws.items():
         rng = random.Random(f"{seed}-{family}")
         drawn[family] = [draw(family, rng, wide) for _ in range(n)]
-    sample = grid.take_rows(train, folds, features, weight, rows)
-    if len(sample.y) == 0 or sample.y.min() == sample.y.max():
+    classes = train.agg(*[F.coalesce(F.max((F.col("label") > 0) == F.lit(up)), F.lit(False)) for up in (True, False)]).first()
+    if not all(classes):
         return [Fitted(f, {}, 0.0, error="training rows of one class") for f in draws]
-    scores = grid.grid_scores(train.sparkSession, sample, drawn, scoring, strategy, seed)
+    whole = grid.whole_rows(train, folds, features, weight, rows)
+    scores = (grid.grid_scores(train.sparkSession, whole, drawn, scoring, strategy, seed) if whole is not None
+              else _table_scores(train, folds, drawn, features, scoring, strategy, weight, seed, parallelism))
 
     def refit(family: str) -> Fitted:
         means = [sum(own) / len(own) if (own := scores.get((family, d))) else 0.0 for d in range(len(drawn[family]))]

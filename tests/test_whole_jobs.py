@@ -97,3 +97,49 @@ def test_boxes_make_only_the_boxes(spark, monkeypatch):
     monkeypatch.setattr(reports, "density", other)
     got = QUERIES["rep_03_boxcox_boxes"](spark, "/root/testdata/sf0.001")
     assert sorted(tuple(r)[:-1] for r in got.collect()) == sorted(want)
+
+
+def test_search_sees_every_row(spark):
+    """More rows than the search once looked at: each is counted, with its fold."""
+    from cellweft.operators import grid
+    n = 120_000
+    df = spark.range(n).select((F.col("id") % 50).cast("double").alias("a"), (F.col("id") % 3 == 0).cast("double").alias("label"),
+                               (F.col("id") % 10 == 0).alias("fold_0"))
+    rows = grid.whole_rows(df, ["fold_0"], ["a"], None)
+    fold = grid.make_fold(rows, 0, "mean")
+    assert rows.n.sum() == n and fold.count.sum() == n * 9 // 10 and (fold.pos + fold.neg).sum() == n // 10
+    assert grid.whole_rows(df, ["fold_0"], ["a"], None, 10) is None
+
+
+def test_counts_make_the_same_folds():
+    """An entry with a count is as many rows: fills, scales, bins and fits."""
+    import numpy as np
+    from cellweft.operators import grid
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(60, 2)), 2)
+    x[rng.random(x.shape) < 0.1] = np.nan
+    y, n, held = (rng.random(60) < 0.4).astype(np.int8), rng.integers(1, 9, 60), (np.arange(60) % 3 == 0)[:, None]
+    few = grid.Rows(x, y, np.ones(60), held, n)
+    many = grid.Rows(*[np.repeat(a, n, axis=0) for a in (x, y, np.ones(60), held)])
+    for strategy in ("mean", "median"):
+        one, two = (grid.make_fold(r, 0, strategy) for r in (few, many))
+        assert np.array_equal(one.bins, two.bins) and np.array_equal(one.count, two.count) and np.array_equal(one.pos, two.pos)
+        assert np.allclose(np.repeat(one.x, one.n, axis=0), two.x)
+        p = {"C": 1.0, "tol": 1e-9, "maxIter": 100, "elasticNetParam": 0.3}
+        assert np.allclose(np.repeat(grid.linear(one, "LogisticRegression", p), one.held_n), grid.linear(two, "LogisticRegression", p))
+
+
+def test_tables_score_as_entries_do(spark):
+    """Where the entries are too many to hold, all rows are fitted from tables, with the same scores."""
+    from cellweft.operators import grid, search
+    rows = spark.range(900).select(((F.col("id") * 7919) % 100).cast("double").alias("a"), (F.col("id") % 10).cast("double").alias("b"),
+                                   (((F.col("id") * 7919) % 100 + 3 * (F.col("id") % 10)) > 70).cast("double").alias("label"),
+                                   (F.col("id") % 3 == 0).alias("fold_0"), (F.col("id") % 3 == 1).alias("fold_1"))
+    tree = {"impurity": "gini", "numTrees": 5, "maxDepth": 4, "minInstancesPerNode": 2, "featureSubset": "sqrt", "classWeight": None}
+    line = {"classWeight": None, "maxIter": 200, "C": 1.0, "elasticNetParam": 0.0, "tol": 1e-8}
+    drawn, names = {"ForestNoBootstrap": [tree], "LogisticRegression": [line]}, ["fold_0", "fold_1"]
+    held = grid.grid_scores(spark, grid.whole_rows(rows, names, ["a", "b"], None), drawn, "f1", "mean", 5)
+    table = search._table_scores(rows, names, drawn, ["a", "b"], "f1", "mean", None, 5, 2)
+    assert set(held) == set(table)
+    for key, own in held.items():
+        assert len(table[key]) == 2 and max(abs(a - b) for a, b in zip(own, table[key])) < 0.03
