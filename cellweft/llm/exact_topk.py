@@ -1,11 +1,12 @@
 """Exact inner-product search: a ball tree per shard, searched by branch and bound.
 
-Vectors are dealt to shards of a bounded size; each shard becomes one row with its ball tree. Queries come in blocks.
-Every block first searches one shard; the scores it finds bound its k-th scores from below and go with the block to
-all other shards, where nodes are visited by falling upper bound (centre score + query norm * radius) and left once
-the bound is below the k-th score of every query of the block that is still open. A query's k best of all shards are
-merged by a window. Scores are exact integers: products are taken in double precision where they provably fit below
-2**53, in Python integers elsewhere.
+Vectors are dealt to shards of a bounded size; each shard is one row, whose ball tree is built where it meets queries. Queries
+come in blocks. Every block first searches one shard; the scores it finds bound its k-th scores from below and go with the
+block to all other shards, where nodes are visited by falling upper bound (centre score + query norm * radius) and left once
+the bound is below the k-th score of every query of the block that is still open. A shard is sent once for every VISITORS
+blocks; neither shards nor blocks are broadcast, and the number of tasks is bounded, so many vectors do not fill the driver.
+A query's k best of all shards are merged by a window. Scores are exact integers: products are taken in double precision
+where they provably fit below 2**53, in Python integers elsewhere.
 
 Vectors without an id, null, empty, or with null or non-finite components take no part, neither do vectors whose
 dimension differs from the query's, nor integers beyond 2**62. Ties go to the smaller vec_id; repeated rows count
@@ -15,7 +16,6 @@ each; a query never meets rows of its own id. Fewer candidates than k give fewer
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,6 +29,8 @@ from cellweft.session import settle
 
 SHARD = 4096       # vectors of a shard
 QUERIES_BLOCK = 1024
+VISITORS = 64      # blocks of queries that a shard meets at once
+TASKS = 2000       # of one search, at most
 LEAF = 64
 HITS = "query_id long, vec_id long, score long"
 
@@ -119,23 +121,39 @@ def exact_topk(candidates: DataFrame, queries: DataFrame, k: int, shard: int = S
         "dim", "part", F.col("ids").alias("qids"), F.col("data").alias("qdata"))
     wanted = settle(wanted, "topk_queries")
 
-    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                ids, x = matrix(row.ids, row.data)
-                qids, q = matrix(row.qids, row.qdata)
-                floor = np.full(len(qids), -np.inf)
-                if row.floors is not None:
-                    known = dict(zip(np.asarray(row.floor_ids).tolist(), np.asarray(row.floors).tolist()))
-                    floor = np.array([known.get(int(i), -np.inf) for i in qids], float)
-                yield pd.DataFrame(search(ball_tree(x), ids, x, qids, q, floor, k),
-                                   columns=["query_id", "vec_id", "score"])
+    def visit(own: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
+        found: list[tuple[int, int, int]] = []
+        trees = []
+        if not len(asking):
+            own = own.iloc[:0]
+        for row in own.itertuples(index=False):
+            ids, x = matrix(row.ids, row.data)
+            trees.append((ball_tree(x), ids, x))
+        for row in asking.itertuples(index=False):
+            qids, q = matrix(row.qids, row.qdata)
+            floor = np.full(len(qids), -np.inf)
+            if row.floors is not None:
+                known = dict(zip(np.asarray(row.floor_ids).tolist(), np.asarray(row.floors).tolist()))
+                floor = np.array([known.get(int(i), -np.inf) for i in qids], float)
+            for tree, ids, x in trees:
+                found += search(tree, ids, x, qids, q, floor, k)
+        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"], dtype="int64")
+
+    groups = -(-m // VISITORS)
+
+    def met(asking: DataFrame, most: int, tasks: int) -> DataFrame:
+        """Hits of blocks in the shards they are sent to, which are below ``most``."""
+        keys = ["dim", "shard", "visitors"]
+        asking = asking.withColumn("visitors", F.floor(F.col("part") / VISITORS).cast("int")).drop("part")
+        own = shards.where(F.col("shard") < most).select("dim", "shard", "ids", "data", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("visitors"))
+        tasks = max(1, min(tasks, TASKS))
+        return own.repartition(tasks, *keys).groupBy(*keys).cogroup(asking.repartition(tasks, *keys).groupBy(*keys)).applyInPandas(
+            visit, HITS)
 
     # The first shard of each block, its k-th scores, then all other shards under them.
     home = F.pmod(F.col("part"), F.lit(n)).cast("int")
     none = [F.lit(None).cast("array<long>").alias("floor_ids"), F.lit(None).cast("array<long>").alias("floors")]
-    first = settle(wanted.withColumn("shard", home).join(shards, ["dim", "shard"]).repartition(m, "part").select(
-        "ids", "data", "qids", "qdata", *none).mapInPandas(visit, HITS), "topk_first")
+    first = settle(met(wanted.select("dim", home.alias("shard"), "part", "qids", "qdata", *none), min(n, m), m), "topk_first")
     kth = first.groupBy("query_id").agg(F.count("*").alias("c"), F.min("score").alias("kth")).where(F.col("c") >= k)
     # Floors of a dimension's queries, at most one number a query of the block.
     parts = wanted.select("dim", "part", "qids").mapInPandas(
@@ -143,10 +161,10 @@ def exact_topk(candidates: DataFrame, queries: DataFrame, k: int, shard: int = S
                     for b in it for r in b.itertuples(index=False)), "dim int, part int, query_id long")
     floors = parts.join(kth, "query_id").groupBy("dim", "part").agg(
         F.collect_list("query_id").alias("floor_ids"), F.collect_list("kth").alias("floors"))
-    rest = wanted.join(floors, ["dim", "part"], "left").withColumn(
-        "shard", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).where(F.col("shard") != home)
-    later = rest.join(shards, ["dim", "shard"]).repartition(max(1, n * m), "shard", "part").select(
-        "ids", "data", "qids", "qdata", "floor_ids", "floors").mapInPandas(visit, HITS)
+    rest = wanted.hint("merge").join(floors, ["dim", "part"], "left").withColumn(
+        "shard", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).where(F.col("shard") != home).select(
+        "dim", "shard", "part", "qids", "qdata", "floor_ids", "floors")
+    later = settle(met(rest, n, n * groups), "topk_later")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return first.unionByName(later).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
