@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from cellweft.llm.common import LOWER, components, give_back, plain, table, utf8
 from cellweft.llm.registry import query
 from cellweft.operators.prefix import offsets
-from cellweft.session import attach, settle
+from cellweft.session import attach, release, settle
 
 BLOCK = 2048         # classes of one block
 BLOCK_HASHES = 4_000_000
@@ -307,12 +307,16 @@ def jaccard_rows(docs: DataFrame, n: int, share: tuple[int, int], block: int = B
     heads = every.where("n_shingles > 0 and doc_id is not null").groupBy("class").agg(
         F.min("doc_id").alias("head"), F.min("n_shingles").alias("size"))
     heads = settle(heads.withColumn("node", F.monotonically_increasing_id()), "heads")
+    # Each step is stored by itself, so that no two steps' shuffles are on disk at once.
     own_class = (F.col("doc_id") == F.col("head")) & (F.col("class") == F.col("c"))
-    keys = every.join(heads.select("head", "node", F.col("class").alias("c")), own_class).select(
-        "node", F.explode("keys").alias("key"))
-    first = keys.groupBy("key").agg(F.min("node").alias("low"), F.count("*").alias("c")).where("c > 1").drop("c")
+    owned = settle(every.join(heads.select("head", "node", F.col("class").alias("c")), own_class).select("node", "keys"), "keys")
+    wide, every = every, settle(every.drop("keys"), "texts")
+    release(wide)
+    keys = owned.select("node", F.explode("keys").alias("key"))
+    first = settle(keys.groupBy("key").agg(F.min("node").alias("low"), F.count("*").alias("c")).where("c > 1").drop("c"), "firsts")
     chained = keys.join(first, "key").where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b"))
-    clusters = components(chained)
+    clusters = settle(components(chained), "clusters")
+    release(owned, first)
 
     # A deflated text is a third of its set, whose hashes don't shrink; so texts are sent and sets built where they meet.
     def deflated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -327,9 +331,12 @@ def jaccard_rows(docs: DataFrame, n: int, share: tuple[int, int], block: int = B
     placed = placed.join(dealt, ["component", "size"]).select(
         "node", "head", "class", "component", "near", "far", F.expr(
             f"cast((before_cost + pmod(xxhash64(node), n) * cost) div {block} as int)").alias("block"))
-    placed = docs.join(placed, F.col("doc_id") == F.col("head")).select(
+    placed = settle(docs.join(placed, F.col("doc_id") == F.col("head")).select(
         "node", "class", "component", "block", "near", "far", "text").mapInPandas(
-        deflated, "node long, component long, block int, near int, far int, class binary, text binary")
+        deflated, "node long, component long, block int, near int, far int, class binary, text binary"), "deflated")
+    # Large clusters send a text to many pairs; they go in rounds that send no more than some n-grams of the whole table.
+    sent = dealt.agg(F.sum(F.expr("double(n) * size * (far - near + 1)"))).first()[0] or 0.0
+    rounds = max(1, math.ceil(sent / max(heads.agg(F.sum("size")).first()[0] or 1, 1)))
     pairs = placed.withColumn("other", F.explode(F.sequence("near", "far"))).select(
         "component", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "node",
         "class", "text")
@@ -350,7 +357,9 @@ def jaccard_rows(docs: DataFrame, n: int, share: tuple[int, int], block: int = B
         found = np.array(dual_links(own[0], own[1] if len(own) > 1 else None, share), int).reshape(-1, 2)
         return pd.DataFrame({"a": names[found[:, 0]], "b": names[found[:, 1]]})
 
-    linked = components(pairs.groupBy("component", "p", "q").applyInPandas(link, "a long, b long"))
+    found = [settle(pairs.where(F.pmod(F.xxhash64("component", "p", "q"), F.lit(rounds)) == i).groupBy("component", "p", "q").applyInPandas(
+        link, "a long, b long"), "links") for i in range(rounds)]
+    linked = components(functools.reduce(DataFrame.unionByName, found))
     # A component's smallest node need not be that of its smallest document.
     names = linked.join(heads, "node").groupBy("component").agg(F.min("head").alias("low"))
     members = heads.join(linked, "node", "left").select("class", "head", F.coalesce("component", "node").alias("node"))
